@@ -76,7 +76,7 @@ def _moments(df: DataFrame, col: str, exact_type: str) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, cols: list[str], exact_type: str = "decimal(20,2)") -> DataFrame:
+def describe(df: DataFrame, cols: list[str], exact_type: str = "decimal(18,2)") -> DataFrame:
     """One row per column: column, count, mean, std, min, p25, p50, p75, max."""
     parts = []
     for col in cols:
@@ -115,8 +115,8 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, upper: Column | fl
     # one-row range table → bounded broadcast.
     binned = data.crossJoin(F.broadcast(rng)).select(
         F.when(F.col("_hi") == F.col("_lo"), F.lit(1))
-         .otherwise(F.least(F.width_bucket(F.col("_x"), F.col("_lo"), F.col("_hi"), F.lit(bins)),
-                            F.lit(bins))).cast("int").alias("bin"))
+         .otherwise(F.least(F.floor((F.col("_x") - F.col("_lo")) * (F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))))
+                            + 1, F.lit(bins))).cast("int").alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     labels = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return (labels.crossJoin(F.broadcast(rng))
