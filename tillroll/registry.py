@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.oracle.base import with_ctes
-from tillroll.plans import checks, customers, exports, sales, scope, tables
+from tillroll.plans import audit, checks, customers, exports, sales, scope, tables
 from tillroll.plans.warehouse import Warehouse
 
-PLAN_MODULES = [tables, sales, customers, scope, checks, exports]
+PLAN_MODULES = [tables, sales, customers, scope, checks, exports, audit]
 
 
 def _oracle_modules():
-    from tillroll.oracle import checks as o_checks, customers as o_customers, exports as o_exports
-    from tillroll.oracle import sales as o_sales, scope as o_scope, tables as o_tables
-    return [o_tables, o_sales, o_customers, o_scope, o_checks, o_exports]
+    from tillroll.oracle import audit as o_audit, checks as o_checks, customers as o_customers
+    from tillroll.oracle import exports as o_exports, sales as o_sales, scope as o_scope, tables as o_tables
+    return [o_tables, o_sales, o_customers, o_scope, o_checks, o_exports, o_audit]
 
 
 def plan_functions() -> dict[str, Callable]:
