@@ -1,5 +1,6 @@
 """DuckDB oracle SQL for ``plans.sales`` (bodies; CTEs are added by ``base.with_ctes``)."""
 
+from tillroll.oracle.stats import describe_sql, histogram_sql, quantiles_sql
 from tillroll.plans.sales import DEFAULT_COUNTRY, DEFAULT_YEARS
 
 _S = "CASE WHEN has_product_sale THEN 1 ELSE 0 END"
@@ -174,3 +175,21 @@ WHERE f.is_product_cancellation = TRUE
 GROUP BY f.StockCode, d.product_description
 ORDER BY cancellation_value DESC, stock_code""",
 }
+
+_PURCHASE_ORDERS = ("SELECT Invoice, distinct_stockcodes, product_sale_quantity, gross_product_sales_value "
+                    "FROM fo WHERE has_product_sale = TRUE AND gross_product_sales_value > 0")
+
+
+def _tail_hist(col: str, bins: int) -> str:
+    cut = quantiles_sql(_PURCHASE_ORDERS, col, [0.99])
+    kept = f"SELECT p.{col} FROM ({_PURCHASE_ORDERS}) p WHERE CAST(p.{col} AS DOUBLE) <= (SELECT value FROM ({cut}) c)"
+    return f"SELECT h.*, (SELECT value FROM ({cut}) c) AS cut_value FROM ({histogram_sql(kept, col, bins)}) h"
+
+
+SQL.update({
+    "order_value_stats": describe_sql(_PURCHASE_ORDERS, ["gross_product_sales_value"]),
+    "order_size_stats": describe_sql(_PURCHASE_ORDERS, ["distinct_stockcodes", "product_sale_quantity",
+                                                        "gross_product_sales_value"]),
+    "order_value_histogram": _tail_hist("gross_product_sales_value", 50),
+    "order_size_histogram": _tail_hist("distinct_stockcodes", 40),
+})

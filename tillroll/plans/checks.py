@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions.numeric import count_when, rounded_money
-from tillroll.sources import fixture_map
-from tillroll.sources.periods import ingest
 
 
 def _profile(df: DataFrame, prefix: str) -> DataFrame:
@@ -24,9 +22,8 @@ def _profile(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def check_bronze(wh) -> DataFrame:
-    """K1: the source recomputed from the input tables vs the stored bronze table."""
-    early, late = fixture_map.raw_periods(wh.spark, wh.sf_dir)
-    src = ingest(early, late, fixture_map.PERIOD_EARLY, fixture_map.PERIOD_LATE, fixture_map.OVERLAP_START)
+    """K1: the consolidation recomputed from the raw period files vs the stored bronze table."""
+    src = wh.consolidated()
     a, b = _profile(src, "source"), _profile(wh.table("bronze"), "bronze")
     # two one-row aggregates: a bounded cross join.
     j = a.crossJoin(F.broadcast(b))

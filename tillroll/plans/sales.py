@@ -14,6 +14,7 @@ from tillroll import schemas as S
 from tillroll.functions import calendar as CAL
 from tillroll.functions.numeric import count_when, money, round2, rounded_money, safe_div
 from tillroll.functions.scoring import MISSING_DESCRIPTION_LABEL
+from tillroll.operators.quantiles import describe, equal_width_histogram, exact_quantiles
 
 DEFAULT_COUNTRY = "EIRE"
 DEFAULT_YEARS = (1999, 2000)
@@ -303,3 +304,39 @@ def product_cancellations(wh) -> DataFrame:
                     "cancellation_invoices", "cancelled_quantity", "cancellation_value")
             .withColumn("label", _label("stock_code", "product_description"))
             .orderBy(F.col("cancellation_value").desc(), "stock_code"))
+
+
+# ------------------------------------------------------ order distributions --
+
+def _purchase_orders(wh) -> DataFrame:
+    """F8: orders with a sale and a positive gross value."""
+    fo = wh.table("fact_orders")
+    return fo.filter(F.col("has_product_sale") & (F.col("gross_product_sales_value") > 0)).select(
+        S.INVOICE, "distinct_stockcodes", "product_sale_quantity", "gross_product_sales_value")
+
+
+def order_value_stats(wh) -> DataFrame:
+    """describe() of the gross value of purchase orders."""
+    return describe(_purchase_orders(wh), ["gross_product_sales_value"])
+
+
+def order_size_stats(wh) -> DataFrame:
+    """describe() of order size (codes, quantity) and value."""
+    return describe(_purchase_orders(wh), ["distinct_stockcodes", "product_sale_quantity",
+                                           "gross_product_sales_value"])
+
+
+def _tail_histogram(df: DataFrame, col: str, bins: int, q: float = 0.99) -> DataFrame:
+    """A30 + A31: the q-quantile cut, then equal-width bins of the values at or below it."""
+    cut = exact_quantiles(df, col, [q]).select(F.col("value").alias("cut_value"))
+    # one-row quantile: a bounded broadcast
+    kept = df.crossJoin(F.broadcast(cut)).filter(F.col(col).cast("double") <= F.col("cut_value")).select(col)
+    return equal_width_histogram(kept, col, bins).crossJoin(F.broadcast(cut))
+
+
+def order_value_histogram(wh, bins: int = 50) -> DataFrame:
+    return _tail_histogram(_purchase_orders(wh), "gross_product_sales_value", bins)
+
+
+def order_size_histogram(wh, bins: int = 40) -> DataFrame:
+    return _tail_histogram(_purchase_orders(wh), "distinct_stockcodes", bins)

@@ -12,11 +12,12 @@ import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.plans import layers
 from tillroll.session import storage_root
 from tillroll.sources import fixture_map
-from tillroll.sources.periods import ingest, type_period
+from tillroll.sources.periods import ingest, read_period, type_period
 from tillroll.sources.reference import stockcode_categories
 
 _CACHE: dict[tuple, "Warehouse"] = {}
@@ -26,7 +27,7 @@ _LOCK = threading.Lock()
 class Warehouse:
     """Layers built on demand, each written once and then read from Parquet."""
 
-    ORDER = ["bronze", "silver_transactions", "fact_order_lines", "fact_orders",
+    ORDER = ["landing", "bronze", "silver_transactions", "fact_order_lines", "fact_orders",
              "dim_customers", "dim_products", "customer_rfm"]
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, *,
@@ -52,21 +53,39 @@ class Warehouse:
             return wh
 
     # -- raw inputs (not materialized: a projection of the source tables) --
+    def raw_period_files(self) -> tuple[DataFrame, DataFrame]:
+        """The two raw period inputs as they arrive (overlap included)."""
+        self.table("landing")
+        col = fixture_map.RAW_PERIOD_COL
+        if self.materialize:
+            base = os.path.join(self.root, "landing")
+            return (read_period(self.spark, os.path.join(base, f"{col}={fixture_map.PERIOD_EARLY}")),
+                    read_period(self.spark, os.path.join(base, f"{col}={fixture_map.PERIOD_LATE}")))
+        land = self.table("landing")
+        return (land.filter(F.col(col) == fixture_map.PERIOD_EARLY).drop(col),
+                land.filter(F.col(col) == fixture_map.PERIOD_LATE).drop(col))
+
     def raw_periods(self) -> tuple[DataFrame, DataFrame]:
         """The two typed raw periods, overlap included."""
-        early, late = fixture_map.raw_periods(self.spark, self.sf_dir)
+        early, late = self.raw_period_files()
         return (type_period(early, fixture_map.PERIOD_EARLY),
                 type_period(late, fixture_map.PERIOD_LATE))
 
+    def consolidated(self) -> DataFrame:
+        """P6 + P7 over the raw period inputs (the bronze table before it is stored)."""
+        early, late = self.raw_period_files()
+        return ingest(early, late, fixture_map.PERIOD_EARLY, fixture_map.PERIOD_LATE,
+                      fixture_map.OVERLAP_START)
+
     def categories(self) -> DataFrame:
         return stockcode_categories(self.spark)
 
     # -- layers --
     def _compute(self, name: str) -> DataFrame:
+        if name == "landing":
+            return fixture_map.landing(self.spark, self.sf_dir)
         if name == "bronze":
-            early, late = fixture_map.raw_periods(self.spark, self.sf_dir)
-            return ingest(early, late, fixture_map.PERIOD_EARLY, fixture_map.PERIOD_LATE,
-                          fixture_map.OVERLAP_START)
+            return self.consolidated()
         if name == "silver_transactions":
             kw = {"chunk_rows": self.repeat_chunk_rows} if self.repeat_chunk_rows else {}
             return layers.silver(self.table("bronze"), self.categories(), **kw)
@@ -88,7 +107,10 @@ class Warehouse:
                 df = self._compute(name)
                 if self.materialize:
                     path = os.path.join(self.root, name)
-                    df.write.mode("overwrite").parquet(path)
+                    writer = df.write.mode("overwrite")
+                    if name == "landing":
+                        writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
+                    writer.parquet(path)
                     df = self.spark.read.parquet(path)
                 self._tables[name] = df
             return self._tables[name]

@@ -42,7 +42,10 @@ def mapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cust = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "n_name")
     orders = o.join(cust, o.o_custkey == cust.c_custkey)
-    joined = (l.join(orders, l.l_orderkey == orders.o_orderkey)
+    # lineitem and orders are both fact-sized: a shuffle (sort-merge) join on the
+    # order key, never a broadcast of either; part may broadcast if Spark's
+    # size estimate allows.
+    joined = (l.join(orders.hint("merge"), l.l_orderkey == orders.o_orderkey)
                .join(p, l.l_partkey == p.p_partkey))
 
     z = ((F.col("l_orderkey") + F.col("l_linenumber")) % 83) == 0
@@ -93,6 +96,21 @@ def raw_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return early, late
 
 
+RAW_PERIOD_COL = "raw_period"
+
+
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw periods in one pass over the join, tagged by ``raw_period``
+    (lines of the shared days belong to both).  Written partitioned by
+    ``raw_period``, each partition folder is one period file."""
+    ts = F.col(S.INVOICE_DATE)
+    in_early = ts < F.lit(OVERLAP_END).cast("timestamp_ntz")
+    in_late = ts >= F.lit(OVERLAP_START).cast("timestamp_ntz")
+    periods = F.filter(F.array(F.when(in_early, F.lit(PERIOD_EARLY)), F.when(in_late, F.lit(PERIOD_LATE))),
+                       lambda x: x.isNotNull())
+    return mapped_lines(spark, sf_dir).withColumn(RAW_PERIOD_COL, F.explode(periods))
+
+
 # ---------------------------------------------------------------------------
 # The same mapping in DuckDB SQL, for the oracle.  Produces the consolidated
 # bronze lines (period cut + provenance literal applied).
