@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import materialize
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 1024
 SAMPLE_PER_BUCKET = 64
@@ -129,6 +131,8 @@ def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int |
     sums = list(sums)
     types = {f.name: f.dataType for f in df.schema.fields}
     if n_rows is None:
+        # read three times (count, sample, pass): compute the input once
+        df = materialize(df)
         n_rows = df.count()
     if buckets is None:
         buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / rows_per_bucket)))
@@ -172,7 +176,7 @@ def tie_bounds(df: DataFrame, value: str, *, buckets: int | None = None,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``rank_lo`` / ``rank_hi`` (min / max 1-based rank of the row's tie
     group, ascending ``value``) and ``rank_n`` (row count).  ``value`` non-null."""
-    hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    hist = materialize(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")))
     distinct_values = hist.count()
     ranked = running_totals(hist, [Key(value)], ["_n"], buckets=buckets, n_rows=distinct_values)
     bounds = ranked.select(

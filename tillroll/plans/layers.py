@@ -15,6 +15,7 @@ from tillroll.functions.numeric import count_when
 from tillroll.functions.scoring import frequency_score, quintile_from_bounds, segment
 from tillroll.operators.ranks import tie_bounds
 from tillroll.operators.repeats import CHUNK_ROWS, with_repeat_count
+from tillroll.session import materialize
 
 LINE_FLAGS = S.QUALITY_FLAGS
 
@@ -132,6 +133,8 @@ def customer_rfm(orders: DataFrame, *, rank_buckets: int | None = None) -> DataF
     base = base.withColumn(
         "recency",
         F.datediff(F.col("rfm_reference_date"), F.col("last_purchase_datetime").cast("date")).cast("bigint"))
+    # the customer aggregate feeds two rank passes: compute it once
+    base = materialize(base)
 
     r = tie_bounds(base, "recency", buckets=rank_buckets)
     r = r.withColumn("r_score", (F.lit(6) - quintile_from_bounds(

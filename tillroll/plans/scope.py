@@ -98,6 +98,15 @@ def largest_cancellations(wh, n: int = SAMPLE_ROWS) -> DataFrame:
                       "is_cancellation", "has_product_cancellation"))
 
 
+def first_orders(wh, n: int = SAMPLE_ROWS) -> DataFrame:
+    """order sample, earliest first (ties by invoice)."""
+    fo = wh.table("fact_orders")
+    money_cols = ["raw_order_value", "gross_product_sales_value", "product_cancellation_value",
+                  "net_product_sales_value"]
+    return (fo.orderBy("order_datetime", S.INVOICE).limit(n)
+              .select(*[money(c).alias(c) if c in money_cols else F.col(c) for c in fo.columns]))
+
+
 def first_customers(wh, n: int = SAMPLE_ROWS) -> DataFrame:
     """dimension sample, earliest customers first."""
     return wh.table("dim_customers").orderBy("first_activity_datetime", "customer_id").limit(n)

@@ -117,3 +117,12 @@ class Warehouse:
 
     def build(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self.ORDER}
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every layer to ``spark.sql`` under its table name."""
+        names = []
+        for name in self.ORDER:
+            self.table(name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        self.categories().createOrReplaceTempView(prefix + "stockcode_categories")
+        return names + [prefix + "stockcode_categories"]

@@ -58,3 +58,11 @@ def storage_root(spark: SparkSession) -> str:
     base = checkpoint_dir(spark)
     root = os.path.join(base, "tillroll-warehouse", uuid.uuid4().hex[:12])
     return root
+
+
+def materialize(df):
+    """Cut the lineage of ``df``: a reliable checkpoint in the shared checkpoint
+    folder (never a local checkpoint).  Used before a frame is read several
+    times (a count, a sample, then the full pass) so its shuffles run once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
