@@ -15,9 +15,7 @@ task order.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,17 +24,26 @@ from tillroll.operators.ranks import Key, running_totals
 DESCRIBE_QUANTILES = (0.25, 0.5, 0.75)
 
 
-def _positions_hist(df: DataFrame, col: str) -> DataFrame:
-    """(value, first 0-based position, last 0-based position, N) over non-null values."""
-    hist = (df.filter(F.col(col).isNotNull())
-              .groupBy(F.col(col).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    ranked = running_totals(hist, [Key("_v")], ["_n"])
-    return ranked.select(
-        "_v",
-        (F.col("_n_cum") - F.col("_n")).alias("_first"),
-        (F.col("_n_cum") - 1).alias("_last"),
-        F.col("_n_total").alias("_N"),
+def _positions_hist(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column: (value, first / last 0-based position, N) over its non-null values.
+
+    All columns share one histogram and one ``running_totals`` pass over the
+    key (column index, value); a column's positions are the global running
+    count minus the rows of the columns before it (a ≤ len(cols)-row table)."""
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)
+    ])).alias("_s")).select("_s._c", "_s._v").filter(F.col("_v").isNotNull())
+    hist = stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(hist, [Key("_c"), Key("_v")], ["_n"])
+    per_col = hist.groupBy("_c").agg(F.sum("_n").alias("_ntot"))
+    w = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = per_col.select("_c", "_ntot", (F.sum("_ntot").over(w) - F.col("_ntot")).alias("_start"))
+    # ≤ len(cols) rows: bounded broadcast
+    return ranked.join(F.broadcast(starts), "_c").select(
+        "_c", "_v",
+        (F.col("_n_cum") - F.col("_n") - F.col("_start")).alias("_first"),
+        (F.col("_n_cum") - 1 - F.col("_start")).alias("_last"),
+        "_ntot",
     )
 
 
@@ -45,61 +52,56 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - d * (F.lit(1.0) - t)).otherwise(a + d * t)
 
 
-def exact_quantiles(df: DataFrame, col: str, qs) -> DataFrame:
-    """Rows (quantile, value) for each q in ``qs`` (linear interpolation)."""
+def _quantiles_long(df: DataFrame, cols: list[str], qs) -> DataFrame:
+    """Rows (_c, quantile, value) for every column index and q."""
     spark = df.sparkSession
-    pos = _positions_hist(df, col)
+    pos = _positions_hist(df, cols)
     qdf = spark.createDataFrame([(float(q),) for q in qs], T.StructType([T.StructField("quantile", T.DoubleType())]))
-    # |qs| rows (a handful) → bounded broadcast; each q picks ≤ 2 histogram rows.
-    idx = (F.col("_N") - 1).cast("double") * F.col("quantile")
+    # |qs| rows (a handful) → bounded broadcast; each (column, q) picks ≤ 2 histogram rows.
+    idx = (F.col("_ntot") - 1).cast("double") * F.col("quantile")
     lo_i = F.floor(idx)
-    hi_i = F.least(lo_i + 1, F.col("_N") - 1)
+    hi_i = F.least(lo_i + 1, F.col("_ntot") - 1)
     hit_lo = (F.col("_first") <= lo_i) & (lo_i <= F.col("_last"))
     hit_hi = (F.col("_first") <= hi_i) & (hi_i <= F.col("_last"))
     picked = pos.join(F.broadcast(qdf), hit_lo | hit_hi)
-    agg = picked.groupBy("quantile").agg(
+    agg = picked.groupBy("_c", "quantile").agg(
         F.max(F.when(hit_lo, F.col("_v"))).alias("_a"),
         F.max(F.when(hit_hi, F.col("_v"))).alias("_b"),
         F.max(idx - lo_i).alias("_t"),
     )
-    return agg.select("quantile", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("value"))
+    return agg.select("_c", "quantile", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("value"))
 
 
-def _moments(df: DataFrame, col: str, exact_type: str) -> DataFrame:
-    x = F.col(col).cast(exact_type)
-    return df.agg(
-        F.count(x).alias("count"),
-        F.sum(x).alias("_s1"),
-        F.sum(x * x).alias("_s2"),
-        F.min(x).cast("double").alias("min"),
-        F.max(x).cast("double").alias("max"),
-    )
+def exact_quantiles(df: DataFrame, col: str, qs) -> DataFrame:
+    """Rows (quantile, value) for each q in ``qs`` (linear interpolation)."""
+    return _quantiles_long(df, [col], qs).select("quantile", "value")
 
 
 def describe(df: DataFrame, cols: list[str], exact_type: str = "decimal(18,2)") -> DataFrame:
-    """One row per column: column, count, mean, std, min, p25, p50, p75, max."""
-    parts = []
-    for col in cols:
-        m = _moments(df, col, exact_type)
-        n = F.col("count").cast("double")
-        s1 = F.col("_s1").cast("double")
-        s2 = F.col("_s2").cast("double")
-        mean = s1 / F.when(n > 0, n)
-        var = (s2 - s1 * s1 / n) / F.when(n > 1, n - 1)
-        stats = m.select(
-            F.lit(col).alias("column"),
-            F.col("count").cast("bigint").alias("count"),
-            mean.alias("mean"),
-            F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
-            "min", "max",
-        )
-        q = exact_quantiles(df, col, DESCRIBE_QUANTILES)
-        qrow = q.agg(*[F.max(F.when(F.col("quantile") == p, F.col("value"))).alias(name)
-                       for p, name in zip(DESCRIBE_QUANTILES, ("p25", "p50", "p75"))])
-        # both sides are one row: a bounded cross join.
-        parts.append(stats.crossJoin(F.broadcast(qrow))
-                     .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
-    return reduce(DataFrame.unionByName, parts)
+    """One row per column: column, count, mean, std, min, p25, p50, p75, max.
+
+    One aggregation for all moments, one histogram pass for all quartiles."""
+    xs = [F.col(c).cast(exact_type) for c in cols]
+    moments = df.agg(*[e for i, x in enumerate(xs) for e in (
+        F.count(x).alias(f"n{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}"),
+        F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}"))])
+    per_col = moments.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
+                 F.col(f"s{i}").cast("double").alias("_s1"), F.col(f"q{i}").cast("double").alias("_s2"),
+                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+        for i, c in enumerate(cols)])).alias("m")).select("m.*")
+    n = F.col("count").cast("double")
+    s1, s2 = F.col("_s1"), F.col("_s2")
+    mean = s1 / F.when(n > 0, n)
+    var = (s2 - s1 * s1 / n) / F.when(n > 1, n - 1)
+    stats = per_col.select("_c", "column", F.col("count").cast("bigint").alias("count"), mean.alias("mean"),
+                           F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"), "min", "max")
+    q = _quantiles_long(df, cols, DESCRIBE_QUANTILES)
+    qwide = q.groupBy("_c").agg(*[F.max(F.when(F.col("quantile") == p, F.col("value"))).alias(name)
+                                  for p, name in zip(DESCRIBE_QUANTILES, ("p25", "p50", "p75"))])
+    # both sides have ≤ len(cols) rows: bounded broadcast
+    return (stats.join(F.broadcast(qwide), "_c", "left")
+            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def equal_width_histogram(df: DataFrame, col: str, bins: int, upper: Column | float | None = None) -> DataFrame:

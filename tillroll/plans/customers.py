@@ -140,21 +140,24 @@ def check_rfm(wh) -> DataFrame:
 
 # ---------------------------------------------------------- orders / customers --
 
-def customer_frequency(wh) -> DataFrame:
-    """Purchases per identified customer (> 0)."""
+def _purchase_counts(wh) -> DataFrame:
     fo = wh.table("fact_orders").filter(F.col("customer_id").isNotNull())
     return (fo.groupBy("customer_id").agg(count_when(F.col("has_product_sale")).alias("purchase_count"))
-              .filter(F.col("purchase_count") > 0)
-              .orderBy(F.col("purchase_count").desc(), "customer_id"))
+              .filter(F.col("purchase_count") > 0))
+
+
+def customer_frequency(wh) -> DataFrame:
+    """Purchases per identified customer (> 0), most frequent first."""
+    return _purchase_counts(wh).orderBy(F.col("purchase_count").desc(), "customer_id")
 
 
 def frequency_stats(wh) -> DataFrame:
-    return describe(customer_frequency(wh), ["purchase_count"])
+    return describe(_purchase_counts(wh), ["purchase_count"])
 
 
 def frequency_distribution(wh) -> DataFrame:
     """A27 + J8: customers per frequency band in the fixed band order."""
-    cf = customer_frequency(wh)
+    cf = _purchase_counts(wh)
     counts = cf.groupBy(frequency_band("purchase_count").alias("frequency_group")) \
                .agg(F.count(F.lit(1)).alias("customers"))
     labels = wh.spark.createDataFrame([(i + 1, b) for i, b in enumerate(FREQUENCY_BANDS)],

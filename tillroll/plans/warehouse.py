@@ -8,14 +8,16 @@ The storage folder is a fresh sub-folder of the cluster's
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.plans import layers
-from tillroll.session import storage_root
+from tillroll.session import path_exists, publish, storage_root
 from tillroll.sources import fixture_map
 from tillroll.sources.periods import ingest, read_period, type_period
 from tillroll.sources.reference import stockcode_categories
@@ -24,6 +26,45 @@ _CACHE: dict[tuple, "Warehouse"] = {}
 _LOCK = threading.Lock()
 
 
+def _code_hash() -> str:
+    """Fingerprint of this package's source: stored tables of another code
+    version are never reused."""
+    h = hashlib.sha1()
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for dirpath, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:12]
+
+
+_CODE_HASH = _code_hash()
+
+
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Source tables (path, size, modification time) + code version."""
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    try:
+        status = _listing(spark, sf_dir)
+    except Exception:  # noqa: BLE001 — unreadable listing: no reuse
+        status = uuid.uuid4().hex
+    h.update(status.encode())
+    return f"{os.path.basename(os.path.abspath(sf_dir))}-{h.hexdigest()[:12]}-{_CODE_HASH}"
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(p, True)
+    parts = []
+    while it.hasNext():
+        st = it.next()
+        parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join(sorted(parts))
+
+
 class Warehouse:
     """Layers built on demand, each written once and then read from Parquet."""
 
@@ -36,7 +77,7 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
-        self.root = root or storage_root(spark)
+        self.root = root or storage_root(spark, fingerprint(spark, sf_dir))
         self.repeat_chunk_rows = repeat_chunk_rows
         self.rank_buckets = rank_buckets
         self._tables: dict[str, DataFrame] = {}
@@ -104,15 +145,21 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         with self._lock:
             if name not in self._tables:
-                df = self._compute(name)
-                if self.materialize:
+                if not self.materialize:
+                    self._tables[name] = self._compute(name)
+                else:
                     path = os.path.join(self.root, name)
-                    writer = df.write.mode("overwrite")
-                    if name == "landing":
-                        writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
-                    writer.parquet(path)
-                    df = self.spark.read.parquet(path)
-                self._tables[name] = df
+                    if not path_exists(self.spark, os.path.join(path, "_SUCCESS")):
+                        # write aside, then publish with one rename: a reader
+                        # never sees a half-written table, concurrent builders
+                        # of the same table do not clash.
+                        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+                        writer = self._compute(name).write.mode("overwrite")
+                        if name == "landing":
+                            writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
+                        writer.parquet(tmp)
+                        publish(self.spark, tmp, path)
+                    self._tables[name] = self.spark.read.parquet(path)
             return self._tables[name]
 
     def build(self) -> dict[str, DataFrame]:

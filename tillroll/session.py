@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -41,23 +42,55 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
+    """The shared folder for checkpoints and stored tables.
+
+    ``spark.checkpoint.dir`` when the cluster names one; otherwise (local runs,
+    tests) a fixed local folder is set as the checkpoint directory."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
-        return current
-    local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+        return os.path.dirname(current.rstrip("/"))
+    local = os.path.join(tempfile.gettempdir(), "tillroll-checkpoints")
+    os.makedirs(local, exist_ok=True)
     spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    return local
 
 
-def storage_root(spark: SparkSession) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one warehouse build."""
+def storage_root(spark: SparkSession, key: str | None = None) -> str:
+    """Folder for one warehouse under the shared checkpoint folder.  With a
+    ``key`` (source + code fingerprint) a later run finds the stored tables."""
     base = checkpoint_dir(spark)
-    root = os.path.join(base, "tillroll-warehouse", uuid.uuid4().hex[:12])
-    return root
+    return os.path.join(base, "tillroll-warehouse", key or uuid.uuid4().hex[:12])
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def publish(spark: SparkSession, tmp_path: str, final_path: str) -> bool:
+    """Atomically move a finished output into place (rename on the cluster
+    file system); False if another writer published first."""
+    fs, src = _hadoop_fs(spark, tmp_path)
+    _, dst = _hadoop_fs(spark, final_path)
+    if fs.exists(dst):
+        fs.delete(src, True)
+        return False
+    fs.mkdirs(dst.getParent())
+    ok = bool(fs.rename(src, dst))
+    if not ok:
+        fs.delete(src, True)
+    return ok
 
 
 def materialize(df):
