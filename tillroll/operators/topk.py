@@ -19,6 +19,6 @@ def top_values(df: DataFrame, value_col: str, n: int, group_cols: tuple[str, ...
     if not group_cols:
         top = counts.orderBy(*order).limit(n)
         w = Window.orderBy(*order)   # ≤ n rows after the limit
-        return top.withColumn("rank", F.row_number().over(w))
+        return top.withColumn("rank", F.row_number().over(w).cast("bigint"))
     w = Window.partitionBy(*group_cols).orderBy(*order)
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return counts.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)

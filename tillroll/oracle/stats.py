@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def quantiles_sql(src: str, col: str, qs, value_name: str = "value") -> str:
-    qvals = ", ".join(f"({float(q)!r})" for q in qs)
+    qvals = ", ".join(f"(CAST({float(q)!r} AS DOUBLE))" for q in qs)
     return f"""
 SELECT q.quantile,
   CASE WHEN p.t >= 0.5 THEN p.b - (p.b - p.a) * (1.0 - p.t) ELSE p.a + (p.b - p.a) * p.t END AS {value_name}
