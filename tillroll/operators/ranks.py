@@ -21,6 +21,7 @@ and join the (lo, hi) bounds back.
 from __future__ import annotations
 
 import math
+import os as _os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-ROWS_PER_BUCKET = 1_000_000
+# Rows per range bucket of a global order (one window task each); the
+# environment override lets tests force many buckets on small tables.
+ROWS_PER_BUCKET = int(_os.environ.get("TILLROLL_ROWS_PER_BUCKET", "1000000"))
 MAX_BUCKETS = 1024
 SAMPLE_PER_BUCKET = 64
 SEED = 20240611
@@ -121,7 +124,7 @@ def range_cuts(df: DataFrame, keys: list[Key], n_rows: int, buckets: int) -> lis
 
 
 def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None) -> DataFrame:
+                   rows_per_bucket: int | None = None, n_rows: int | None = None) -> DataFrame:
     """Add, in the total order ``order`` (keys must be non-null):
 
     * ``row_pos``       1-based position,
@@ -136,7 +139,8 @@ def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int |
         df = materialize(df)
         n_rows = df.count()
     if buckets is None:
-        buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / rows_per_bucket)))
+        per = rows_per_bucket or ROWS_PER_BUCKET
+        buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / per)))
     cuts = range_cuts(df, keys, n_rows, buckets)
     bucket = _bucket_expr(keys, cuts, types) if cuts else F.lit(0)
     b = df.withColumn("_bucket", bucket.cast("int"))

@@ -11,10 +11,12 @@ copies of one row.
 
 from __future__ import annotations
 
+import os as _os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 1_000_000
+# Largest number of copies one task generates for one row (override: tests).
+CHUNK_ROWS = int(_os.environ.get("TILLROLL_REPEAT_CHUNK_ROWS", "1000000"))
 
 
 def with_repeat_count(df: DataFrame, count_col: str = "repeat_count", *,
