@@ -1,6 +1,8 @@
 """Benchmark: build the warehouse and run every registered query.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_SHUFFLE_PARTITIONS (default = cpus; AQE coalesces further), BENCH_QUERIES
+(comma list to run a subset).
 Prints ONE JSON line:
   {"metric": "total_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
@@ -32,7 +34,8 @@ def main() -> None:
     from tillroll.session import build_session
 
     scratch = tempfile.mkdtemp(prefix="tillroll-bench-")
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions,
                           extra={"spark.driver.memory": "16g",
                                  "spark.local.dir": os.path.join(scratch, "local")})
     spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))

@@ -135,12 +135,13 @@ def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int |
     sums = list(sums)
     types = {f.name: f.dataType for f in df.schema.fields}
     if n_rows is None:
-        # read three times (count, sample, pass): compute the input once
-        df = materialize(df)
         n_rows = df.count()
     if buckets is None:
         per = rows_per_bucket or ROWS_PER_BUCKET
         buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / per)))
+    if buckets > 1:
+        # read twice more (sample, full pass): compute the input once
+        df = materialize(df)
     cuts = range_cuts(df, keys, n_rows, buckets)
     bucket = _bucket_expr(keys, cuts, types) if cuts else F.lit(0)
     b = df.withColumn("_bucket", bucket.cast("int"))
@@ -181,7 +182,7 @@ def tie_bounds(df: DataFrame, value: str, *, buckets: int | None = None,
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``rank_lo`` / ``rank_hi`` (min / max 1-based rank of the row's tie
     group, ascending ``value``) and ``rank_n`` (row count).  ``value`` non-null."""
-    hist = materialize(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")))
+    hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     distinct_values = hist.count()
     ranked = running_totals(hist, [Key(value)], ["_n"], buckets=buckets, n_rows=distinct_values)
     bounds = ranked.select(

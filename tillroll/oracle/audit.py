@@ -4,7 +4,8 @@ from tillroll.oracle.stats import describe_sql, quantiles_sql
 from tillroll.plans.audit import HIGH_PRICE, PRICE_QUANTILES, PRICE_SERIES_DESCRIPTION
 from tillroll.sources import fixture_map as FM
 
-_BUS = "Invoice, StockCode, Description, Quantity, InvoiceDate, Price, customer_id_raw, Country"
+_BUS = ("Invoice, StockCode, Description, Quantity, InvoiceDate, CAST(Price AS DOUBLE) AS Price, "
+        "customer_id_raw, Country")
 _C = "COALESCE(Invoice LIKE 'C%', FALSE)"
 
 
@@ -81,7 +82,8 @@ SELECT {_cnt('Quantity < 0')} AS negative_rows,
   {_cnt(_C + ' AND Quantity > 0')} AS c_positive_quantity
 FROM bronze""",
     "audit_positive_cancellations": f"""
-SELECT * FROM bronze WHERE {_C} AND Quantity > 0 ORDER BY Invoice, StockCode, InvoiceDate""",
+SELECT * REPLACE (CAST(Price AS DOUBLE) AS Price) FROM bronze WHERE {_C} AND Quantity > 0
+ORDER BY Invoice, StockCode, InvoiceDate""",
     "audit_top_descriptions": _top(f"SELECT * FROM bronze WHERE Quantity < 0 AND NOT {_C}", "Description", 20),
     "audit_price_classes": f"""
 SELECT {_cnt('Price < 0')} AS negative_price, {_cnt('Price = 0')} AS zero_price,
@@ -89,7 +91,7 @@ SELECT {_cnt('Price < 0')} AS negative_price, {_cnt('Price = 0')} AS zero_price,
   {_cnt('Price > 1000')} AS price_gt_1000, {_cnt('Price > 10000')} AS price_gt_10000
 FROM bronze""",
     "audit_negative_price": """
-SELECT Invoice, StockCode, Description, Quantity, Price, customer_id_raw, Country
+SELECT Invoice, StockCode, Description, Quantity, CAST(Price AS DOUBLE) AS Price, customer_id_raw, Country
 FROM bronze WHERE Price < 0 ORDER BY Invoice, StockCode""",
     "price_quantiles": quantiles_sql("SELECT Price FROM bronze WHERE Price > 0", "Price", PRICE_QUANTILES)
     + " ORDER BY quantile",

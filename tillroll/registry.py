@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.oracle.base import with_ctes
 from tillroll.plans import audit, checks, customers, exports, sales, scope, tables
@@ -51,10 +53,18 @@ def oracle_bodies() -> dict[str, str]:
     return out
 
 
+def output_edge(df: DataFrame) -> DataFrame:
+    """Money is exact DECIMAL inside every plan and DOUBLE in every result."""
+    if not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Warehouse.for_source(spark, sf_dir))
+            return output_edge(fn(Warehouse.for_source(spark, sf_dir)))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run
