@@ -15,6 +15,7 @@ from tillroll.functions import calendar as CAL
 from tillroll.functions.numeric import count_when, money, round2, rounded_money, safe_div
 from tillroll.functions.scoring import MISSING_DESCRIPTION_LABEL
 from tillroll.operators.quantiles import describe, equal_width_histogram, exact_quantiles
+from tillroll.session import materialize
 
 DEFAULT_COUNTRY = "EIRE"
 DEFAULT_YEARS = (1999, 2000)
@@ -328,7 +329,8 @@ def order_size_stats(wh) -> DataFrame:
 
 def _tail_histogram(df: DataFrame, col: str, bins: int, q: float = 0.99) -> DataFrame:
     """A30 + A31: the q-quantile cut, then equal-width bins of the values at or below it."""
-    cut = exact_quantiles(df, col, [q]).select(F.col("value").alias("cut_value"))
+    # one-row quantile, stored once (it is read by the filter and the output)
+    cut = materialize(exact_quantiles(df, col, [q]).select(F.col("value").alias("cut_value")))
     # one-row quantile: a bounded broadcast
     kept = df.crossJoin(F.broadcast(cut)).filter(F.col(col).cast("double") <= F.col("cut_value")).select(col)
     return equal_width_histogram(kept, col, bins).crossJoin(F.broadcast(cut))

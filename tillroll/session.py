@@ -73,7 +73,16 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _has_jvm(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jvm is not None
+    except Exception:  # noqa: BLE001 — e.g. a remote (Connect) session
+        return False
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    if not _has_jvm(spark):
+        return os.path.exists(path.removeprefix("file:"))
     fs, p = _hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
@@ -81,6 +90,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def publish(spark: SparkSession, tmp_path: str, final_path: str) -> bool:
     """Atomically move a finished output into place (rename on the cluster
     file system); False if another writer published first."""
+    if not _has_jvm(spark):
+        try:
+            os.makedirs(os.path.dirname(final_path), exist_ok=True)
+            os.rename(tmp_path, final_path)
+            return True
+        except OSError:
+            return False
     fs, src = _hadoop_fs(spark, tmp_path)
     _, dst = _hadoop_fs(spark, final_path)
     if fs.exists(dst):
