@@ -114,3 +114,14 @@ def test_top_values_keeps_null_and_breaks_ties_by_value(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), (None,), ("c",), ("c",)], "v string")
     got = [(r["v"], r["rows"], r["rank"]) for r in top_values(df, "v", 3).orderBy("rank").collect()]
     assert got == [("c", 2, 1), (None, 2, 2), ("a", 1, 3)]
+
+
+def test_grouped_top_values_with_a_hot_group(spark):
+    rows = [("hot", f"v{i % 300}") for i in range(3000)] + [("hot", "v7")] * 5 + [("cold", "a"), ("cold", None)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    got = {(r["g"], r["rank"]): (r["v"], r["rows"])
+           for r in top_values(df, "v", 3, group_cols=("g",), salts=16).collect()}
+    assert got[("hot", 1)] == ("v7", 15)
+    # ties at 10 rows: smallest values first
+    assert got[("hot", 2)] == ("v0", 10) and got[("hot", 3)] == ("v1", 10)
+    assert got[("cold", 1)] == ("a", 1) and got[("cold", 2)] == (None, 1)

@@ -121,8 +121,9 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, upper: Column | fl
                             + 1, F.lit(bins))).cast("int").alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     labels = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    # counts has at most `bins` rows: bounded broadcast
     return (labels.crossJoin(F.broadcast(rng))
-            .join(counts, "bin", "left")
+            .join(F.broadcast(counts), "bin", "left")
             .select("bin",
                     (F.col("_lo") + (F.col("bin") - 1) * width).alias("bin_start"),
                     (F.col("_lo") + F.col("bin") * width).alias("bin_end"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
@@ -308,10 +308,8 @@ def audit_special_codes(wh) -> DataFrame:
         F.min(S.PRICE).cast("double").alias("min_price"),
         F.max(S.PRICE).cast("double").alias("max_price"),
         F.sum(S.QUANTITY).cast("bigint").alias("total_quantity"))
-    per_desc = sp.groupBy(S.STOCK_CODE, S.DESCRIPTION).agg(F.count(F.lit(1)).alias("description_rows"))
-    w = Window.partitionBy(S.STOCK_CODE).orderBy(F.col("description_rows").desc(),
-                                                 F.col(S.DESCRIPTION).asc_nulls_last())
-    main = per_desc.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    # main description = the per-code top-1 of the description counts (salted, see topk)
+    main = top_values(sp, S.DESCRIPTION, 1, group_cols=(S.STOCK_CODE,), count_col="description_rows").drop("rank")
     return inv.join(main, S.STOCK_CODE, "left").orderBy(F.col("rows").desc(), S.STOCK_CODE)
 
 
