@@ -68,6 +68,8 @@ def _listing(spark: SparkSession, sf_dir: str) -> str:
 class Warehouse:
     """Layers built on demand, each written once and then read from Parquet."""
 
+    TIME_CLUSTERED = {"fact_order_lines": "InvoiceDate", "fact_orders": "order_datetime"}
+
     ORDER = ["landing", "bronze", "silver_transactions", "fact_order_lines", "fact_orders",
              "dim_customers", "dim_products", "customer_rfm"]
 
@@ -154,7 +156,12 @@ class Warehouse:
                         # never sees a half-written table, concurrent builders
                         # of the same table do not clash.
                         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-                        writer = self._compute(name).write.mode("overwrite")
+                        df = self._compute(name)
+                        if name in self.TIME_CLUSTERED:
+                            # time-ordered row groups: range filters on the
+                            # timestamp skip row groups by their min/max
+                            df = df.sortWithinPartitions(self.TIME_CLUSTERED[name])
+                        writer = df.write.mode("overwrite")
                         if name == "landing":
                             writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
                         writer.parquet(tmp)
