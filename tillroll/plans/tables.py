@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillroll.sources.periods import bronze_summary as _bronze_summary
 
@@ -45,10 +44,8 @@ def customer_rfm(wh) -> DataFrame:
 
 
 def describe_table(wh, table: str = "fact_order_lines") -> DataFrame:
-    """Column position, name and type of a warehouse table."""
-    df = wh.table(table)
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return wh.spark.createDataFrame(rows, "position int, column_name string, column_type string")
-
-
-_ = F  # keep the functions import for symmetry with other plan modules
+    """Column names and types of a warehouse table (``DESCRIBE`` on its view)."""
+    view = f"tillroll_{table}"
+    wh.table(table).createOrReplaceTempView(view)
+    return wh.spark.sql(f"DESCRIBE TABLE {view}").selectExpr(
+        "col_name AS column_name", "data_type AS column_type")
