@@ -133,3 +133,16 @@ def test_price_series_text_is_stripped(spark):
     from tillroll.functions.numeric import strip
     df = spark.createDataFrame([("\t small ring \n",), ("small ring",), (None,)], "d string")
     assert [r[0] for r in df.select(strip("d")).collect()] == ["small ring", "small ring", None]
+
+
+def test_pipeline_checks_pass_and_a_failure_stops_the_run(spark, wh_check, monkeypatch):
+    import pytest
+    from tillroll.plans import pipeline
+    res = pipeline.run_checks(wh_check)
+    assert res["check_orders"]["grain_valid"] and res["check_bronze"]["bronze_is_valid"]
+
+    def broken(wh):
+        return spark.createDataFrame([(False, 1)], "grain_valid boolean, orders long")
+    monkeypatch.setitem(pipeline._RULES, "check_orders", (broken, ["grain_valid"], []))
+    with pytest.raises(pipeline.CheckFailed, match="check_orders.grain_valid"):
+        pipeline.run_checks(wh_check)
