@@ -2,7 +2,8 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_SHUFFLE_PARTITIONS (default = cpus; AQE coalesces further), BENCH_QUERIES
-(comma list to run a subset).
+(comma list to run a subset), BENCH_EVENT_LOG=1 (write Spark's event log to the
+scratch folder; summarize with scripts/stage_times.py).
 Prints ONE JSON line:
   {"metric": "total_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
@@ -35,9 +36,11 @@ def main() -> None:
 
     scratch = tempfile.mkdtemp(prefix="tillroll-bench-")
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions,
-                          extra={"spark.driver.memory": "16g",
-                                 "spark.local.dir": os.path.join(scratch, "local")})
+    extra = {"spark.driver.memory": "16g", "spark.local.dir": os.path.join(scratch, "local")}
+    if os.environ.get("BENCH_EVENT_LOG") == "1":
+        os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.path.join(scratch, "events")})
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
     spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
 
     timings: dict[str, float] = {}
@@ -45,6 +48,7 @@ def main() -> None:
     wh = Warehouse(spark, sf_dir, root=os.path.join(scratch, "warehouse"))
     for name in Warehouse.ORDER:
         t0 = time.time()
+        spark.sparkContext.setJobDescription(f"build_{name}")
         wh.table(name)
         timings[f"build_{name}"] = round(time.time() - t0, 3)
 
@@ -52,11 +56,12 @@ def main() -> None:
         if only and key not in only:
             continue
         t0 = time.time()
+        spark.sparkContext.setJobDescription(key)
         fn(wh).write.format("noop").mode("overwrite").save()
         timings[key] = round(time.time() - t0, 3)
     total = round(time.time() - t_all, 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec",
-                      "queries": timings, "sf": sf, "cpus": cpus}))
+                      "queries": timings, "sf": sf, "cpus": cpus, "scratch": scratch}))
     spark.stop()
 
 
