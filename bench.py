@@ -32,7 +32,7 @@ def main() -> None:
 
     from tillroll.plans.warehouse import Warehouse
     from tillroll.registry import plan_functions
-    from tillroll.session import build_session
+    from tillroll.session import build_session, checkpoint_dir
 
     scratch = tempfile.mkdtemp(prefix="tillroll-bench-")
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
@@ -41,11 +41,13 @@ def main() -> None:
         os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.path.join(scratch, "events")})
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
-    spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
+    # the shared folder the cluster names (set only if unset); a fresh warehouse
+    # folder inside it, so every bench run measures a full build
+    base = checkpoint_dir(spark)
 
     timings: dict[str, float] = {}
     t_all = time.time()
-    wh = Warehouse(spark, sf_dir, root=os.path.join(scratch, "warehouse"))
+    wh = Warehouse(spark, sf_dir, root=os.path.join(base, "tillroll-bench", os.path.basename(scratch)))
     for name in Warehouse.ORDER:
         t0 = time.time()
         spark.sparkContext.setJobDescription(f"build_{name}")
