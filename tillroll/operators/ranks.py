@@ -142,9 +142,20 @@ def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int |
     if buckets is None:
         per = rows_per_bucket or ROWS_PER_BUCKET
         buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / per)))
-    if buckets > 1:
-        # read twice more (sample, full pass): compute the input once
-        df = materialize(df)
+    sort_cols = [F.col(k.name).asc() if k.ascending else F.col(k.name).desc() for k in keys]
+    if buckets <= 1:
+        # at most ROWS_PER_BUCKET rows: one ordered window is the bounded bucket
+        w = Window.orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        w_all = Window.partitionBy()
+        return df.select(
+            *df.columns,
+            F.row_number().over(w).cast("bigint").alias("row_pos"),
+            *[F.sum(s).over(w).alias(f"{s}_cum") for s in sums],
+            F.count(F.lit(1)).over(w_all).cast("bigint").alias("total_rows"),
+            *[F.sum(s).over(w_all).alias(f"{s}_total") for s in sums],
+        )
+    # read twice more (sample, full pass): compute the input once
+    df = materialize(df)
     cuts = range_cuts(df, keys, n_rows, buckets)
     bucket = _bucket_expr(keys, cuts, types) if cuts else F.lit(0)
     b = df.withColumn("_bucket", bucket.cast("int"))
@@ -162,8 +173,7 @@ def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int |
         *[F.sum(f"_b_{s}").over(w_tot).alias(f"{s}_total") for s in sums],
     )
 
-    w_in = (Window.partitionBy("_bucket")
-            .orderBy(*[F.col(k.name).asc() if k.ascending else F.col(k.name).desc() for k in keys])
+    w_in = (Window.partitionBy("_bucket").orderBy(*sort_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = b.select(
         "*",
