@@ -67,6 +67,11 @@ CROSS JOIN (SELECT COUNT(*) AS common_invoices FROM (
   SELECT Invoice FROM a WHERE Invoice IS NOT NULL INTERSECT SELECT Invoice FROM b WHERE Invoice IS NOT NULL) i) z
 CROSS JOIN (SELECT COUNT(*) AS only_in_a FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) d) ea
 CROSS JOIN (SELECT COUNT(*) AS only_in_b FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) d) eb""",
+    "audit_common_invoices": f"""
+SELECT Invoice FROM raw_a WHERE {_OVERLAP} AND Invoice IS NOT NULL
+INTERSECT
+SELECT Invoice FROM raw_b WHERE {_OVERLAP} AND Invoice IS NOT NULL
+ORDER BY Invoice""",
     "audit_quantity_signs": f"""
 SELECT {_cnt('Quantity < 0')} AS negative_rows,
   COUNT(DISTINCT CASE WHEN Quantity < 0 THEN Invoice END) AS negative_invoices,

@@ -84,6 +84,18 @@ def audit_overlap(wh) -> DataFrame:
                       ((F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)).alias("identical_rows"))
 
 
+def audit_common_invoices(wh) -> DataFrame:
+    """Invoices present on the shared days of both periods (distinct keys,
+    semi-join)."""
+    early, late = wh.raw_periods()
+    lo = F.lit(FM.OVERLAP_START).cast("timestamp_ntz")
+    hi = F.lit(FM.OVERLAP_END).cast("timestamp_ntz")
+    in_overlap = (F.col(S.INVOICE_DATE) >= lo) & (F.col(S.INVOICE_DATE) < hi) & F.col(S.INVOICE).isNotNull()
+    a = early.filter(in_overlap).select(S.INVOICE).distinct()
+    b = late.filter(in_overlap).select(S.INVOICE).distinct()
+    return a.join(b, S.INVOICE, "left_semi").orderBy(S.INVOICE)
+
+
 # ------------------------------------------------------ quantity / price --
 
 def audit_quantity_signs(wh) -> DataFrame:
