@@ -125,3 +125,9 @@ def test_grouped_top_values_with_a_hot_group(spark):
     # ties at 10 rows: smallest values first
     assert got[("hot", 2)] == ("v0", 10) and got[("hot", 3)] == ("v1", 10)
     assert got[("cold", 1)] == ("a", 1) and got[("cold", 2)] == (None, 1)
+
+
+def test_describe_constant_column_has_zero_std(spark):
+    df = spark.createDataFrame([(Decimal("987654.32"),)] * 1000, "x decimal(12,2)")
+    row = describe(df, ["x"]).collect()[0]
+    assert row["std"] == 0.0 and row["mean"] == 987654.32 and row["p50"] == 987654.32

@@ -8,9 +8,10 @@ single-task sort), and pick the values at the two positions around
 ``t < .5 → a + (b-a)·t``, else ``b - (b-a)·(1-t)``.
 
 ``describe`` gives pandas' ``describe()`` numbers (count, mean, sample std,
-min, quartiles, max).  Sums are exact decimals; mean and std are computed from
-them in double with a fixed operation order, so the result does not depend on
-task order.
+min, quartiles, max).  Sums are exact decimals and the variance numerator
+n·Σx² − (Σx)² is formed exactly before one division in double, so the result
+neither depends on task order nor loses precision when the mean is large
+against the spread (a constant column has std exactly 0).
 """
 
 from __future__ import annotations
@@ -87,13 +88,15 @@ def describe(df: DataFrame, cols: list[str], exact_type: str = "decimal(18,2)")
         F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}"))])
     per_col = moments.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
-                 F.col(f"s{i}").cast("double").alias("_s1"), F.col(f"q{i}").cast("double").alias("_s2"),
+                 F.col(f"s{i}").cast("decimal(38,2)").alias("_s1"),
+                 (F.col(f"n{i}").cast("decimal(38,0)") * F.col(f"q{i}")
+                  - F.col(f"s{i}") * F.col(f"s{i}")).cast("decimal(38,4)").alias("_num"),
                  F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(cols)])).alias("m")).select("m.*")
     n = F.col("count").cast("double")
-    s1, s2 = F.col("_s1"), F.col("_s2")
-    mean = s1 / F.when(n > 0, n)
-    var = (s2 - s1 * s1 / n) / F.when(n > 1, n - 1)
+    mean = F.col("_s1").cast("double") / F.when(n > 0, n)
+    # n·Σx² − (Σx)² is exact in DECIMAL (no cancellation), then one division
+    var = F.col("_num").cast("double") / F.when(n > 1, n * (n - 1))
     stats = per_col.select("_c", "column", F.col("count").cast("bigint").alias("count"), mean.alias("mean"),
                            F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"), "min", "max")
     q = _quantiles_long(df, cols, DESCRIBE_QUANTILES)

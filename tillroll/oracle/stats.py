@@ -33,7 +33,8 @@ def describe_sql(src: str, cols: list[str]) -> str:
         x = f"CAST({c} AS DECIMAL(38,2))"
         n = "CAST(COUNT(x) AS DOUBLE)"
         s1 = "CAST(SUM(x) AS DOUBLE)"
-        s2 = "CAST(SUM(x * x) AS DOUBLE)"
+        num = ("CAST(CAST(CAST(COUNT(x) AS DECIMAL(38,0)) * SUM(x * x) - SUM(x) * SUM(x) AS DECIMAL(38,4))"
+               " AS VARCHAR)")
         q = quantiles_sql(src, c, (0.25, 0.5, 0.75))
         parts.append(f"""
 SELECT '{c}' AS "column", m.count, m.mean, m.std, m.min,
@@ -44,7 +45,7 @@ SELECT '{c}' AS "column", m.count, m.mean, m.std, m.min,
 FROM (
   SELECT COUNT(x) AS count,
     {s1} / CASE WHEN {n} > 0 THEN {n} END AS mean,
-    SQRT(GREATEST(({s2} - {s1} * {s1} / {n}) / CASE WHEN {n} > 1 THEN {n} - 1 END, 0.0)) AS std,
+    SQRT(GREATEST(CAST({num} AS DOUBLE) / CASE WHEN {n} > 1 THEN {n} * ({n} - 1) END, 0.0)) AS std,
     CAST(MIN(x) AS DOUBLE) AS min, CAST(MAX(x) AS DOUBLE) AS max
   FROM (SELECT {x} AS x FROM ({src}) s) t) m""")
     return "\nUNION ALL\n".join(parts)
