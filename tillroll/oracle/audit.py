@@ -47,6 +47,14 @@ _PRICE_SERIES = (f"SELECT * FROM bronze WHERE COALESCE(regexp_replace(Descriptio
                  f"= '{PRICE_SERIES_DESCRIPTION}', FALSE)")
 
 
+_GAP_SECONDS = """
+SELECT date_diff('second', first_date, last_date) AS gap_seconds FROM (
+  SELECT Invoice, COUNT(DISTINCT InvoiceDate) AS dates, MIN(InvoiceDate) AS first_date,
+    MAX(InvoiceDate) AS last_date
+  FROM bronze WHERE Invoice IS NOT NULL GROUP BY Invoice) g
+WHERE dates > 1"""
+
+
 def _nulls(t: str) -> str:
     cols = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price", "customer_id_raw", "Country"]
     nulls = ", ".join(f"{_cnt(c + ' IS NULL')} AS null_{c}" for c in cols)
@@ -210,6 +218,10 @@ FROM (SELECT Invoice, COUNT(DISTINCT InvoiceDate) AS dates, MIN(InvoiceDate) AS
         MAX(InvoiceDate) AS last_date, COUNT(*) AS rows
       FROM bronze WHERE Invoice IS NOT NULL GROUP BY Invoice) g
 WHERE dates > 1 ORDER BY gap_minutes DESC, Invoice""",
+    "audit_gap_stats": f"""
+SELECT 'gap_minutes' AS "column", count, mean / 60.0 AS mean, std / 60.0 AS std, min / 60.0 AS min,
+  p25 / 60.0 AS p25, p50 / 60.0 AS p50, p75 / 60.0 AS p75, max / 60.0 AS max
+FROM ({describe_sql(_GAP_SECONDS, ["gap_seconds"])}) d""",
     "audit_multi_country": """
 SELECT customer_id_raw, COUNT(DISTINCT Country) AS countries FROM bronze
 WHERE customer_id_raw IS NOT NULL GROUP BY customer_id_raw HAVING COUNT(DISTINCT Country) > 1

@@ -392,6 +392,17 @@ def audit_multi_timestamp(wh) -> DataFrame:
              .orderBy(F.col("gap_minutes").desc(), S.INVOICE))
 
 
+def audit_gap_stats(wh) -> DataFrame:
+    """C15 + A29: describe() of the gap of multi-timestamp invoices, in minutes.
+
+    Described exactly in whole seconds, then scaled (minutes = seconds / 60)."""
+    gaps = audit_multi_timestamp(wh).select(
+        F.timestamp_diff("SECOND", F.col("first_date"), F.col("last_date")).alias("gap_seconds"))
+    d = describe(gaps, ["gap_seconds"], exact_type="decimal(18,0)")
+    return d.select(F.lit("gap_minutes").alias("column"), "count",
+                    *[(F.col(c) / F.lit(60.0)).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
 def audit_multi_country(wh) -> DataFrame:
     """Identified customers seen in several countries (null ids filtered first)."""
     d = _lines(wh).filter(F.col(S.CUSTOMER).isNotNull())
