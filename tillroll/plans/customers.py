@@ -188,14 +188,20 @@ def _pareto(wh, *, buckets: int | None = None) -> DataFrame:
     )
 
 
-def customer_pareto(wh, *, buckets: int | None = None) -> DataFrame:
+def _value_curve(wh) -> DataFrame:
+    """The Pareto table, stored once: three reports read it."""
+    derived = getattr(wh, "derived", None)
+    return derived("customer_value_curve", _pareto) if derived else _pareto(wh)
+
+
+def customer_pareto(wh) -> DataFrame:
     """A28 + W4: customers by value (desc, id), running value and shares."""
-    return _pareto(wh, buckets=buckets).drop("net_exact", "net_exact_total")
+    return _value_curve(wh).drop("net_exact", "net_exact_total")
 
 
 def pareto_top_shares(wh) -> DataFrame:
     """Value share of the top 1 / 5 / 10 / 20 % customers."""
-    p = _pareto(wh)
+    p = _value_curve(wh)
     cols = []
     for t in PARETO_THRESHOLDS:
         part = F.sum(F.when(F.col("cumulative_customers_pct") <= t, F.col("net_exact")))
@@ -208,7 +214,7 @@ def pareto_top_shares(wh) -> DataFrame:
 
 def pareto_80(wh) -> DataFrame:
     """Share of customers needed to reach 80 % of the value."""
-    p = _pareto(wh)
+    p = _value_curve(wh)
     return p.filter(F.col("cumulative_sales_pct") >= PARETO_TARGET_PCT).agg(
         F.min("cumulative_customers_pct").alias("customers_for_80_pct"))
 

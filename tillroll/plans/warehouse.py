@@ -145,30 +145,40 @@ class Warehouse:
         raise KeyError(name)
 
     def table(self, name: str) -> DataFrame:
+        """A warehouse layer (``ORDER``), built on first use."""
         with self._lock:
             if name not in self._tables:
-                if not self.materialize:
-                    self._tables[name] = self._compute(name)
-                else:
-                    path = os.path.join(self.root, name)
-                    if not path_exists(self.spark, os.path.join(path, "_SUCCESS")):
-                        # write aside, then publish with one rename: a reader
-                        # never sees a half-written table, concurrent builders
-                        # of the same table do not clash.
-                        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-                        df = self._compute(name)
-                        if name in self.TIME_CLUSTERED:
-                            # time-ordered row groups: range filters on the
-                            # timestamp skip row groups by their min/max
-                            df = df.sortWithinPartitions(self.TIME_CLUSTERED[name])
-                        writer = df.write.mode("overwrite")
-                        if name == "landing":
-                            writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
-                        writer.parquet(tmp)
-                        publish(self.spark, tmp, path)
-                    self._tables[name] = self.spark.read.parquet(path)
+                self._tables[name] = self._store(name, lambda: self._compute(name))
             return self._tables[name]
 
+    def derived(self, name: str, fn) -> DataFrame:
+        """A report-side table several reports read (e.g. the value curve),
+        computed once by ``fn(self)`` and stored like a layer."""
+        with self._lock:
+            if name not in self._tables:
+                self._tables[name] = self._store(name, lambda: fn(self))
+            return self._tables[name]
+
+    def _store(self, name: str, compute) -> DataFrame:
+        if not self.materialize:
+            return compute()
+        path = os.path.join(self.root, name)
+        if not path_exists(self.spark, os.path.join(path, "_SUCCESS")):
+            # write aside, then publish with one rename: a reader never sees a
+            # half-written table, concurrent builders of the same table do not clash.
+            tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+            df = compute()
+            if name in self.TIME_CLUSTERED:
+                # time-ordered row groups: range filters on the timestamp skip
+                # row groups by their min/max
+                df = df.sortWithinPartitions(self.TIME_CLUSTERED[name])
+            writer = df.write.mode("overwrite")
+            if name == "landing":
+                writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
+            writer.parquet(tmp)
+            publish(self.spark, tmp, path)
+        return self.spark.read.parquet(path)
+
     def build(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self.ORDER}
 
