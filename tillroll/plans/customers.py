@@ -140,12 +140,19 @@ def check_rfm(wh) -> DataFrame:
 
 # ---------------------------------------------------------- orders / customers --
 
-def _purchase_counts(wh) -> DataFrame:
+def _compute_purchase_counts(wh) -> DataFrame:
     fo = wh.table("fact_orders").filter(F.col("customer_id").isNotNull())
     return (fo.groupBy("customer_id").agg(count_when(F.col("has_product_sale")).alias("purchase_count"))
               .filter(F.col("purchase_count") > 0))
 
 
+def _purchase_counts(wh) -> DataFrame:
+    """Purchases per identified customer, stored once: three reports read it."""
+    derived = getattr(wh, "derived", None)
+    return (derived("customer_purchase_counts", _compute_purchase_counts) if derived
+            else _compute_purchase_counts(wh))
+
+
 def customer_frequency(wh) -> DataFrame:
     """Purchases per identified customer (> 0), most frequent first."""
     return _purchase_counts(wh).orderBy(F.col("purchase_count").desc(), "customer_id")
