@@ -88,15 +88,23 @@ def _product_totals(wh, lines: DataFrame) -> DataFrame:
     per_code = lines.groupBy(S.STOCK_CODE).agg(
         _sum("gross_product_sales_value").alias("_gross"),
         _sum("product_cancellation_value").alias("_cancel"),
-        _sum("net_product_sales_value").alias("_net"))
+        _sum("net_product_sales_value").alias("_net"),
+        F.sum(F.when(F.col("is_product_sale"), F.col(S.QUANTITY)).otherwise(0)).cast("bigint").alias("quantity_sold"))
     dp = wh.table("dim_products").select(F.col("stock_code").alias(S.STOCK_CODE), "product_description")
     return per_code.join(dp, S.STOCK_CODE, "left")
 
 
+def _all_product_totals(wh) -> DataFrame:
+    """Per-code totals of all product lines, stored once: four reports read them."""
+    def compute(w):
+        return _product_totals(w, w.table("fact_order_lines").filter(F.col("line_category") == "product"))
+    derived = getattr(wh, "derived", None)
+    return derived("product_totals", compute) if derived else compute(wh)
+
+
 def product_performance(wh) -> DataFrame:
     """A13 + F5: every product line code, sorted by net sales."""
-    fol = wh.table("fact_order_lines").filter(F.col("line_category") == "product")
-    t = _product_totals(wh, fol)
+    t = _all_product_totals(wh)
     return (t.select(F.col(S.STOCK_CODE).alias("stock_code"),
                      F.coalesce(F.col("product_description"), F.col(S.STOCK_CODE)).alias("product_description"),
                      money("_gross").alias("gross_sales"),
@@ -107,8 +115,7 @@ def product_performance(wh) -> DataFrame:
 
 
 def _top_products(wh, measure: str, n: int) -> DataFrame:
-    fol = wh.table("fact_order_lines").filter(F.col("line_category") == "product")
-    t = _product_totals(wh, fol).withColumn("_cancel_pos", -F.col("_cancel"))
+    t = _all_product_totals(wh).withColumn("_cancel_pos", -F.col("_cancel"))
     key = {"net_sales": "_net", "cancellation_value": "_cancel_pos"}[measure]
     return (t.orderBy(F.col(key).desc(), F.col(S.STOCK_CODE)).limit(n)
              .select(F.col(S.STOCK_CODE).alias("stock_code"),
@@ -203,13 +210,7 @@ def _label(code: str, desc: str) -> Column:
 
 def product_ranking(wh) -> DataFrame:
     """A19 + F6: product codes with positive net value, with chart label."""
-    fol = wh.table("fact_order_lines").filter(F.col("line_category") == "product")
-    per_code = fol.groupBy(S.STOCK_CODE).agg(
-        F.sum(F.when(F.col("is_product_sale"), F.col(S.QUANTITY)).otherwise(0)).cast("bigint").alias("quantity_sold"),
-        _sum("gross_product_sales_value").alias("_gross"),
-        _sum("net_product_sales_value").alias("_net")).filter(F.col("_net") > 0)
-    dp = wh.table("dim_products").select(F.col("stock_code").alias(S.STOCK_CODE), "product_description")
-    return (per_code.join(dp, S.STOCK_CODE, "left")
+    return (_all_product_totals(wh).filter(F.col("_net") > 0)
             .select(F.col(S.STOCK_CODE).alias("stock_code"), "product_description", "quantity_sold",
                     rounded_money("_gross").alias("gross_product_sales"),
                     rounded_money("_net").alias("net_product_sales"))
