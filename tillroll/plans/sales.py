@@ -49,11 +49,27 @@ def kpi_executive(wh) -> DataFrame:
     )
 
 
-def monthly_sales(wh) -> DataFrame:
+def _compute_monthly_orders(wh) -> DataFrame:
     fo = wh.table("fact_orders")
-    return (fo.groupBy(CAL.month_start("order_datetime").alias("month"))
-              .agg(money(_sum("net_product_sales_value")).alias("net_sales"),
-                   count_when(_sale()).alias("purchase_orders"))
+    return fo.groupBy(CAL.month_start("order_datetime").alias("month")).agg(
+        _sum("gross_product_sales_value").alias("_gross"),
+        _sum("product_cancellation_value").alias("_cancel"),
+        _sum("net_product_sales_value").alias("_net"),
+        count_when(_sale()).alias("_purchases"),
+        count_when(_cancel()).alias("_cancellations"),
+        purchasing_customers().alias("_customers"))
+
+
+def _monthly_orders(wh) -> DataFrame:
+    """Exact monthly totals of the orders (one row per month), stored once:
+    the four monthly reports read them."""
+    derived = getattr(wh, "derived", None)
+    return derived("monthly_orders", _compute_monthly_orders) if derived else _compute_monthly_orders(wh)
+
+
+def monthly_sales(wh) -> DataFrame:
+    m = _monthly_orders(wh)
+    return (m.select("month", money("_net").alias("net_sales"), F.col("_purchases").alias("purchase_orders"))
               .orderBy("month"))
 
 
@@ -75,11 +91,9 @@ def kpi_sales(wh) -> DataFrame:
 
 
 def monthly_cancel_rate(wh) -> DataFrame:
-    fo = wh.table("fact_orders")
-    return (fo.groupBy(CAL.month_start("order_datetime").alias("month"))
-              .agg((money(_sum("gross_product_sales_value")) / F.lit(1000000.0)).alias("gross_sales_m"),
-                   safe_div(F.lit(100.0) * money(-_sum("product_cancellation_value")),
-                            _sum("gross_product_sales_value")).alias("cancellation_rate"))
+    m = _monthly_orders(wh)
+    return (m.select("month", (money("_gross") / F.lit(1000000.0)).alias("gross_sales_m"),
+                     safe_div(F.lit(100.0) * money(-F.col("_cancel")), "_gross").alias("cancellation_rate"))
               .orderBy("month"))
 
 
@@ -186,9 +200,12 @@ def business_kpis_long(wh) -> DataFrame:
 
 
 def monthly_performance(wh) -> DataFrame:
-    fo = wh.table("fact_orders")
-    m = (fo.groupBy(CAL.month_start("order_datetime").alias("month"))
-           .agg(*_kpi_columns(), purchasing_customers().alias("active_identified_customers")))
+    m = _monthly_orders(wh).select(
+        "month", rounded_money("_gross").alias("gross_product_sales"),
+        rounded_money("_cancel").alias("product_cancellations"),
+        rounded_money("_net").alias("net_product_sales"),
+        F.col("_purchases").alias("purchase_invoices"),
+        F.col("_customers").alias("active_identified_customers"))
     return (m.withColumn("average_order_value", safe_div(F.col("gross_product_sales"), F.col("purchase_invoices")))
              .orderBy("month"))
 
@@ -288,12 +305,11 @@ def saturday_orders(wh) -> DataFrame:
 
 
 def monthly_cancellations(wh) -> DataFrame:
-    fo = wh.table("fact_orders")
-    m = (fo.groupBy(CAL.month_start("order_datetime").alias("month"))
-           .agg(count_when(_sale()).alias("purchase_invoices"),
-                count_when(_cancel()).alias("cancellation_invoices"),
-                rounded_money(_sum("gross_product_sales_value")).alias("gross_product_sales"),
-                rounded_money(F.abs(_sum("product_cancellation_value"))).alias("cancellation_value")))
+    m = _monthly_orders(wh).select(
+        "month", F.col("_purchases").alias("purchase_invoices"),
+        F.col("_cancellations").alias("cancellation_invoices"),
+        rounded_money("_gross").alias("gross_product_sales"),
+        rounded_money(F.abs(F.col("_cancel"))).alias("cancellation_value"))
     return (m.withColumn("cancellation_invoice_ratio_pct",
                          safe_div("cancellation_invoices", "purchase_invoices") * 100)
              .withColumn("cancellation_value_ratio_pct",
