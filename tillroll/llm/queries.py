@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe_codec, swap_packing
+from tillroll.llm import bpe_codec, oph_neardup, swap_packing
 from tillroll.llm.store import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,8 +21,12 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_oph_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oph_neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_swap_packing, op5_bpe_codec)}
+    return {f.__name__: f for f in (op4_swap_packing, op5_bpe_codec, op8_oph_neardup)}
 
 
 def oracle_sql() -> dict[str, str]:
