@@ -7,12 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe_codec, oph_neardup, swap_packing
+from tillroll.llm import bpe_codec, hilbert_shards, host_reputation, mcd_rules, oph_neardup, swap_packing
+from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+#: The longest rule that fits a url decides it.
+RULES = [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
+         Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/")]
+
+
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"], n_shards=16)
+
+
 def op4_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return swap_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -25,9 +35,18 @@ def op8_oph_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oph_neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op9_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mcd_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_reputation.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_swap_packing, op5_bpe_codec, op8_oph_neardup)}
+    return {f.__name__: f for f in (op3_hilbert_shards, op4_swap_packing, op5_bpe_codec, op8_oph_neardup,
+                                   op9_mcd_rules, op10_host_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_host_reputation": host_reputation.judge_sql(RULES)}
