@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe_codec, hilbert_shards, host_reputation, mcd_rules, oph_neardup, swap_packing
+from tillroll.llm import bpe_codec, hilbert_shards, host_reputation, mcd_rules, oph_neardup, pq_neardup, swap_packing
 from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
@@ -19,6 +19,10 @@ RULES = [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("
          Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/")]
 
 
+def op1_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"], n_shards=16)
 
@@ -44,8 +48,8 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_hilbert_shards, op4_swap_packing, op5_bpe_codec, op8_oph_neardup,
-                                   op9_mcd_rules, op10_host_reputation)}
+    return {f.__name__: f for f in (op1_pq_neardup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
+                                   op8_oph_neardup, op9_mcd_rules, op10_host_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:
