@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import bpe_codec, hilbert_shards, host_reputation, mcd_rules, oph_neardup, pq_neardup, swap_packing
+from tillroll.llm import bpe_codec, hilbert_shards, host_reputation, line_dedup, mcd_rules, oph_neardup, pq_neardup, swap_packing
 from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
@@ -23,6 +24,17 @@ def op1_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped, dropped_lines for every document."""
+    docs = table(spark, sf_dir, "documents")
+    dropped = line_dedup.duplicate_lines(docs, threshold=2, least=20)
+    lines = docs.select("doc_id", line_dedup.row_key().alias("row"),
+                        F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    return (lines.join(dropped, ["doc_id", "row"], "left")
+            .select("doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+                    F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped_lines")))
+
+
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"], n_shards=16)
 
@@ -48,7 +60,7 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pq_neardup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
+    return {f.__name__: f for f in (op1_pq_neardup, op2_line_dedup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
                                    op8_oph_neardup, op9_mcd_rules, op10_host_reputation)}
 
 
