@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe_codec, hilbert_shards, host_reputation, line_dedup, mcd_rules, oph_neardup, pq_neardup, swap_packing
+from tillroll.llm import bpe_codec, chain_dedup, hilbert_shards, host_reputation, line_dedup, mcd_rules, oph_neardup, pq_neardup, swap_packing
 from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
@@ -47,6 +47,11 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a passage that repeats words of a document with a smaller id."""
+    return chain_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("row", "source_row")
+
+
 def op8_oph_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oph_neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -61,7 +66,7 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pq_neardup, op2_line_dedup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
-                                   op8_oph_neardup, op9_mcd_rules, op10_host_reputation)}
+                                   op6_chain_dedup, op8_oph_neardup, op9_mcd_rules, op10_host_reputation)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.session import checkpoint_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application; tasks
+    import it by name wherever the application was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tillroll_sent", None) is None:
+        root = pathlib.Path(__file__).resolve().parents[1]
+        target = pathlib.Path(tempfile.mkdtemp(prefix="tillroll-"), "tillroll.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(target))
+        sc._tillroll_sent = str(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
