@@ -3,10 +3,9 @@
 One hash per shingle fills all slots: the hash's upper bits choose the slot, the
 smallest hash in it is kept.  An empty slot copies the first filled one in its own
 random order of slots, so that slots of small sets stay independent.  Rows of slots
-are hashed into bands; texts that share a band bucket are joined to the bucket's
-smallest one (a star), never to each other, so pairs stay linear in bucket sizes.
-Each star edge is confirmed on full shingle sets.  Members that fail against their
-centre form a star of their own, round by round, until every bucket is used up."""
+are hashed into bands; texts that share a band bucket are joined to a few centres of
+the bucket (stars), never to each other, so pairs stay linear in bucket sizes.  Each
+star edge is confirmed on full shingle sets."""
 
 from __future__ import annotations
 
@@ -97,21 +96,13 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those (a, b) whose full sets overlap enough; texts of no other documents move."""
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "oph-ids")
-    # a class is named by its smallest document; where an id comes more than once, the
-    # size tells its texts apart
-    sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), words) \
-        .withColumn("size", F.size("shingles").cast("long"))
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("size").alias("na"),
-                                  F.col("shingles").alias("sa")), ["a", "na"])
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("size").alias("nb"),
-                                 F.col("shingles").alias("sb")), ["b", "nb"])
-    common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return (both.select("a", "b", "na", "nb", common.alias("common"))
-            .where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent)
-            .select("a", "b").distinct())
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those (a, b) whose full sets overlap enough."""
+    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+            .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b"))
+    union = F.size("sa") + F.size("sb") - F.col("common")
+    return (both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
+            .where(F.col("common").cast("long") * 100 >= union.cast("long") * percent).select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
@@ -123,34 +114,43 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     shingle; a null, empty or blank text has none and links with nothing.  Equal sets
     are one class before any pair is made, so copies cost no pairs.  Rows without an id
     link with nothing and are kept (component null); rows that repeat an id share its
-    component.  Other columns are not read; an empty table gives an empty one."""
+    component.  Other columns are not read; an empty table gives an empty one.
+
+    Every bucket gives four stars: around its smallest document and around three
+    others, chosen by an order of their own in each bucket.  The last two are confirmed
+    only where the first two left documents of a bucket in different components."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sig = stored(signatures(docs, words), "oph-signatures")
     named = sig.where("n_shingles > 0 and doc_id is not null")
     classes = stored(named.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep")), "oph-classes")
-    banded = (named.select("doc_id", "set_hash", "bands")
-              .join(classes.withColumnRenamed("rep", "doc_id"), ["set_hash", "doc_id"])
-              .select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.explode("bands").alias("key"))
-              .repartition("key"))
-
-    def stars(rows: DataFrame) -> DataFrame:
-        centre = rows.groupBy("key").agg(F.min(F.struct(F.col("b").alias("a"), F.col("nb").alias("na"))).alias("c"),
-                                         F.max("b").alias("top"))
-        return (rows.join(centre.where("top > c.a").select("key", "c.*"), "key").where("b > a")
-                .select("key", "a", "na", "b", "nb"))
-
-    members = stored(stars(banded), "oph-stars")
-    links = None
-    while True:
-        pairs = stored(members.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-                       .select("a", "na", "b", "nb").distinct(), "oph-pairs")
-        good = stored(_confirmed(pairs, docs, words, percent), "oph-links")
-        links = good if links is None else links.union(good)
-        failed = members.join(good, ["a", "b"], "left_anti").select("key", "b", "nb")
-        members = stored(stars(failed), "oph-stars")
-        if members.isEmpty():
-            break
-    roots = components(links, "oph")
+    rows = (named.join(classes.select("set_hash", F.col("rep").alias("doc_id")), ["set_hash", "doc_id"])
+            .select(F.col("doc_id").alias("b"), F.explode("bands").alias("key")).repartition("key"))
+    # b XOR a number of the bucket's own: its minimum is another member in each bucket
+    turn = [F.lit(0).cast("long")] + [F.xxhash64("key", F.lit(k)) for k in (1, 2, 3)]
+    centres = rows.groupBy("key").agg(F.max("b").alias("top"), *[F.min(F.col("b").bitwiseXOR(t)).alias(f"m{k}")
+                                                                 for k, t in enumerate(turn)])
+    centres = centres.where("top > m0").select("key", *[F.col(f"m{k}").bitwiseXOR(t).alias(f"c{k}") for k, t in enumerate(turn)])
+    met = stored(rows.join(centres, "key").select("b", "c0", "c1", "c2", "c3").distinct(), "oph-stars")
+    sizes = classes.groupBy(F.col("rep").alias("id")).agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
+    sizes = stored(sizes, "oph-sizes")
+
+    def pairs(*centre: str) -> DataFrame:
+        """Distinct star edges, without those whose sizes alone rule a link out."""
+        edges = (met.select("b", F.explode(F.array(*centre)).alias("c")).where("b <> c")
+                 .select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct())
+        edges = (edges.join(sizes.select(F.col("id").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha")), "a")
+                 .join(sizes.select(F.col("id").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb")), "b"))
+        return edges.where((F.col("ha") * 100 >= F.col("lb") * percent) & (F.col("hb") * 100 >= F.col("la") * percent)) \
+            .select("a", "b")
+
+    ids = stored(met.select(F.col("b").alias("doc_id")).distinct(), "oph-ids")
+    sets = stored(shingle_sets(docs.join(ids, "doc_id", "left_semi"), words), "oph-sets")
+    first = components(_confirmed(stored(pairs("c0", "c1"), "oph-pairs"), sets, percent), "oph")
+    apart = (pairs("c2", "c3").join(first.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
+             .join(first.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
+             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+    second = _confirmed(stored(apart, "oph-pairs"), sets, percent)
+    roots = components(first.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second), "oph")
     rooted = (classes.join(roots, classes.rep == roots.id, "left")
               .select("set_hash", F.coalesce("root", "rep").alias("component_id")))
     out = sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash"))
