@@ -216,12 +216,17 @@ def duplicate_lines(docs: DataFrame, threshold: int = 2, least: int = 20,
             .groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
 
 
-def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  keep_emptied: bool = True, least: int = 20) -> DataFrame:
     """``docs`` with the lines of ``dropped`` (from ``duplicate_lines``) taken out of the
-    texts; documents that lose nothing stay as they are."""
+    texts; documents that lose nothing stay as they are.  Unless ``keep_emptied``, a
+    document goes if none of its lines of ``least`` characters is left."""
     names = docs.columns
     id_key, key, gone = (fresh_name(names, x) for x in ("_id", "_row", "_dropped"))
     lost = dropped.select(F.col("doc_id").alias(id_key), F.col("row").alias(key), F.col("dropped").alias(gone))
-    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
-    return (docs.join(lost, (docs[id_col] == lost[id_key]) & (row_key(text_col) == lost[key]), "left")
-            .withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(left)).select(*names))
+    joined = docs.join(lost, (docs[id_col] == lost[id_key]) & (row_key(text_col) == lost[key]), "left")
+    left = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(gone, i))
+    if not keep_emptied:
+        joined = joined.where(F.col(gone).isNull() | F.exists(left, lambda x: F.length(F.btrim(x, F.lit(BLANKS))) >= least))
+    return joined.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))) \
+        .select(*names)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe_codec, chain_dedup, hilbert_shards, host_reputation, line_dedup, mcd_rules, oph_neardup, pq_neardup, swap_packing
+from tillroll.llm import bpe_codec, chain_dedup, cotrain, hilbert_shards, host_reputation, line_dedup, mcd_rules, oph_neardup, pq_neardup, swap_packing
 from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
@@ -52,6 +53,10 @@ def op6_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("row", "source_row")
 
 
+def op7_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_oph_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oph_neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -66,7 +71,8 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pq_neardup, op2_line_dedup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
-                                   op6_chain_dedup, op8_oph_neardup, op9_mcd_rules, op10_host_reputation)}
+                                   op6_chain_dedup, op7_cotrain, op8_oph_neardup, op9_mcd_rules,
+                                   op10_host_reputation)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
