@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.plans import layers
-from tillroll.session import path_exists, publish, storage_root
+from tillroll.session import delete_folder, list_folders, read_pointer, storage_root, write_pointer
 from tillroll.sources import fixture_map
 from tillroll.sources.periods import ingest, read_period, type_period
 from tillroll.sources.reference import stockcode_categories
@@ -54,34 +54,45 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> str:
+    """State of the source folder: its entries (one per table) and, in one call, the
+    number and size of all files below."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(sf_dir)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    it = fs.listFiles(p, True)
-    parts = []
-    while it.hasNext():
-        st = it.next()
-        parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
-    return "|".join(sorted(parts))
+    parts = [f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(p)]
+    whole = fs.getContentSummary(p)
+    return "|".join(sorted(parts)) + f"|{whole.getFileCount()}:{whole.getLength()}"
+
+
+def drop_old_versions(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Delete the stored tables that older sources or code versions of this data folder
+    left under this project's own warehouse folder; returns their names."""
+    current = fingerprint(spark, sf_dir)
+    base = os.path.dirname(storage_root(spark, current))
+    stem = f"{os.path.basename(os.path.abspath(sf_dir))}-"
+    old = [n for n in list_folders(spark, base) if n != current and n.startswith(stem) and n.count("-") == current.count("-")]
+    for name in old:
+        delete_folder(spark, os.path.join(base, name))
+    return old
 
 
 class Warehouse:
     """Layers built on demand, each written once and then read from Parquet."""
 
-    TIME_CLUSTERED = {"fact_order_lines": "InvoiceDate", "fact_orders": "order_datetime"}
+    #: Facts in one folder a month of this column.
+    BY_MONTH = {"fact_order_lines": "InvoiceDate", "fact_orders": "order_datetime"}
+    MONTH_COL = "order_month"
 
     ORDER = ["landing", "bronze", "silver_transactions", "fact_order_lines", "fact_orders",
              "dim_customers", "dim_products", "customer_rfm"]
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, *,
-                 materialize: bool = True, repeat_chunk_rows: int | None = None,
-                 rank_buckets: int | None = None):
+                 materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
         self.root = root or storage_root(spark, fingerprint(spark, sf_dir))
-        self.repeat_chunk_rows = repeat_chunk_rows
-        self.rank_buckets = rank_buckets
+        self._paths: dict[str, str] = {}
         self._tables: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
@@ -101,7 +112,7 @@ class Warehouse:
         self.table("landing")
         col = fixture_map.RAW_PERIOD_COL
         if self.materialize:
-            base = os.path.join(self.root, "landing")
+            base = self._paths["landing"]
             return (read_period(self.spark, os.path.join(base, f"{col}={fixture_map.PERIOD_EARLY}")),
                     read_period(self.spark, os.path.join(base, f"{col}={fixture_map.PERIOD_LATE}")))
         land = self.table("landing")
@@ -130,8 +141,7 @@ class Warehouse:
         if name == "bronze":
             return self.consolidated()
         if name == "silver_transactions":
-            kw = {"chunk_rows": self.repeat_chunk_rows} if self.repeat_chunk_rows else {}
-            return layers.silver(self.table("bronze"), self.categories(), **kw)
+            return layers.silver(self.table("bronze"), self.categories())
         if name == "fact_order_lines":
             return layers.fact_order_lines(self.table("silver_transactions"))
         if name == "fact_orders":
@@ -141,7 +151,7 @@ class Warehouse:
         if name == "dim_products":
             return layers.dim_products(self.table("fact_order_lines"))
         if name == "customer_rfm":
-            return layers.customer_rfm(self.table("fact_orders"), rank_buckets=self.rank_buckets)
+            return layers.customer_rfm(self.table("fact_orders"))
         raise KeyError(name)
 
     def table(self, name: str) -> DataFrame:
@@ -162,22 +172,37 @@ class Warehouse:
     def _store(self, name: str, compute) -> DataFrame:
         if not self.materialize:
             return compute()
-        path = os.path.join(self.root, name)
-        if not path_exists(self.spark, os.path.join(path, "_SUCCESS")):
-            # write aside, then publish with one rename: a reader never sees a
-            # half-written table, concurrent builders of the same table do not clash.
-            tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        # each build writes a folder of its own and, once that is whole, a small pointer
+        # file that names it: a reader never sees a table in the making
+        pointer = os.path.join(self.root, f"{name}.current")
+        path = read_pointer(self.spark, pointer)
+        if path is None:
+            path = os.path.join(self.root, f"{name}-{uuid.uuid4().hex[:12]}")
             df = compute()
-            if name in self.TIME_CLUSTERED:
-                # time-ordered row groups: range filters on the timestamp skip
-                # row groups by their min/max
-                df = df.sortWithinPartitions(self.TIME_CLUSTERED[name])
-            writer = df.write.mode("overwrite")
+            if name in self.BY_MONTH:
+                # one folder a month, so a date range opens the months it touches; the
+                # rebalance keeps files even where a month is large
+                df = df.withColumn(self.MONTH_COL, F.trunc(F.col(self.BY_MONTH[name]).cast("date"), "month"))
+                df = df.hint("rebalance", self.MONTH_COL).sortWithinPartitions(self.MONTH_COL, self.BY_MONTH[name])
+            writer = df.write
             if name == "landing":
                 writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
-            writer.parquet(tmp)
-            publish(self.spark, tmp, path)
-        return self.spark.read.parquet(path)
+            elif name in self.BY_MONTH:
+                writer = writer.partitionBy(self.MONTH_COL)
+            writer.parquet(path)
+            write_pointer(self.spark, pointer, path)
+        self._paths[name] = path
+        return self.spark.read.parquet(path).drop(self.MONTH_COL)
+
+    def orders_between(self, first_year: int, last_year: int) -> DataFrame:
+        """Orders of the months of some years: only their folders are read."""
+        orders = self.table("fact_orders")
+        if not self.materialize:
+            return orders
+        month = F.col(self.MONTH_COL)
+        return self.spark.read.parquet(self._paths["fact_orders"]).filter(
+            month.between(F.lit(f"{first_year}-01-01").cast("date"), F.lit(f"{last_year}-12-01").cast("date"))) \
+            .drop(self.MONTH_COL)
 
     def build(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self.ORDER}

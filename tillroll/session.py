@@ -44,8 +44,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and stored tables.
 
-    ``spark.checkpoint.dir`` when the cluster names one; otherwise (local runs,
-    tests) a fixed local folder is set as the checkpoint directory."""
+    ``spark.checkpoint.dir`` when the cluster names one.  Only a local master may go
+    without: a fixed local folder is then set as the checkpoint directory.  A cluster
+    without a shared folder is an error, because executors do not see each other's
+    disks."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
@@ -54,6 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return os.path.dirname(current.rstrip("/"))
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir names no shared folder for this cluster")
     local = os.path.join(tempfile.gettempdir(), "tillroll-checkpoints")
     os.makedirs(local, exist_ok=True)
     spark.sparkContext.setCheckpointDir(local)
@@ -73,40 +78,46 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _has_jvm(spark: SparkSession) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def read_pointer(spark: SparkSession, path: str) -> str | None:
+    """Content of a pointer file (the folder of a finished table), None if there is none."""
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
     try:
-        return spark.sparkContext._jvm is not None
-    except Exception:  # noqa: BLE001 — e.g. a remote (Connect) session
-        return False
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip() or None
+    finally:
+        stream.close()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    if not _has_jvm(spark):
-        return os.path.exists(path.removeprefix("file:"))
+def write_pointer(spark: SparkSession, path: str, folder: str) -> None:
+    """Name a finished table.  Called only after its write has returned, so a reader finds
+    a whole table or none; of two builders the later pointer wins, and both tables are
+    whole.  No folder is renamed or replaced.  Raises if the file can't be written."""
     fs, p = _hadoop_fs(spark, path)
-    return bool(fs.exists(p))
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(folder.encode()))
+    finally:
+        stream.close()
+    if read_pointer(spark, path) is None:
+        raise RuntimeError(f"could not publish {folder}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_fs(spark, path)
+    return bool(fs.delete(p, True))
 
 
-def publish(spark: SparkSession, tmp_path: str, final_path: str) -> bool:
-    """Atomically move a finished output into place (rename on the cluster
-    file system); False if another writer published first."""
-    if not _has_jvm(spark):
-        try:
-            os.makedirs(os.path.dirname(final_path), exist_ok=True)
-            os.rename(tmp_path, final_path)
-            return True
-        except OSError:
-            return False
-    fs, src = _hadoop_fs(spark, tmp_path)
-    _, dst = _hadoop_fs(spark, final_path)
-    if fs.exists(dst):
-        fs.delete(src, True)
-        return False
-    fs.mkdirs(dst.getParent())
-    ok = bool(fs.rename(src, dst))
-    if not ok:
-        fs.delete(src, True)
-    return ok
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (one level)."""
+    fs, p = _hadoop_fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
 def materialize(df):
