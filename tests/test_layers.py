@@ -30,7 +30,7 @@ def test_silver_flags_categories_and_repeats(spark):
         ("4", "DCGS0003", "box", 2, _t(9), Decimal("3.0000"), 5, "FR", "p"),
         (None, None, None, 0, _t(9), Decimal("1.0000"), None, None, "p"),
     ]
-    s = layers.silver(_bronze(spark, rows), stockcode_categories(spark), chunk_rows=1)
+    s = layers.silver(_bronze(spark, rows), stockcode_categories(spark))
     got = {(r[S.INVOICE], r[S.STOCK_CODE]): r for r in s.collect()}
     assert len(s.collect()) == 6
     post = got[("C1", "POST")]
@@ -76,7 +76,7 @@ def test_rfm_scores_keep_non_positive_monetary(spark):
     rows.append(("C39", "10", "t", -5, _t(12, 0, d=4), Decimal("0.5"), 3, "FR", "p"))
     s = layers.silver(_bronze(spark, rows), stockcode_categories(spark))
     fo = layers.fact_orders(layers.fact_order_lines(s))
-    rfm = {r["customer_id"]: r for r in layers.customer_rfm(fo, rank_buckets=2).collect()}
+    rfm = {r["customer_id"]: r for r in layers.customer_rfm(fo).collect()}
     assert set(rfm) == {1, 2, 3, 4, 5}
     assert rfm[3]["monetary"] == -2.0 and rfm[3]["m_score"] == 1
     assert rfm[4]["f_score"] == 5 and rfm[4]["frequency"] == 12

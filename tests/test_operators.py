@@ -1,5 +1,5 @@
-"""Distributed operators against brute force on small fixtures (forced into
-several buckets / chunks so the distributed paths run)."""
+"""Distributed operators against brute force on small fixtures: the same single path
+that large inputs take, here over the session's shuffle partitions."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.scoring import quintile_from_bounds
 from tillroll.operators.quantiles import describe, equal_width_histogram, exact_quantiles
-from tillroll.operators.ranks import Key, running_totals, tie_bounds
+from tillroll.operators.ranks import Key, range_partitioned, running_totals, value_ranks, with_score
 from tillroll.operators.repeats import with_repeat_count
 from tillroll.operators.topk import top_values
 
@@ -27,7 +27,7 @@ def _values(n, seed=7, distinct=40):
 def test_running_totals_matches_sorted_cumsum(spark):
     rows = _values(600)
     df = spark.createDataFrame(rows, "id long, v decimal(12,2)")
-    out = running_totals(df, [Key("v", False), Key("id")], ["v"], buckets=9).toPandas()
+    out = running_totals(df, [Key("v", False), Key("id")], ["v"]).toPandas()
     pdf = pd.DataFrame(rows, columns=["id", "v"]).sort_values(["v", "id"], ascending=[False, True])
     pdf["pos"] = range(1, len(pdf) + 1)
     pdf["cum"] = pdf["v"].cumsum()
@@ -37,23 +37,29 @@ def test_running_totals_matches_sorted_cumsum(spark):
     assert set(got["total_rows"]) == {600}
 
 
-def test_running_totals_spreads_a_hot_value_over_buckets(spark):
-    rows = [(i, 1) for i in range(300)] + [(300 + i, i) for i in range(30)]
+def test_running_totals_spreads_a_hot_value_over_partitions(spark):
+    rows = [(i, 1) for i in range(3000)] + [(3000 + i, i) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, v long")
-    from tillroll.operators.ranks import range_cuts
-    cuts = range_cuts(df, [Key("v"), Key("id")], df.count(), 6)
-    # the hot value (v = 1, 300 rows) is cut inside by its ids
-    assert sum(1 for c in cuts if c[0] == 1) >= 3
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = range_partitioned(df, [Key("v"), Key("id")]).where("v = 1").select("_part").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts >= 4
 
 
-def test_tie_bounds_match_pandas_min_max_rank(spark):
+def test_running_totals_of_nothing(spark):
+    df = spark.createDataFrame([], "id long, v long")
+    assert running_totals(df, [Key("id")], ["v"]).count() == 0
+
+
+def test_value_ranks_match_pandas_min_max_rank(spark):
     rows = _values(500, seed=3, distinct=25)
     df = spark.createDataFrame(rows, "id long, v decimal(12,2)")
-    out = tie_bounds(df, "v", buckets=5).toPandas().set_index("id").sort_index()
+    got = {float(r["v"]): (r["rank_lo"], r["rank_hi"], r["rank_n"]) for r in value_ranks(df, "v").collect()}
     s = pd.Series([float(v) for _, v in rows])
-    assert list(out["rank_lo"]) == list(s.rank(method="min").astype(int))
-    assert list(out["rank_hi"]) == list(s.rank(method="max").astype(int))
-    assert set(out["rank_n"]) == {500}
+    want = {v: (int(a), int(b), 500) for v, a, b in zip(s, s.rank(method="min"), s.rank(method="max"))}
+    assert got == want
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 11, 23, 59, 100])
@@ -61,18 +67,19 @@ def test_quintile_score_equals_pandas_rank_pct_cut(spark, n):
     rnd = random.Random(n)
     vals = [rnd.randint(0, max(1, n // 3)) for _ in range(n)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v long")
-    got = (tie_bounds(df, "v", buckets=3)
-           .select("id", quintile_from_bounds(F.col("rank_lo"), F.col("rank_hi"), F.col("rank_n")).alias("q"))
-           .toPandas().set_index("id").sort_index()["q"].tolist())
+    score = quintile_from_bounds(F.col("rank_lo"), F.col("rank_hi"), F.col("rank_n"))
+    got = (with_score(df, "v", score, "q").select("id", "q").toPandas().set_index("id").sort_index()["q"].tolist())
     pct = pd.Series(vals).rank(method="average", pct=True)
     want = pd.cut(pct, bins=[0, .2, .4, .6, .8, 1.0], labels=[1, 2, 3, 4, 5], include_lowest=True).astype(int)
     assert got == want.tolist()
 
 
-def test_repeat_count_chunks_a_hot_group_and_keeps_nulls(spark):
+def test_repeat_count_splits_a_hot_group_and_keeps_nulls(spark, monkeypatch):
+    import tillroll.operators.repeats as repeats
+    monkeypatch.setattr(repeats, "PIECE_ROWS", 2)
     rows = [("a", None)] * 7 + [("b", 1)] * 2 + [(None, 2)] + [(None, None)] * 3
     df = spark.createDataFrame(rows, "k string, x long")
-    out = with_repeat_count(df, "n", chunk_rows=2, spread_partitions=4).toPandas()
+    out = with_repeat_count(df, "n").toPandas()
     assert len(out) == len(rows)
     got = sorted(repr((r.k, None if pd.isna(r.x) else int(r.x), int(r.n))) for r in out.itertuples())
     want = sorted(repr((k, x, rows.count((k, x)))) for k, x in rows)
@@ -131,3 +138,24 @@ def test_describe_constant_column_has_zero_std(spark):
     df = spark.createDataFrame([(Decimal("987654.32"),)] * 1000, "x decimal(12,2)")
     row = describe(df, ["x"]).collect()[0]
     assert row["std"] == 0.0 and row["mean"] == 987654.32 and row["p50"] == 987654.32
+
+
+def test_describe_keeps_every_decimal_place(spark):
+    prices = ["0.0010", "0.0420", "1.2345", "2.5550"]
+    df = spark.createDataFrame([(Decimal(v),) for v in prices], "x decimal(18,4)")
+    row = describe(df, ["x"]).collect()[0]
+    d = pd.Series([float(v) for v in prices]).describe()
+    for ours, theirs in (("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"),
+                         ("max", "max")):
+        assert row[ours] == pytest.approx(d[theirs], rel=1e-12)
+
+
+def test_describe_of_several_columns_empty_and_null(spark):
+    df = spark.createDataFrame([(1, Decimal("2.50")), (None, Decimal("3.50")), (4, None)], "a long, b decimal(12,2)")
+    a, b = describe(df, ["a", "b"]).orderBy("column").collect()
+    assert (a["count"], a["mean"], a["min"], a["p50"]) == (2, 2.5, 1.0, 2.5)
+    assert (b["count"], b["mean"], b["max"]) == (2, 3.0, 3.5)
+    e = describe(df.limit(0), ["a"]).collect()[0]
+    assert e["count"] == 0 and e["mean"] is None
+    with pytest.raises(ValueError):
+        describe(df.select(F.col("a").cast("double").alias("x")), ["x"])

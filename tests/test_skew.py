@@ -38,7 +38,7 @@ def _rows():
 def test_skewed_layers_match_pandas(spark):
     rows = _rows()
     bronze = spark.createDataFrame(rows, S.BRONZE_SCHEMA).repartition(6)
-    silver = layers.silver(bronze, stockcode_categories(spark), chunk_rows=7)
+    silver = layers.silver(bronze, stockcode_categories(spark))
     got_rep = silver.groupBy("is_repeated_row").count().collect()
     pdf = pd.DataFrame(rows, columns=S.BRONZE_COLUMNS)
     dup = pdf.astype(str).duplicated(keep=False)
@@ -50,7 +50,7 @@ def test_skewed_layers_match_pandas(spark):
     assert hot["line_count"] == 1000 and hot["distinct_stockcodes"] == 1
     assert hot["gross_product_sales_value"] == Decimal("7000.0000")
 
-    rfm = layers.customer_rfm(fo, rank_buckets=4).toPandas().set_index("customer_id").sort_index()
+    rfm = layers.customer_rfm(fo).toPandas().set_index("customer_id").sort_index()
     # brute force: pandas on the order grain
     pdf["value"] = pdf[S.QUANTITY].astype(float) * pdf[S.PRICE].astype(float)
     sale = (~pdf[S.INVOICE].str.startswith("C")) & (pdf[S.QUANTITY] > 0) & (pdf[S.PRICE].astype(float) > 0)

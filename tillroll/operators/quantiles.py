@@ -1,22 +1,22 @@
-"""Exact distribution summaries, distributed.
+"""Exact distribution summaries, distributed, from one value histogram.
 
 ``percentile`` in Spark keeps a value→count map of the whole column in one
-final task.  Here a quantile is found by position instead: collapse the column
-to a value histogram, take running counts with ``ranks.running_totals`` (no
-single-task sort), and pick the values at the two positions around
-``(N-1)·q`` — linear interpolation as numpy/pandas do it:
+final task.  Here the columns are collapsed to one histogram of (column, value,
+count); ``ranks.running_totals`` gives each value its positions, and everything is
+read off that stored frame: moments, extremes, and quantiles from the values at the
+two positions around ``(N-1)·q`` — linear interpolation as numpy/pandas do it:
 ``t < .5 → a + (b-a)·t``, else ``b - (b-a)·(1-t)``.
 
-``describe`` gives pandas' ``describe()`` numbers (count, mean, sample std,
-min, quartiles, max).  Sums are exact decimals and the variance numerator
-n·Σx² − (Σx)² is formed exactly before one division in double, so the result
-neither depends on task order nor loses precision when the mean is large
-against the spread (a constant column has std exactly 0).
+``describe`` gives pandas' ``describe()`` numbers (count, mean, sample std, min,
+quartiles, max).  Values are exact decimals of the column's own scale; sums are
+exact and the variance numerator n·Σx² − (Σx)² is formed exactly before one
+division in double, so the result neither depends on task order nor loses precision
+when the mean is large against the spread (a constant column has std exactly 0).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,27 +25,27 @@ from tillroll.operators.ranks import Key, running_totals
 DESCRIBE_QUANTILES = (0.25, 0.5, 0.75)
 
 
-def _positions_hist(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column: (value, first / last 0-based position, N) over its non-null values.
+def column_scale(kind: T.DataType) -> int:
+    """Decimal places of a column's type."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        raise ValueError("describe() needs decimals or whole numbers: sums of floating-point values depend on their order")
+    return kind.scale if isinstance(kind, T.DecimalType) else 0
 
-    All columns share one histogram and one ``running_totals`` pass over the
-    key (column index, value); a column's positions are the global running
-    count minus the rows of the columns before it (a ≤ len(cols)-row table)."""
+
+def _positions(df: DataFrame, cols: list[str], kind: str) -> DataFrame:
+    """One row per column number ``c`` and distinct non-null value ``v`` (as ``kind``):
+    its count ``n``, its last position ``last`` among the column's values (from 0) and
+    their number ``total``."""
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)
-    ])).alias("_s")).select("_s._c", "_s._v").filter(F.col("_v").isNotNull())
-    hist = stacked.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(hist, [Key("_c"), Key("_v")], ["_n"])
-    per_col = hist.groupBy("_c").agg(F.sum("_n").alias("_ntot"))
-    w = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = per_col.select("_c", "_ntot", (F.sum("_ntot").over(w) - F.col("_ntot")).alias("_start"))
-    # ≤ len(cols) rows: bounded broadcast
-    return ranked.join(F.broadcast(starts), "_c").select(
-        "_c", "_v",
-        (F.col("_n_cum") - F.col("_n") - F.col("_start")).alias("_first"),
-        (F.col("_n_cum") - 1 - F.col("_start")).alias("_last"),
-        "_ntot",
-    )
+        F.struct(F.lit(i).alias("c"), F.col(c).cast(kind).alias("v")) for i, c in enumerate(cols)
+    ])).alias("s")).select("s.c", "s.v").where("v is not null")
+    hist = stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    # the order is by column, then value: a column's positions are the running count
+    # less what its first value has before it
+    ranked = running_totals(hist, [Key("c"), Key("v")], ["n"])
+    first = ranked.groupBy("c").agg(F.min(F.col("n_cum") - F.col("n")).alias("start"), F.sum("n").alias("total"))
+    # one row a column: a bounded broadcast
+    return ranked.join(F.broadcast(first), "c").select("c", "v", "n", (F.col("n_cum") - 1 - F.col("start")).alias("last"), "total")
 
 
 def _lerp(a: Column, b: Column, t: Column) -> Column:
@@ -53,58 +53,48 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - d * (F.lit(1.0) - t)).otherwise(a + d * t)
 
 
-def _quantiles_long(df: DataFrame, cols: list[str], qs) -> DataFrame:
-    """Rows (_c, quantile, value) for every column index and q."""
-    spark = df.sparkSession
-    pos = _positions_hist(df, cols)
-    qdf = spark.createDataFrame([(float(q),) for q in qs], T.StructType([T.StructField("quantile", T.DoubleType())]))
-    # |qs| rows (a handful) → bounded broadcast; each (column, q) picks ≤ 2 histogram rows.
-    idx = (F.col("_ntot") - 1).cast("double") * F.col("quantile")
-    lo_i = F.floor(idx)
-    hi_i = F.least(lo_i + 1, F.col("_ntot") - 1)
-    hit_lo = (F.col("_first") <= lo_i) & (lo_i <= F.col("_last"))
-    hit_hi = (F.col("_first") <= hi_i) & (hi_i <= F.col("_last"))
-    picked = pos.join(F.broadcast(qdf), hit_lo | hit_hi)
-    agg = picked.groupBy("_c", "quantile").agg(
-        F.max(F.when(hit_lo, F.col("_v"))).alias("_a"),
-        F.max(F.when(hit_hi, F.col("_v"))).alias("_b"),
-        F.max(idx - lo_i).alias("_t"),
-    )
-    return agg.select("_c", "quantile", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("value"))
+def _quantile(q: float) -> Column:
+    """The q-quantile as an aggregate over a column's rows of ``_positions``."""
+    at = (F.col("total") - 1).cast("double") * q
+    low, high = F.floor(at), F.least(F.floor(at) + 1, F.col("total") - 1)
+    value = F.col("v").cast("double")
+    # the value at a position is the smallest whose last position reaches it
+    a, b = (F.min(F.when(F.col("last") >= p, value)) for p in (low, high))
+    return _lerp(a, b, F.max(at - low))
 
 
 def exact_quantiles(df: DataFrame, col: str, qs) -> DataFrame:
     """Rows (quantile, value) for each q in ``qs`` (linear interpolation)."""
-    return _quantiles_long(df, [col], qs).select("quantile", "value")
+    found = _positions(df, [col], "double").groupBy("c").agg(*[_quantile(float(q)).alias(f"q{i}") for i, q in enumerate(qs)])
+    return found.select(F.explode(F.array(*[
+        F.struct(F.lit(float(q)).alias("quantile"), F.col(f"q{i}").alias("value")) for i, q in enumerate(qs)])).alias("s")).select("s.*")
 
 
-def describe(df: DataFrame, cols: list[str], exact_type: str = "decimal(18,2)") -> DataFrame:
+def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column: column, count, mean, std, min, p25, p50, p75, max.
 
-    One aggregation for all moments, one histogram pass for all quartiles."""
-    xs = [F.col(c).cast(exact_type) for c in cols]
-    moments = df.agg(*[e for i, x in enumerate(xs) for e in (
-        F.count(x).alias(f"n{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}"),
-        F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}"))])
-    per_col = moments.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
-                 F.col(f"s{i}").cast("decimal(38,2)").alias("_s1"),
-                 (F.col(f"n{i}").cast("decimal(38,0)") * F.col(f"q{i}")
-                  - F.col(f"s{i}") * F.col(f"s{i}")).cast("decimal(38,4)").alias("_num"),
-                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)])).alias("m")).select("m.*")
+    The input is read once, for the histogram.  Squares are summed in whole units of
+    the last decimal place, so no digit is lost."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    scale = max(column_scale(kinds[c]) for c in cols)
+    stats = _positions(df, cols, f"decimal(18,{scale})")
+    times, units = F.col("n").cast("decimal(12,0)"), (F.col("v") * 10 ** scale).cast("decimal(18,0)")
+    per_col = stats.groupBy("c").agg(
+        F.max("total").alias("count"), F.sum(times * F.col("v")).alias("s1"), F.sum(times * units).alias("u1"),
+        F.sum(times * (units * units).cast("decimal(25,0)")).alias("u2"),
+        F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"),
+        *[_quantile(q).alias(name) for q, name in zip(DESCRIBE_QUANTILES, ("p25", "p50", "p75"))])
     n = F.col("count").cast("double")
-    mean = F.col("_s1").cast("double") / F.when(n > 0, n)
-    # n·Σx² − (Σx)² is exact in DECIMAL (no cancellation), then one division
-    var = F.col("_num").cast("double") / F.when(n > 1, n * (n - 1))
-    stats = per_col.select("_c", "column", F.col("count").cast("bigint").alias("count"), mean.alias("mean"),
-                           F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"), "min", "max")
-    q = _quantiles_long(df, cols, DESCRIBE_QUANTILES)
-    qwide = q.groupBy("_c").agg(*[F.max(F.when(F.col("quantile") == p, F.col("value"))).alias(name)
-                                  for p, name in zip(DESCRIBE_QUANTILES, ("p25", "p50", "p75"))])
-    # both sides have ≤ len(cols) rows: bounded broadcast
-    return (stats.join(F.broadcast(qwide), "_c", "left")
-            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+    whole = F.col("count").cast("decimal(38,0)")
+    exact = F.try_subtract(F.try_multiply(whole, F.col("u2")), F.try_multiply(F.col("u1"), F.col("u1"))).cast("double")
+    # beyond 38 digits (n * sum of squares) the difference is formed in double
+    spread = F.coalesce(exact, n * F.col("u2").cast("double") - F.col("u1").cast("double") * F.col("u1").cast("double"))
+    var = spread / F.when(n > 1, n * (n - 1)) / float(10 ** (2 * scale))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "c int, column string")
+    # one row a column on both sides
+    return names.join(F.broadcast(per_col), "c", "left").select(
+        "column", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), (F.col("s1").cast("double") / n).alias("mean"),
+        F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"), "min", "p25", "p50", "p75", "max")
 
 
 def equal_width_histogram(df: DataFrame, col: str, bins: int, upper: Column | float | None = None) -> DataFrame:

@@ -1,27 +1,20 @@
-"""Global order statistics without a single-task window.
+"""Global order statistics without a single-task window, by one path at any size.
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
-``running_totals`` instead:
-
-1. samples the sort key (bounded sample, fixed seed) and picks ``B-1`` cut
-   tuples on the driver — only these few literals leave the executors;
-2. assigns each row a range bucket with a balanced comparison tree of the
-   literal cuts (a pure function of the key → retry-safe; the full key incl.
-   the tie-breaker is compared, so one hot value is split across buckets);
-3. aggregates per-bucket totals (≤ B rows), prefixes them in one small window,
-   and broadcasts that ≤ B-row table back;
-4. runs the running sum inside each bucket (``Window.partitionBy(bucket)``)
-   and adds the bucket offset.
-
-``tie_bounds`` builds on it for average-tie ranks: collapse to a value
-histogram (a hot value becomes one row), run the totals over distinct values,
-and join the (lo, hi) bounds back.
+``running_totals`` range-partitions by the whole sort key instead
+(``repartitionByRange``; a tie-breaker in the key lets one hot value span
+partitions), stores that frame with each row's partition number, and reads it
+twice: once for the totals per partition (as many rows as partitions), once for
+the running sums inside each.  The stored partition number makes offsets and rows
+agree when a task runs again.
+
+``value_bands`` turns average-tie ranks into score bands: collapse to a value
+histogram (a hot value becomes one row), run the totals over distinct values, and
+keep per score the smallest and largest value.
 """
 
 from __future__ import annotations
 
-import math
-import os as _os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,160 +22,53 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-# Rows per range bucket of a global order (one window task each); the
-# environment override lets tests force many buckets on small tables.
-ROWS_PER_BUCKET = int(_os.environ.get("TILLROLL_ROWS_PER_BUCKET", "1000000"))
-# The bucket expression is a comparison tree with one node per cut; beyond a
-# few hundred nodes query planning slows sharply, so the bucket count is
-# capped and rows per bucket grow instead (a window partition spills to disk).
-MAX_BUCKETS = 128
-SAMPLE_PER_BUCKET = 64
-SEED = 20240611
-# A distinct-value table up to this many rows is broadcast for the join back
-# (each row is a key plus three longs: ~20 MB at the bound); above it, a
-# shuffle join (AQE splits a skewed side).
-BROADCAST_ROWS = 500_000
-
 
 @dataclass(frozen=True)
 class Key:
     name: str
     ascending: bool = True
 
+    def order(self) -> Column:
+        return F.col(self.name).asc() if self.ascending else F.col(self.name).desc()
+
 
 def _keys(order) -> list[Key]:
-    out = []
-    for k in order:
-        out.append(k if isinstance(k, Key) else Key(k, True))
-    return out
-
-
-def _after(col: Column, lit: Column, asc: bool) -> Column:
-    return col > lit if asc else col < lit
-
-
-def _key_after_cut(keys: list[Key], cut: tuple, types: dict) -> Column:
-    """Row key strictly after the cut tuple in the sort order (lexicographic)."""
-    cond = None
-    prefix_equal = None
-    for i, k in enumerate(keys):
-        lit = F.lit(cut[i]).cast(types[k.name])
-        term = _after(F.col(k.name), lit, k.ascending)
-        if prefix_equal is not None:
-            term = prefix_equal & term
-        cond = term if cond is None else (cond | term)
-        eq = F.col(k.name) == lit
-        prefix_equal = eq if prefix_equal is None else (prefix_equal & eq)
-    return cond
-
-
-def _bucket_expr(keys: list[Key], cuts: list[tuple], types: dict) -> Column:
-    """Number of cuts strictly before the row key, by binary decision tree."""
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_key_after_cut(keys, cuts[mid], types), node(mid + 1, hi)).otherwise(node(lo, mid))
-    return node(0, len(cuts))
-
-
-def _sort_tuple(row, keys: list[Key]):
-    out = []
-    for i, k in enumerate(keys):
-        v = row[i]
-        out.append(v if k.ascending else _Desc(v))
-    return tuple(out)
-
-
-class _Desc:
-    __slots__ = ("v",)
-
-    def __init__(self, v):
-        self.v = v
-
-    def __lt__(self, other):
-        return self.v > other.v
-
-    def __eq__(self, other):
-        return self.v == other.v
-
-
-def range_cuts(df: DataFrame, keys: list[Key], n_rows: int, buckets: int) -> list[tuple]:
-    """B-1 distinct cut tuples from a bounded, seeded sample of the sort keys."""
-    if buckets <= 1 or n_rows == 0:
-        return []
-    want = min(n_rows, buckets * SAMPLE_PER_BUCKET)
-    fraction = min(1.0, 1.5 * want / n_rows)
-    sample = [tuple(r) for r in
-              df.select(*[k.name for k in keys]).sample(False, fraction, SEED).collect()]
-    sample.sort(key=lambda r: _sort_tuple(r, keys))
-    if not sample:
-        return []
-    cuts = []
-    for b in range(1, buckets):
-        c = sample[min(len(sample) - 1, (b * len(sample)) // buckets)]
-        if not cuts or _sort_tuple(cuts[-1], keys) < _sort_tuple(c, keys):
-            cuts.append(c)
-    return cuts
-
-
-def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int | None = None,
-                   rows_per_bucket: int | None = None, n_rows: int | None = None) -> DataFrame:
+    return [k if isinstance(k, Key) else Key(k) for k in order]
+
+
+def range_partitioned(df: DataFrame, order) -> DataFrame:
+    """``df`` in ranges of the sort key, with ``_part``, the number of its range;
+    stored, because it is read more than once."""
+    keys = _keys(order)
+    return materialize(df.repartitionByRange(*[k.order() for k in keys]).withColumn("_part", F.spark_partition_id()))
+
+
+def running_totals(df: DataFrame, order, sums: list[str] = ()) -> DataFrame:
     """Add, in the total order ``order`` (keys must be non-null):
 
     * ``row_pos``       1-based position,
     * ``<s>_cum``       inclusive running sum of each column ``s`` in ``sums``,
     * ``total_rows`` and ``<s>_total`` grand totals.
     """
-    keys = _keys(order)
-    sums = list(sums)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if n_rows is None:
-        n_rows = df.count()
-    if buckets is None:
-        per = rows_per_bucket or ROWS_PER_BUCKET
-        buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / per)))
-    sort_cols = [F.col(k.name).asc() if k.ascending else F.col(k.name).desc() for k in keys]
-    if buckets <= 1:
-        # at most ROWS_PER_BUCKET rows: one ordered window is the bounded bucket
-        w = Window.orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        w_all = Window.partitionBy()
-        return df.select(
-            *df.columns,
-            F.row_number().over(w).cast("bigint").alias("row_pos"),
-            *[F.sum(s).over(w).alias(f"{s}_cum") for s in sums],
-            F.count(F.lit(1)).over(w_all).cast("bigint").alias("total_rows"),
-            *[F.sum(s).over(w_all).alias(f"{s}_total") for s in sums],
-        )
-    # read twice more (sample, full pass): compute the input once
-    df = materialize(df)
-    cuts = range_cuts(df, keys, n_rows, buckets)
-    bucket = _bucket_expr(keys, cuts, types) if cuts else F.lit(0)
-    b = df.withColumn("_bucket", bucket.cast("int"))
-
-    # ≤ B rows: per-bucket totals, exclusive prefix, grand totals.
-    per_bucket = b.groupBy("_bucket").agg(
-        F.count(F.lit(1)).alias("_b_rows"), *[F.sum(s).alias(f"_b_{s}") for s in sums])
-    w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_tot = Window.partitionBy()
-    offsets = per_bucket.select(
-        "_bucket",
-        (F.sum("_b_rows").over(w_all) - F.col("_b_rows")).alias("_off_rows"),
-        F.sum("_b_rows").over(w_tot).alias("total_rows"),
-        *[(F.sum(f"_b_{s}").over(w_all) - F.col(f"_b_{s}")).alias(f"_off_{s}") for s in sums],
-        *[F.sum(f"_b_{s}").over(w_tot).alias(f"{s}_total") for s in sums],
-    )
-
-    w_in = (Window.partitionBy("_bucket").orderBy(*sort_cols)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = b.select(
-        "*",
-        F.row_number().over(w_in).alias("_in_pos"),
-        *[F.sum(s).over(w_in).alias(f"_in_{s}") for s in sums],
+    keys, sums = _keys(order), list(sums)
+    ranged = range_partitioned(df, keys)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    per_part = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(s).alias(f"_p_{s}") for s in sums])
+    # one row per partition: a single-task window and a broadcast of that many rows
+    zero = F.lit(0)
+    offsets = per_part.select(
+        "_part",
+        F.coalesce(F.sum("_rows").over(before), zero).alias("_off_rows"),
+        F.sum("_rows").over(everything).alias("total_rows"),
+        *[F.coalesce(F.sum(f"_p_{s}").over(before), zero).alias(f"_off_{s}") for s in sums],
+        *[F.sum(f"_p_{s}").over(everything).alias(f"{s}_total") for s in sums],
     )
-    # offsets has at most B (≤ MAX_BUCKETS) rows: a bounded broadcast.
-    out = inner.join(F.broadcast(offsets), "_bucket")
-    return out.select(
+    inside = (Window.partitionBy("_part").orderBy(*[k.order() for k in keys])
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = ranged.select("*", F.row_number().over(inside).alias("_in_pos"),
+                          *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
+    return inner.join(F.broadcast(offsets), "_part").select(
         *df.columns,
         (F.col("_off_rows") + F.col("_in_pos")).cast("bigint").alias("row_pos"),
         *[(F.col(f"_off_{s}") + F.col(f"_in_{s}")).alias(f"{s}_cum") for s in sums],
@@ -191,19 +77,28 @@ def running_totals(df: DataFrame, order, sums: list[str] = (), *, buckets: int |
     )
 
 
-def tie_bounds(df: DataFrame, value: str, *, buckets: int | None = None,
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``rank_lo`` / ``rank_hi`` (min / max 1-based rank of the row's tie
-    group, ascending ``value``) and ``rank_n`` (row count).  ``value`` non-null."""
+def value_ranks(df: DataFrame, value: str) -> DataFrame:
+    """One row per distinct ``value`` (non-null): ``rank_lo`` / ``rank_hi`` (first and
+    last 1-based rank of its rows, ascending) and ``rank_n`` (row count)."""
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    distinct_values = hist.count()
-    ranked = running_totals(hist, [Key(value)], ["_n"], buckets=buckets, n_rows=distinct_values)
-    bounds = ranked.select(
+    return running_totals(hist, [Key(value)], ["_n"]).select(
         value,
         (F.col("_n_cum") - F.col("_n") + 1).cast("bigint").alias("rank_lo"),
         F.col("_n_cum").cast("bigint").alias("rank_hi"),
         F.col("_n_total").cast("bigint").alias("rank_n"),
     )
-    if distinct_values <= broadcast_rows:
-        bounds = F.broadcast(bounds)
-    return df.join(bounds, value)
+
+
+def value_bands(df: DataFrame, value: str, score: Column) -> DataFrame:
+    """(score, low, high): the value range of each score, where ``score`` is a monotone
+    expression of (rank_lo, rank_hi, rank_n) with few distinct results."""
+    return (value_ranks(df, value).withColumn("score", score).groupBy("score")
+            .agg(F.min(value).alias("low"), F.max(value).alias("high")))
+
+
+def with_score(df: DataFrame, value: str, score: Column, name: str) -> DataFrame:
+    """Add the rank score of ``value`` (non-null).  The bands are a handful of rows, so
+    they are broadcast; each row falls into exactly one."""
+    bands = F.broadcast(value_bands(df, value, score))
+    return (df.join(bands, df[value].between(bands["low"], bands["high"]))
+            .withColumn(name, F.col("score").cast("int")).drop("score", "low", "high"))

@@ -27,27 +27,25 @@ JOIN (
 """
 
 
-def describe_sql(src: str, cols: list[str]) -> str:
+def describe_sql(src: str, cols: list[str], places: int = 0) -> str:
+    """``places``: decimal places of the values (whole units carry the squares)."""
     parts = []
     for c in cols:
-        x = f"CAST({c} AS DECIMAL(38,2))"
-        n = "CAST(COUNT(x) AS DOUBLE)"
-        s1 = "CAST(SUM(x) AS DOUBLE)"
-        num = ("CAST(CAST(CAST(COUNT(x) AS DECIMAL(38,0)) * SUM(x * x) - SUM(x) * SUM(x) AS DECIMAL(38,4))"
-               " AS VARCHAR)")
         q = quantiles_sql(src, c, (0.25, 0.5, 0.75))
         parts.append(f"""
-SELECT '{c}' AS "column", m.count, m.mean, m.std, m.min,
+SELECT '{c}' AS "column", m.n AS count, m.s / nullif(m.n, 0) AS mean,
+  sqrt(greatest(CAST(m.spread AS DOUBLE) / CASE WHEN m.n > 1 THEN CAST(m.n AS DOUBLE) * (m.n - 1) END / 1e{2 * places}, 0.0)) AS std,
+  m.low AS min,
   (SELECT value FROM ({q}) qq WHERE quantile = 0.25) AS p25,
   (SELECT value FROM ({q}) qq WHERE quantile = 0.5) AS p50,
   (SELECT value FROM ({q}) qq WHERE quantile = 0.75) AS p75,
-  m.max
+  m.high AS max
 FROM (
-  SELECT COUNT(x) AS count,
-    {s1} / CASE WHEN {n} > 0 THEN {n} END AS mean,
-    SQRT(GREATEST(CAST({num} AS DOUBLE) / CASE WHEN {n} > 1 THEN {n} * ({n} - 1) END, 0.0)) AS std,
-    CAST(MIN(x) AS DOUBLE) AS min, CAST(MAX(x) AS DOUBLE) AS max
-  FROM (SELECT {x} AS x FROM ({src}) s) t) m""")
+  SELECT count(x) AS n, CAST(sum(x) AS DOUBLE) AS s, CAST(min(x) AS DOUBLE) AS low, CAST(max(x) AS DOUBLE) AS high,
+    -- through text: the cast of a wide integer to a double then rounds correctly
+    CAST(CAST(count(x) AS HUGEINT) * CAST(sum(u * u) AS HUGEINT) - CAST(sum(u) AS HUGEINT) * CAST(sum(u) AS HUGEINT) AS VARCHAR) AS spread
+  FROM (SELECT CAST({c} AS DECIMAL(38,{places})) AS x, CAST(CAST({c} AS DECIMAL(38,{places})) * {10 ** places} AS HUGEINT) AS u
+        FROM ({src}) s) t) m""")
     return "\nUNION ALL\n".join(parts)
 
 

@@ -13,16 +13,16 @@ from tillroll import schemas as S
 from tillroll.functions import flags as FL
 from tillroll.functions.numeric import count_when
 from tillroll.functions.scoring import frequency_score, quintile_from_bounds, segment
-from tillroll.operators.ranks import tie_bounds
-from tillroll.operators.repeats import CHUNK_ROWS, with_repeat_count
+from tillroll.operators.ranks import with_score
+from tillroll.operators.repeats import with_repeat_count
 from tillroll.session import materialize
 
 LINE_FLAGS = S.QUALITY_FLAGS
 
 
-def silver(bronze: DataFrame, categories: DataFrame, *, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def silver(bronze: DataFrame, categories: DataFrame) -> DataFrame:
     """One row per bronze row, 19 columns."""
-    counted = with_repeat_count(bronze.select(*S.BRONZE_COLUMNS), "_repeats", chunk_rows=chunk_rows)
+    counted = with_repeat_count(bronze.select(*S.BRONZE_COLUMNS), "_repeats")
     # the special-code table has a fixed 62 rows: bounded broadcast.
     ref = F.broadcast(categories.select(F.col("stock_code").alias("_ref_code"),
                                         F.col("category").alias("_ref_category")))
@@ -60,53 +60,80 @@ def fact_order_lines(silver_df: DataFrame) -> DataFrame:
 
 
 def fact_orders(lines: DataFrame) -> DataFrame:
-    """A1: one row per invoice, 18 columns."""
-    return lines.groupBy(S.INVOICE).agg(
-        F.min(S.INVOICE_DATE).alias("order_datetime"),
-        F.max(S.INVOICE_DATE).alias("last_line_datetime"),
-        F.max(S.CUSTOMER).alias("customer_id"),
+    """A1: one row per invoice, 18 columns.
+
+    Spark cannot hash-aggregate a maximum of strings, so the lines are first reduced by
+    (invoice, code, country, period) with numeric aggregates only; the strings are
+    compared on the reduced rows."""
+    sale, cancel = F.col("is_product_sale"), F.col("is_product_cancellation")
+    quantity = F.col(S.QUANTITY)
+    reduced = lines.groupBy(S.INVOICE, S.STOCK_CODE, S.COUNTRY, S.PERIOD).agg(
+        F.min(S.INVOICE_DATE).alias("first"),
+        F.max(S.INVOICE_DATE).alias("last"),
+        F.max(S.CUSTOMER).alias("customer"),
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(quantity).alias("quantity"),
+        F.sum("raw_line_value").alias("raw"),
+        F.sum(F.when(sale, quantity).otherwise(0)).alias("sold"),
+        F.sum(F.when(cancel, quantity).otherwise(0)).alias("taken_back"),
+        F.sum("gross_product_sales_value").alias("gross"),
+        F.sum("product_cancellation_value").alias("cancelled"),
+        F.sum("net_product_sales_value").alias("net"),
+        F.bool_or("is_cancellation").alias("is_c"),
+        F.bool_or(sale).alias("has_sale"),
+        F.bool_or(cancel).alias("has_cancel"),
+    )
+    return reduced.groupBy(S.INVOICE).agg(
+        F.min("first").alias("order_datetime"),
+        F.max("last").alias("last_line_datetime"),
+        F.max("customer").alias("customer_id"),
         F.max(S.COUNTRY).alias("country"),
         F.min(S.PERIOD).alias("source_period"),
-        F.count(F.lit(1)).alias("line_count"),
+        F.sum("lines").alias("line_count"),
         F.countDistinct(S.STOCK_CODE).alias("distinct_stockcodes"),
-        F.sum(S.QUANTITY).alias("total_quantity"),
-        F.sum("raw_line_value").alias("raw_order_value"),
-        F.sum(F.when(F.col("is_product_sale"), F.col(S.QUANTITY)).otherwise(0)).alias("product_sale_quantity"),
-        F.sum(F.when(F.col("is_product_cancellation"), F.col(S.QUANTITY)).otherwise(0))
-         .alias("product_cancellation_quantity"),
-        F.sum("gross_product_sales_value").alias("gross_product_sales_value"),
-        F.sum("product_cancellation_value").alias("product_cancellation_value"),
-        F.sum("net_product_sales_value").alias("net_product_sales_value"),
-        F.bool_or("is_cancellation").alias("is_cancellation"),
-        F.bool_or("is_product_sale").alias("has_product_sale"),
-        F.bool_or("is_product_cancellation").alias("has_product_cancellation"),
+        F.sum("quantity").alias("total_quantity"),
+        F.sum("raw").cast("decimal(38,4)").alias("raw_order_value"),
+        F.sum("sold").alias("product_sale_quantity"),
+        F.sum("taken_back").alias("product_cancellation_quantity"),
+        F.sum("gross").cast("decimal(38,4)").alias("gross_product_sales_value"),
+        F.sum("cancelled").cast("decimal(38,4)").alias("product_cancellation_value"),
+        F.sum("net").cast("decimal(38,4)").alias("net_product_sales_value"),
+        F.bool_or("is_c").alias("is_cancellation"),
+        F.bool_or("has_sale").alias("has_product_sale"),
+        F.bool_or("has_cancel").alias("has_product_cancellation"),
     )
 
 
 def dim_customers(orders: DataFrame) -> DataFrame:
-    """A2: identified customers only (null ids filtered before the shuffle)."""
-    latest_key = F.when(F.col("country").isNotNull(), F.struct("order_datetime", S.INVOICE))
-    return (orders.filter(F.col("customer_id").isNotNull())
-            .groupBy("customer_id").agg(
-                F.min("order_datetime").alias("first_activity_datetime"),
-                F.max("order_datetime").alias("last_activity_datetime"),
-                F.count(F.lit(1)).alias("invoice_count"),
-                F.countDistinct("country").alias("distinct_countries"),
-                (F.countDistinct("country") > 1).alias("is_multi_country"),
-                F.max_by("country", latest_key).alias("latest_country")))
+    """A2: identified customers only (null ids filtered before the shuffle).  Reduced by
+    (customer, country) first; the latest country (ties: the last by name) is picked
+    among a customer's countries."""
+    by_country = (orders.filter(F.col("customer_id").isNotNull())
+                  .groupBy("customer_id", "country").agg(
+                      F.min("order_datetime").alias("first"), F.max("order_datetime").alias("last"),
+                      F.count(F.lit(1)).alias("invoices")))
+    latest = F.when(F.col("country").isNotNull(), F.struct("last", "country"))
+    return by_country.groupBy("customer_id").agg(
+        F.min("first").alias("first_activity_datetime"),
+        F.max("last").alias("last_activity_datetime"),
+        F.sum("invoices").alias("invoice_count"),
+        F.count("country").alias("distinct_countries"),
+        (F.count("country") > 1).alias("is_multi_country"),
+        F.max_by("country", latest).alias("latest_country"))
 
 
 def dim_products(lines: DataFrame) -> DataFrame:
-    """A3: one row per stock code; latest non-null description (ties: invoice, text)."""
-    latest_key = F.when(F.col(S.DESCRIPTION).isNotNull(),
-                        F.struct(S.INVOICE_DATE, S.INVOICE, S.DESCRIPTION))
-    return lines.groupBy(S.STOCK_CODE).agg(
-        F.max_by(S.DESCRIPTION, latest_key).alias("product_description"),
+    """A3: one row per stock code; latest non-null description (ties: the last by text).
+    Reduced by (code, description, category) first; a code has one category."""
+    texts = lines.groupBy(S.STOCK_CODE, S.DESCRIPTION, "line_category").agg(
+        F.min(S.INVOICE_DATE).alias("first"), F.max(S.INVOICE_DATE).alias("last"))
+    latest = F.when(F.col(S.DESCRIPTION).isNotNull(), F.struct("last", S.DESCRIPTION))
+    return texts.groupBy(F.col(S.STOCK_CODE).alias("stock_code")).agg(
+        F.max_by(S.DESCRIPTION, latest).alias("product_description"),
         F.max("line_category").alias("line_category"),
-        F.min(S.INVOICE_DATE).alias("first_seen_datetime"),
-        F.max(S.INVOICE_DATE).alias("last_seen_datetime"),
-        F.countDistinct(S.DESCRIPTION).alias("distinct_descriptions"),
-    ).withColumnRenamed(S.STOCK_CODE, "stock_code")
+        F.min("first").alias("first_seen_datetime"),
+        F.max("last").alias("last_seen_datetime"),
+        F.count(S.DESCRIPTION).alias("distinct_descriptions"))
 
 
 def rfm_reference_date(orders: DataFrame) -> DataFrame:
@@ -126,7 +153,7 @@ def rfm_base(orders: DataFrame) -> DataFrame:
             .filter(F.col("frequency") > 0))
 
 
-def customer_rfm(orders: DataFrame, *, rank_buckets: int | None = None) -> DataFrame:
+def customer_rfm(orders: DataFrame) -> DataFrame:
     """12 columns, one row per purchasing customer."""
     # one-row reference date: a bounded broadcast instead of a driver round trip.
     base = rfm_base(orders).crossJoin(F.broadcast(rfm_reference_date(orders)))
@@ -136,12 +163,8 @@ def customer_rfm(orders: DataFrame, *, rank_buckets: int | None = None) -> DataF
     # the customer aggregate feeds two rank passes: compute it once
     base = materialize(base)
 
-    r = tie_bounds(base, "recency", buckets=rank_buckets)
-    r = r.withColumn("r_score", (F.lit(6) - quintile_from_bounds(
-        F.col("rank_lo"), F.col("rank_hi"), F.col("rank_n"))).cast("int")).drop("rank_lo", "rank_hi", "rank_n")
-    m = tie_bounds(r, "monetary_exact", buckets=rank_buckets)
-    m = m.withColumn("m_score", quintile_from_bounds(
-        F.col("rank_lo"), F.col("rank_hi"), F.col("rank_n"))).drop("rank_lo", "rank_hi", "rank_n")
+    quintile = quintile_from_bounds(F.col("rank_lo"), F.col("rank_hi"), F.col("rank_n"))
+    m = with_score(with_score(base, "recency", F.lit(6) - quintile, "r_score"), "monetary_exact", quintile, "m_score")
 
     scored = m.withColumn("f_score", frequency_score("frequency"))
     return scored.select(
