@@ -96,6 +96,31 @@ def test_parquet_round_trip_of_bronze(spark):
     assert back.collect() == bronze.collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("column, value", [(3, "two"), (3, "2.5"), (4, "yesterday"), (5, "cheap"), (5, "0.00004")])
+def test_values_that_cannot_be_read_stop_the_job(spark, ansi, column, value):
+    row = ["1", "10", "a", "2", "2010-11-30 10:00:00", "1.5", "7", "FR"]
+    row[column] = value
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="can't be read"):
+            type_period(read_period(spark, _csv([row]), "csv"), "p").collect()
+        fine = type_period(read_period(spark, _csv([["1", "10", "a", "2.0", "2010-11-30 10:00:00", "0.0042", "x", "FR"]]), "csv"), "p")
+        assert fine.select(S.QUANTITY, S.PRICE, S.CUSTOMER).collect() == [(2, Decimal("0.0042"), None)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_every_extract_is_written_with_a_header(spark, wh_check):
+    from tillroll.plans.exports import EXTRACTS, write_extracts
+    paths = write_extracts(wh_check, tempfile.mkdtemp(prefix="tillroll-test-"))
+    assert len(paths) == len(EXTRACTS) == 4
+    back = spark.read.option("header", True).csv(paths["stockcode_categories"])
+    assert back.columns == ["stock_code", "category"]
+    assert {tuple(r) for r in back.collect()} >= {("POST", "shipping"), ("GIFT", "stock_movement")}
+
+
 def test_extract_csv_has_header_and_order(spark, wh_check):
     from tillroll.plans.exports import write_csv, export_orders
     d = os.path.join(tempfile.mkdtemp(prefix="tillroll-test-"), "orders")
@@ -110,5 +135,5 @@ def test_fixture_totals_match_the_documented_values(wh_check):
     row = b.agg(F.count(F.lit(1)).alias("n"), F.sum(S.QUANTITY).alias("q"),
                 F.sum(F.col(S.QUANTITY) * F.col(S.PRICE)).alias("v"),
                 F.countDistinct(S.INVOICE).alias("inv"), F.countDistinct(S.CUSTOMER).alias("cust")).collect()[0]
-    assert (row["n"], row["q"], row["inv"], row["cust"]) == (60613, 488948, 25030, 1497)
-    assert row["v"] == Decimal("482649583.4000")
+    assert (row["n"], row["q"], row["inv"], row["cust"]) == (60753, 488200, 25040, 1497)
+    assert row["v"] == Decimal("486989520.6000")

@@ -114,7 +114,7 @@ SELECT 'Description' AS field, Description AS value, rows, rank FROM (
 UNION ALL
 SELECT 'StockCode' AS field, StockCode AS value, rows, rank FROM (
   {_top(f'SELECT * FROM bronze WHERE Price > {HIGH_PRICE}', 'StockCode', 20)}) s""",
-    "flag_price_stats": describe_sql(_PRICE_SERIES, ["Price"]),
+    "flag_price_stats": describe_sql(_PRICE_SERIES, ["Price"], 4),
     "flag_price_counts": f"""
 SELECT CAST(Price AS DOUBLE) AS price, COUNT(*) AS rows FROM ({_PRICE_SERIES}) s GROUP BY 1 ORDER BY 1""",
     "audit_missing_customer": f"""

@@ -77,7 +77,7 @@ SELECT score_type, score, COUNT(*) AS customers FROM (
   UNION ALL SELECT 'f_score', f_score FROM rfm
   UNION ALL SELECT 'm_score', m_score FROM rfm) s
 GROUP BY score_type, score ORDER BY score_type, score""",
-    "rfm_stats": describe_sql("SELECT recency, frequency, monetary FROM rfm", ["recency", "frequency", "monetary"]),
+    "rfm_stats": describe_sql("SELECT recency, frequency, monetary FROM rfm", ["recency", "frequency", "monetary"], 2),
     "check_rfm": """
 SELECT COUNT(*) AS rows, COUNT(DISTINCT customer_id) AS customers,
   COUNT(*) = COUNT(DISTINCT customer_id) AS grain_valid,

@@ -3,14 +3,12 @@
 from tillroll.oracle.stats import describe_sql, histogram_sql, quantiles_sql
 from tillroll.plans.sales import DEFAULT_COUNTRY, DEFAULT_YEARS
 
-_S = "CASE WHEN has_product_sale THEN 1 ELSE 0 END"
-_PC = "COUNT(DISTINCT CASE WHEN has_product_sale AND customer_id IS NOT NULL THEN customer_id END)"
-_AOV = (f"ROUND(CAST(SUM(gross_product_sales_value) AS DOUBLE) / CAST(NULLIF(SUM({_S}), 0) AS DOUBLE) * 100) / 100")
-_KPI = f"""
-  CAST(ROUND(SUM(gross_product_sales_value), 2) AS DOUBLE) AS gross_product_sales,
-  CAST(ROUND(SUM(product_cancellation_value), 2) AS DOUBLE) AS product_cancellations,
-  CAST(ROUND(SUM(net_product_sales_value), 2) AS DOUBLE) AS net_product_sales,
-  CAST(SUM({_S}) AS BIGINT) AS purchase_invoices"""
+_ORDERS = "count(*) FILTER (has_product_sale)"
+_PC = "count(DISTINCT customer_id) FILTER (has_product_sale)"
+_AOV = f"round(sum(gross_product_sales_value)::DOUBLE / nullif({_ORDERS}, 0)::DOUBLE * 100) / 100"
+_KPI = f"""{_ORDERS} AS purchase_invoices, round(sum(gross_product_sales_value), 2)::DOUBLE AS gross_product_sales,
+  round(sum(net_product_sales_value), 2)::DOUBLE AS net_product_sales,
+  round(sum(product_cancellation_value), 2)::DOUBLE AS product_cancellations"""
 _MONTH = "CAST(DATE_TRUNC('month', order_datetime) AS TIMESTAMP)"
 
 _PRODUCT_TOTALS = """
@@ -92,7 +90,7 @@ SELECT *, gross_product_sales / CAST(NULLIF(purchase_invoices, 0) AS DOUBLE) AS
   FROM fo GROUP BY 1) m ORDER BY month""",
     "country_performance": f"""
 SELECT country, CAST(ROUND(SUM(net_product_sales_value), 2) AS DOUBLE) AS net_product_sales,
-  CAST(SUM({_S}) AS BIGINT) AS purchase_invoices, {_PC} AS identified_customers
+  {_ORDERS} AS purchase_invoices, {_PC} AS identified_customers
 FROM fo GROUP BY country HAVING SUM(net_product_sales_value) > 0
 ORDER BY net_product_sales DESC, country""",
     "product_ranking": """
@@ -117,7 +115,7 @@ GROUP BY 1 ORDER BY 1""",
 WITH yc AS (
   SELECT CAST(EXTRACT(YEAR FROM order_datetime) AS INTEGER) AS year,
     CAST(ROUND(SUM(net_product_sales_value), 2) AS DOUBLE) AS net_product_sales,
-    CAST(SUM({_S}) AS DOUBLE) AS purchase_invoices,
+    {_ORDERS}::DOUBLE AS purchase_invoices,
     CAST({_PC} AS DOUBLE) AS active_identified_customers,
     {_AOV} AS average_order_value
   FROM fo
@@ -140,10 +138,10 @@ ORDER BY k.kpi_order""",
 SELECT CAST(EXTRACT('isodow' FROM order_datetime) AS BIGINT) AS weekday_number,
   DAYNAME(order_datetime) AS weekday,
   CAST(ROUND(SUM(net_product_sales_value), 2) AS DOUBLE) AS net_product_sales,
-  CAST(SUM({_S}) AS BIGINT) AS purchase_invoices, {_AOV} AS average_order_value
+  {_ORDERS} AS purchase_invoices, {_AOV} AS average_order_value
 FROM fo GROUP BY weekday_number, weekday ORDER BY weekday_number""",
     "saturday_check": f"""
-SELECT COUNT(*) AS invoices, CAST(SUM({_S}) AS BIGINT) AS purchase_invoices,
+SELECT COUNT(*) AS invoices, {_ORDERS} AS purchase_invoices,
   CAST(ROUND(SUM(gross_product_sales_value), 2) AS DOUBLE) AS gross_product_sales,
   MIN(order_datetime) AS first_saturday, MAX(order_datetime) AS last_saturday
 FROM fo WHERE EXTRACT('isodow' FROM order_datetime) = 6""",
@@ -159,7 +157,7 @@ SELECT *,
     AS cancellation_invoice_ratio_pct,
   cancellation_value / NULLIF(gross_product_sales, 0) * 100 AS cancellation_value_ratio_pct
 FROM (
-  SELECT {_MONTH} AS month, CAST(SUM({_S}) AS BIGINT) AS purchase_invoices,
+  SELECT {_MONTH} AS month, {_ORDERS} AS purchase_invoices,
     CAST(SUM(CASE WHEN has_product_cancellation THEN 1 ELSE 0 END) AS BIGINT) AS cancellation_invoices,
     CAST(ROUND(SUM(gross_product_sales_value), 2) AS DOUBLE) AS gross_product_sales,
     CAST(ROUND(ABS(SUM(product_cancellation_value)), 2) AS DOUBLE) AS cancellation_value
@@ -187,9 +185,14 @@ def _tail_hist(col: str, bins: int) -> str:
 
 
 SQL.update({
-    "order_value_stats": describe_sql(_PURCHASE_ORDERS, ["gross_product_sales_value"]),
+    "order_value_stats": describe_sql(_PURCHASE_ORDERS, ["gross_product_sales_value"], 4),
     "order_size_stats": describe_sql(_PURCHASE_ORDERS, ["distinct_stockcodes", "product_sale_quantity",
-                                                        "gross_product_sales_value"]),
+                                                        "gross_product_sales_value"], 4),
     "order_value_histogram": _tail_hist("gross_product_sales_value", 50),
     "order_size_histogram": _tail_hist("distinct_stockcodes", 40),
 })
+
+# the first rows of the ordered reports
+for _key, _of, _n in (("top_country_performance", "country_performance", 10), ("top_product_ranking", "product_ranking", 15),
+                      ("top_product_cancellations", "product_cancellations", 15)):
+    SQL[_key] = f"{SQL[_of]} LIMIT {_n}"

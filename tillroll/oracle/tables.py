@@ -6,7 +6,6 @@ SQL = {
 SELECT COUNT(*) AS row_count, CAST(9 AS BIGINT) AS column_count,
   MIN(InvoiceDate) AS first_invoice_date, MAX(InvoiceDate) AS last_invoice_date
 FROM bronze""",
-    "stockcode_categories": "SELECT * FROM categories",
     "silver_lines": """
 SELECT * REPLACE (CAST(Price AS DOUBLE) AS Price, CAST(raw_line_value AS DOUBLE) AS raw_line_value)
 FROM silver""",
@@ -25,10 +24,4 @@ FROM fo""",
     "dim_customers": "SELECT * FROM dc",
     "dim_products": "SELECT * FROM dp",
     "customer_rfm": "SELECT * FROM rfm",
-    "describe_table": """
-SELECT column_name,
-  CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'BOOLEAN' THEN 'boolean'
-    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'int'
-    WHEN 'DATE' THEN 'date' ELSE lower(column_type) END AS column_type
-FROM (DESCRIBE SELECT * FROM fol) d""",
 }

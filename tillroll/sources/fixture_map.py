@@ -19,7 +19,7 @@ from tillroll import schemas as S
 # Fixed values of the mapping (shared with the DuckDB oracle).
 ORDER_OFFSET = 500000
 PART_OFFSET = 20000
-SPECIAL_CODE_BY_PART_MOD_97 = {0: "POST", 1: "M", 2: "DCGS0003", 3: "D", 4: "m"}
+SPECIAL_CODE_BY_PART_MOD_97 = {0: "POST", 1: "M", 2: "DCGS0003", 3: "D", 4: "m", 5: "GIFT"}
 OVERLAP_START = "1998-12-01 00:00:00"   # later period starts here
 OVERLAP_END = "1998-12-10 00:00:00"     # earlier period ends before this
 PERIOD_EARLY = "1995-1998"
@@ -53,10 +53,15 @@ def mapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep_sign = ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % 997) == 1
     neg_price = ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % 9973) == 0
     qty = F.col("l_quantity").cast("bigint")
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    adjusted = ((key * 3 + line) % 4001 == 0) & ~returned       # invoices with the A prefix
+    dear = (key * 11 + line) % 1009 == 0                        # prices above 1000 and 10000
+    negative = (key * 13 + line) % 499 == 0                     # negative without C, described
+    half_known = (F.col("o_orderkey") % 307 == 0) & (line % 2 == 1)  # customer on some lines only
 
     mod97 = F.col("p_partkey") % 97
     code: Column = F.when(mod97 == 0, SPECIAL_CODE_BY_PART_MOD_97[0])
-    for k in (1, 2, 3, 4):
+    for k in range(1, len(SPECIAL_CODE_BY_PART_MOD_97)):
         code = code.when(mod97 == k, SPECIAL_CODE_BY_PART_MOD_97[k])
     code = code.otherwise((F.col("p_partkey") + PART_OFFSET).cast("string"))
 
@@ -65,22 +70,23 @@ def mapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.timestamp_add("MINUTE", minutes, F.col("o_orderdate").cast("timestamp_ntz"))
 
     sign = F.when(z, 0).when(neg_price, -1).otherwise(1).cast("decimal(1,0)")
-    price = (sign * F.col("p_retailprice").cast("decimal(12,2)")).cast("decimal(12,2)")
+    price = (sign * F.when(dear, 12).otherwise(1).cast("decimal(2,0)")
+             * F.col("p_retailprice").cast("decimal(12,2)")).cast("decimal(12,2)")
 
-    copies = F.when(((F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_suppkey")) % 101) == 0,
-                    F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    places = key + line + F.col("l_suppkey")
+    copies = F.sequence(F.lit(1), F.when(places % 1013 == 0, 3).when(places % 101 == 0, 2).otherwise(1))
 
     return joined.select(
-        F.concat(F.when(returned, "C").otherwise(""),
+        F.concat(F.when(returned, "C").when(adjusted, "A").otherwise(""),
                  (F.col("l_orderkey") + ORDER_OFFSET).cast("string")).alias(S.INVOICE),
         code.alias(S.STOCK_CODE),
         F.when(z, F.lit(None).cast("string"))
          .when((F.col("l_orderkey") % 5) == 0, F.concat_ws(" ", "p_name", "p_brand"))
          .otherwise(F.col("p_name")).alias(S.DESCRIPTION),
-        F.when(keep_sign, qty).when(returned | z, -qty).otherwise(qty).alias(S.QUANTITY),
+        F.when(keep_sign, qty).when(returned | z | negative, -qty).otherwise(qty).alias(S.QUANTITY),
         ts.alias(S.INVOICE_DATE),
         price.alias(S.PRICE),
-        F.when(((F.col("o_custkey") % 5) == 0) & ((F.col("o_orderkey") % 2) == 0),
+        F.when((((F.col("o_custkey") % 5) == 0) & ((F.col("o_orderkey") % 2) == 0)) | half_known,
                F.lit(None).cast("bigint")).otherwise(F.col("o_custkey")).alias(S.CUSTOMER),
         F.when((F.col("o_orderkey") % 211) == 0, F.lit("EIRE"))
          .otherwise(F.col("n_name")).alias(S.COUNTRY),
@@ -88,14 +94,6 @@ def mapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_copy")
 
 
-def raw_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two raw inputs, as the two period sheets would arrive (they overlap)."""
-    lines = mapped_lines(spark, sf_dir)
-    early = lines.filter(F.col(S.INVOICE_DATE) < F.lit(OVERLAP_END).cast("timestamp_ntz"))
-    late = lines.filter(F.col(S.INVOICE_DATE) >= F.lit(OVERLAP_START).cast("timestamp_ntz"))
-    return early, late
-
-
 RAW_PERIOD_COL = "raw_period"
 
 
@@ -124,7 +122,8 @@ def _code_sql() -> str:
 
 MAPPED_LINES_SQL = f"""
 SELECT
-  (CASE WHEN l.l_returnflag = 'R' THEN 'C' ELSE '' END)
+  (CASE WHEN l.l_returnflag = 'R' THEN 'C'
+        WHEN (l.l_orderkey * 3 + l.l_linenumber) % 4001 = 0 THEN 'A' ELSE '' END)
     || CAST(l.l_orderkey + {ORDER_OFFSET} AS VARCHAR) AS Invoice,
   {_code_sql()} AS StockCode,
   CASE WHEN (l.l_orderkey + l.l_linenumber) % 83 = 0 THEN NULL
@@ -132,6 +131,7 @@ SELECT
        ELSE p.p_name END AS Description,
   CASE WHEN (l.l_orderkey * 7 + l.l_partkey) % 997 = 1 THEN CAST(l.l_quantity AS BIGINT)
        WHEN l.l_returnflag = 'R' OR (l.l_orderkey + l.l_linenumber) % 83 = 0
+         OR (l.l_orderkey * 13 + l.l_linenumber) % 499 = 0
          THEN -CAST(l.l_quantity AS BIGINT)
        ELSE CAST(l.l_quantity AS BIGINT) END AS Quantity,
   CAST(o.o_orderdate AS TIMESTAMP)
@@ -141,11 +141,14 @@ SELECT
   CAST(CAST(CASE WHEN (l.l_orderkey + l.l_linenumber) % 83 = 0 THEN 0
                  WHEN (l.l_orderkey * 7 + l.l_partkey) % 9973 = 0 THEN -1
                  ELSE 1 END AS DECIMAL(1,0))
+       * CAST(CASE WHEN (l.l_orderkey * 11 + l.l_linenumber) % 1009 = 0 THEN 12 ELSE 1 END AS DECIMAL(2,0))
        * CAST(p.p_retailprice AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS Price,
-  CASE WHEN o.o_custkey % 5 = 0 AND o.o_orderkey % 2 = 0 THEN NULL
+  CASE WHEN (o.o_custkey % 5 = 0 AND o.o_orderkey % 2 = 0)
+         OR (o.o_orderkey % 307 = 0 AND l.l_linenumber % 2 = 1) THEN NULL
        ELSE o.o_custkey END AS customer_id_raw,
   CASE WHEN o.o_orderkey % 211 = 0 THEN 'EIRE' ELSE n.n_name END AS Country,
-  CASE WHEN (l.l_orderkey + l.l_linenumber + l.l_suppkey) % 101 = 0 THEN 2 ELSE 1 END AS copies
+  CASE WHEN (l.l_orderkey + l.l_linenumber + l.l_suppkey) % 1013 = 0 THEN 3
+       WHEN (l.l_orderkey + l.l_linenumber + l.l_suppkey) % 101 = 0 THEN 2 ELSE 1 END AS copies
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN part p ON l.l_partkey = p.p_partkey
@@ -153,6 +156,9 @@ JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
+# Every mapped line as often as it is repeated.
+REPEATED_LINES_SQL = "SELECT m.* FROM mapped_src m, range(m.copies) r"
+
 # Raw period A keeps its own literal on the overlap rows; the consolidation
 # keeps A before the cut and all of B.
 BRONZE_SQL = f"""
@@ -160,7 +166,5 @@ SELECT Invoice, StockCode, Description, Quantity, InvoiceDate,
        CAST(Price AS DECIMAL(18,4)) AS Price, customer_id_raw, Country,
        CASE WHEN InvoiceDate < TIMESTAMP '{OVERLAP_START}' THEN '{PERIOD_EARLY}'
             ELSE '{PERIOD_LATE}' END AS SourcePeriod
-FROM (SELECT * FROM mapped_src
-      UNION ALL
-      SELECT * FROM mapped_src WHERE copies = 2) m
+FROM ({REPEATED_LINES_SQL}) m
 """

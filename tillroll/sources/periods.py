@@ -3,7 +3,7 @@
 S1  read one period file (CSV with header or Parquet), schema given
 P1  text columns → string
 P2  customer id: lenient (unparseable → null)
-P3  quantity / price: strict (unparseable → the job fails, ANSI cast)
+P3  quantity / price: strict (unparseable or beyond the type → the job fails)
 P4  invoice date: strict timestamp without time zone
 P5  provenance literal per input
 P6  overlap cut: the earlier period keeps dates before the cut
@@ -41,10 +41,26 @@ def lenient_id(col: Column, dtype: T.DataType) -> Column:
     return F.when(as_dec == F.floor(as_dec), as_dec.cast("bigint"))
 
 
+def strict(col: Column, kind: str, what: str, same: str | None = None) -> Column:
+    """A cast that stops the job on a value it can't represent, whether ANSI mode
+    is on or not.  ``same``: a wider type in which value and result must agree."""
+    out = col.try_cast(kind)
+    lost = out.isNull() if same is None else out.isNull() | (out.cast(same) != col.try_cast(same))
+    message = F.concat(F.lit(f"{what} can't be read: "), col.cast("string"))
+    return F.when(col.isNotNull() & F.coalesce(lost, F.lit(True)), F.raise_error(message).cast(kind)).otherwise(out)
+
+
 def strict_quantity(col: Column, dtype: T.DataType) -> Column:
     if _is_integral(dtype):
         return col.cast("bigint")
-    return col.cast("decimal(38,6)").cast("bigint")
+    return strict(strict(col, "decimal(38,6)", S.QUANTITY), "bigint", S.QUANTITY, same="decimal(38,6)")
+
+
+def strict_price(col: Column, dtype: T.DataType) -> Column:
+    """Prices have four decimals; one with more stops the job instead of being rounded."""
+    if isinstance(dtype, T.DecimalType) and dtype.scale <= 4 and dtype.precision - dtype.scale <= 14:
+        return col.cast(S.PRICE_TYPE)
+    return strict(col, S.PRICE_TYPE, S.PRICE, same="decimal(38,12)")
 
 
 def type_period(df: DataFrame, period_label: str) -> DataFrame:
@@ -55,8 +71,9 @@ def type_period(df: DataFrame, period_label: str) -> DataFrame:
         F.col(S.STOCK_CODE).cast("string").alias(S.STOCK_CODE),
         F.col(S.DESCRIPTION).cast("string").alias(S.DESCRIPTION),
         strict_quantity(F.col(S.QUANTITY), types[S.QUANTITY]).alias(S.QUANTITY),
-        F.col(S.INVOICE_DATE).cast("timestamp_ntz").alias(S.INVOICE_DATE),
-        F.col(S.PRICE).cast(S.PRICE_TYPE).alias(S.PRICE),
+        (F.col(S.INVOICE_DATE) if isinstance(types[S.INVOICE_DATE], T.TimestampNTZType)
+         else strict(F.col(S.INVOICE_DATE), "timestamp_ntz", S.INVOICE_DATE)).alias(S.INVOICE_DATE),
+        strict_price(F.col(S.PRICE), types[S.PRICE]).alias(S.PRICE),
         lenient_id(F.col(S.CUSTOMER), types[S.CUSTOMER]).alias(S.CUSTOMER),
         F.col(S.COUNTRY).cast("string").alias(S.COUNTRY),
         F.lit(period_label).alias(S.PERIOD),
@@ -83,12 +100,3 @@ def bronze_summary(bronze: DataFrame) -> DataFrame:
         F.min(S.INVOICE_DATE).alias("first_invoice_date"),
         F.max(S.INVOICE_DATE).alias("last_invoice_date"),
     )
-
-
-def period_summary(bronze: DataFrame) -> DataFrame:
-    """Per provenance: rows and date range (the per-sheet shape report)."""
-    return bronze.groupBy(S.PERIOD).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min(S.INVOICE_DATE).alias("first_invoice_date"),
-        F.max(S.INVOICE_DATE).alias("last_invoice_date"),
-    )
