@@ -41,18 +41,23 @@ def main() -> None:
         cart = len(re.findall(r"CartesianProduct", txt))
         py = len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", txt))
         smj = len(re.findall(r"SortMergeJoin", txt))
-        rows.append((key, shuffles, single, bcast, smj, cart, py))
+        scans = len(re.findall(r"FileScan", txt))
+        sort_agg = len(re.findall(r"SortAggregate", txt))
+        expand = len(re.findall(r"Expand \[", txt))
+        rows.append((key, scans, shuffles, single, bcast, smj, sort_agg, expand, cart, py))
         if cart or py:
             flags.append(f"- `{key}`: CartesianProduct={cart} PythonEval={py}")
+        if sort_agg or expand:
+            flags.append(f"- `{key}`: SortAggregate={sort_agg} Expand={expand}")
     print("# Physical plan audit\n")
-    print(f"Tables: `{sf_dir}`. Columns: hash/range shuffles, single-partition exchanges, broadcasts, "
-          "sort-merge joins, Cartesian products, Python evaluation nodes.\n")
-    print("| key | shuffles | single-partition | broadcasts | SMJ | cartesian | python |")
-    print("|---|---|---|---|---|---|---|")
+    print(f"Tables: `{sf_dir}`. Columns: file scans, hash/range shuffles, single-partition exchanges, "
+          "broadcasts, sort-merge joins, sort-based aggregations, expansions, Cartesian products, Python evaluation nodes.\n")
+    print("| key | scans | shuffles | single-partition | broadcasts | SMJ | sort agg. | expand | cartesian | python |")
+    print("|---|---|---|---|---|---|---|---|---|---|")
     for r in rows:
         print("| " + " | ".join(str(x) for x in r) + " |")
     print("\n## Flags\n")
-    print("\n".join(flags) if flags else "none: no Cartesian product, no Python evaluation in any plan.")
+    print("\n".join(flags) if flags else "none: no Cartesian product, Python evaluation, sort-based aggregation or expansion in any plan.")
     spark.stop()
 
 

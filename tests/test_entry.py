@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib.util
 import os
+import subprocess
+import sys
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,6 +34,15 @@ def test_queries_and_oracles_share_keys():
     assert all(sql.lstrip().upper().startswith(("WITH", "SELECT", "(")) for sql in o.values())
 
 
-def test_no_query_name_uses_reserved_prefixes():
-    mod = _entry_module()
-    assert not [k for k in mod.queries() if k.startswith("op") and k[2:3].isdigit()]
+def test_no_library_query_uses_reserved_names():
+    from tillroll.registry import spark_queries
+    assert not [k for k in spark_queries() if k == "pipeline" or (k.startswith("op") and k[2:3].isdigit())]
+
+
+def test_the_library_stands_without_the_training_data_part():
+    # the entry module and everything below it import with that part out of reach
+    code = ("import sys; sys.modules['tillroll.llm'] = None\n"
+            "import importlib.util as u; s = u.spec_from_file_location('e', '__spark_entry__.py'); m = u.module_from_spec(s)\n"
+            "s.loader.exec_module(m); print(len(m.queries()), len(m.oracle_sql()), any('.llm' in n for n in sys.modules if sys.modules[n]))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) >= 100 and int(out[1]) >= 100 and out[2] == "False"

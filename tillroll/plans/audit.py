@@ -55,31 +55,26 @@ def audit_nulls(wh) -> DataFrame:
 def audit_overlap(wh) -> DataFrame:
     """R2 + J6: the shared days of both periods — sizes, common invoices and
     multiset equality of the 8 business columns (a.exceptAll(b) and
-    b.exceptAll(a) both empty, computed as one aggregation)."""
+    b.exceptAll(a) both empty).  Each period is read once: lines collapse to distinct
+    rows with their copies on each side, these to invoices, these to one row."""
     early, late = wh.raw_periods()
     lo = F.lit(FM.OVERLAP_START).cast("timestamp_ntz")
     hi = F.lit(FM.OVERLAP_END).cast("timestamp_ntz")
-    a = early.filter((F.col(S.INVOICE_DATE) >= lo) & (F.col(S.INVOICE_DATE) < hi)).select(*BUSINESS_COLUMNS)
-    b = late.filter((F.col(S.INVOICE_DATE) >= lo) & (F.col(S.INVOICE_DATE) < hi)).select(*BUSINESS_COLUMNS)
-    # Multiset difference both ways in one aggregation: per distinct row, the
-    # copies on each side; a.exceptAll(b) has sum(max(na - nb, 0)) rows.
-    tagged = (a.withColumn("_na", F.lit(1)).withColumn("_nb", F.lit(0))
-               .unionByName(b.withColumn("_na", F.lit(0)).withColumn("_nb", F.lit(1))))
-    per_row = tagged.groupBy(*BUSINESS_COLUMNS).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb"))
-    diff = per_row.agg(
-        F.sum(F.greatest(F.col("_na") - F.col("_nb"), F.lit(0))).cast("bigint").alias("only_in_a"),
-        F.sum(F.greatest(F.col("_nb") - F.col("_na"), F.lit(0))).cast("bigint").alias("only_in_b"))
-    # common invoices: per invoice, seen on both sides
-    per_inv = (tagged.filter(F.col(S.INVOICE).isNotNull()).groupBy(S.INVOICE)
-               .agg(F.max("_na").alias("_in_a"), F.max("_nb").alias("_in_b")))
-    one_rows = [
-        a.agg(F.count(F.lit(1)).alias("rows_a"), F.countDistinct(S.INVOICE).alias("invoices_a")),
-        b.agg(F.count(F.lit(1)).alias("rows_b"), F.countDistinct(S.INVOICE).alias("invoices_b")),
-        per_inv.agg(F.count_if((F.col("_in_a") == 1) & (F.col("_in_b") == 1)).alias("common_invoices")),
-        diff,
-    ]
-    # four one-row aggregates: bounded cross joins.
-    out = reduce(lambda x, y: x.crossJoin(F.broadcast(y)), one_rows)
+    shared = (F.col(S.INVOICE_DATE) >= lo) & (F.col(S.INVOICE_DATE) < hi)
+    sides = [df.filter(shared).select(*BUSINESS_COLUMNS, F.lit(x).alias("_a"), F.lit(1 - x).alias("_b"))
+             for df, x in ((early, 1), (late, 0))]
+    # a.exceptAll(b) has sum(max(na - nb, 0)) rows
+    rows = sides[0].unionByName(sides[1]).groupBy(*BUSINESS_COLUMNS).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    more = lambda x, y: F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0)))
+    invoices = rows.groupBy(S.INVOICE).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"),
+                                           more("_a", "_b").alias("_only_a"), more("_b", "_a").alias("_only_b"))
+    named = F.col(S.INVOICE).isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    out = invoices.agg(
+        total("_a").alias("rows_a"), F.count_if(named & (F.col("_a") > 0)).alias("invoices_a"),
+        total("_b").alias("rows_b"), F.count_if(named & (F.col("_b") > 0)).alias("invoices_b"),
+        F.count_if(named & (F.col("_a") > 0) & (F.col("_b") > 0)).alias("common_invoices"),
+        F.sum("_only_a").cast("bigint").alias("only_in_a"), F.sum("_only_b").cast("bigint").alias("only_in_b"))
     return out.select("*", (F.col("rows_a") == F.col("rows_b")).alias("same_row_count"),
                       ((F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)).alias("identical_rows"))
 
@@ -162,36 +157,46 @@ def audit_high_price_values(wh, n: int = 20) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _price_series(wh) -> DataFrame:
-    return _lines(wh).filter(F.coalesce(strip(S.DESCRIPTION) == F.lit(PRICE_SERIES_DESCRIPTION), F.lit(False)))
+def _price_series(wh, description: str) -> DataFrame:
+    return _lines(wh).filter(F.coalesce(strip(S.DESCRIPTION) == F.lit(description), F.lit(False)))
 
 
-def flag_price_stats(wh) -> DataFrame:
+def flag_price_stats(wh, description: str = PRICE_SERIES_DESCRIPTION) -> DataFrame:
     """F14 + A29: describe() of one product's prices (text compared after strip)."""
-    return describe(_price_series(wh), [S.PRICE])
+    return describe(_price_series(wh, description), [S.PRICE])
 
 
-def flag_price_counts(wh) -> DataFrame:
+def flag_price_counts(wh, description: str = PRICE_SERIES_DESCRIPTION) -> DataFrame:
     """that product's lines per price, by price."""
-    return (_price_series(wh).groupBy(F.col(S.PRICE).cast("double").alias("price"))
+    return (_price_series(wh, description).groupBy(F.col(S.PRICE).cast("double").alias("price"))
             .agg(F.count(F.lit(1)).alias("rows")).orderBy("price"))
 
 
 # -------------------------------------------------------- missing values --
 
 def audit_missing_customer(wh) -> DataFrame:
-    """C2 (+ J6 count): lines without customer id."""
-    d = _lines(wh)
+    """C2 (+ J6 count): lines without customer id.  One read: lines collapse to
+    (invoice, country) with counts, these to invoices, these to one row."""
     miss = F.col(S.CUSTOMER).isNull()
-    summary = d.agg(
-        count_when(miss).alias("missing_customer_rows"),
-        F.count(F.lit(1)).alias("total_rows"),
-        (safe_div(count_when(miss), F.count(F.lit(1))) * 100).alias("missing_customer_pct"),
-        F.countDistinct(F.when(miss, F.col(S.INVOICE))).alias("invoices"),
-        F.countDistinct(F.when(miss, F.col(S.COUNTRY))).alias("countries"),
-        count_when(miss & (F.col(S.QUANTITY) > 0) & (F.col(S.PRICE) > 0)).alias("positive_quantity_price_rows"))
-    mixed = _mixed_invoices(d).agg(F.count(F.lit(1)).alias("mixed_invoices"))
-    return summary.crossJoin(F.broadcast(mixed))  # two one-row frames
+    pairs = _lines(wh).groupBy(S.INVOICE, S.COUNTRY).agg(
+        count_when(miss).alias("_m"), F.count(F.lit(1)).alias("_n"),
+        count_when(miss & (F.col(S.QUANTITY) > 0) & (F.col(S.PRICE) > 0)).alias("_p"))
+    # countries are few: their set stays small per invoice
+    invoices = pairs.groupBy(S.INVOICE).agg(
+        F.sum("_m").alias("_m"), F.sum("_n").alias("_n"), F.sum("_p").alias("_p"),
+        F.collect_set(F.when(F.col("_m") > 0, F.col(S.COUNTRY))).alias("_countries"))
+    named = F.col(S.INVOICE).isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    per_set = invoices.groupBy("_countries").agg(
+        F.sum("_m").alias("_m"), F.sum("_n").alias("_n"), F.sum("_p").alias("_p"),
+        F.count_if(named & (F.col("_m") > 0)).alias("_i"),
+        F.count_if(named & (F.col("_m") > 0) & (F.col("_m") < F.col("_n"))).alias("_x"))
+    return per_set.agg(
+        total("_m").alias("missing_customer_rows"), total("_n").alias("total_rows"),
+        (safe_div(total("_m"), total("_n")) * 100).alias("missing_customer_pct"),
+        total("_i").alias("invoices"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("_countries")))).cast("bigint").alias("countries"),
+        total("_p").alias("positive_quantity_price_rows"), total("_x").alias("mixed_invoices"))
 
 
 def _mixed_invoices(d: DataFrame) -> DataFrame:
@@ -352,12 +357,16 @@ def audit_classification(wh) -> DataFrame:
 
 
 def audit_category_counts(wh) -> DataFrame:
-    """Codes per category, before (rules only) and after the fallback."""
-    c = _classified(wh)
+    """Codes per category, before (rules only) and after the fallback, from one
+    count per rule category (≤ 10 rows)."""
     final = F.when(F.col("rule_category") == "unknown", F.lit(AUDIT_FALLBACK_CATEGORY)).otherwise(F.col("rule_category"))
-    before = c.groupBy(F.col("rule_category").alias("category")).agg(F.count(F.lit(1)).alias("codes_by_rules"))
-    after = c.groupBy(final.alias("category")).agg(F.count(F.lit(1)).alias("codes_final"))
-    return before.join(after, "category", "full").orderBy("category")
+    counts = _classified(wh).groupBy("rule_category").agg(F.count(F.lit(1)).alias("n"))
+    sides = counts.select("n", F.explode(F.array(
+        F.struct(F.col("rule_category").alias("category"), F.lit(True).alias("by_rules")),
+        F.struct(final.alias("category"), F.lit(False).alias("by_rules")))).alias("s"))
+    return (sides.groupBy("s.category").agg(F.sum(F.when(F.col("s.by_rules"), F.col("n"))).alias("codes_by_rules"),
+                                            F.sum(F.when(~F.col("s.by_rules"), F.col("n"))).alias("codes_final"))
+            .orderBy("category"))
 
 
 def audit_unclassified_codes(wh) -> DataFrame:
@@ -368,10 +377,12 @@ def audit_unclassified_codes(wh) -> DataFrame:
 
 
 def audit_invoice_grain(wh) -> DataFrame:
-    """C14: per invoice distinct dates / customers / countries; maxima and >1 counts."""
-    g = _lines(wh).groupBy(S.INVOICE).agg(F.countDistinct(S.INVOICE_DATE).alias("dates"),
-                                          F.countDistinct(S.CUSTOMER).alias("customers"),
-                                          F.countDistinct(S.COUNTRY).alias("countries"))
+    """C14: per invoice distinct dates / customers / countries; maxima and >1 counts.
+    Distinct values are counted per invoice as small sets after one reduction."""
+    rows = _lines(wh).groupBy(S.INVOICE, S.INVOICE_DATE, S.CUSTOMER, S.COUNTRY).agg(F.count(F.lit(1)).alias("_n"))
+    g = rows.groupBy(S.INVOICE).agg(
+        *[F.size(F.collect_set(c)).cast("bigint").alias(name) for c, name in
+          ((S.INVOICE_DATE, "dates"), (S.CUSTOMER, "customers"), (S.COUNTRY, "countries"))])
     return g.agg(F.max("dates").alias("max_dates"), F.max("customers").alias("max_customers"),
                  F.max("countries").alias("max_countries"),
                  count_when(F.col("dates") > 1).alias("invoices_multi_dates"),
@@ -379,26 +390,29 @@ def audit_invoice_grain(wh) -> DataFrame:
                  count_when(F.col("countries") > 1).alias("invoices_multi_countries"))
 
 
+def _multi_timestamp(wh) -> DataFrame:
+    """Invoices whose first and last timestamps differ."""
+    return (_lines(wh).filter(F.col(S.INVOICE).isNotNull()).groupBy(S.INVOICE)
+            .agg(F.min(S.INVOICE_DATE).alias("first_date"), F.max(S.INVOICE_DATE).alias("last_date"),
+                 F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("first_date") < F.col("last_date")))
+
+
 def audit_multi_timestamp(wh) -> DataFrame:
     """Invoices with several timestamps — first, last, rows, gap, same day."""
-    g = (_lines(wh).filter(F.col(S.INVOICE).isNotNull()).groupBy(S.INVOICE)
-         .agg(F.countDistinct(S.INVOICE_DATE).alias("_dates"),
-              F.min(S.INVOICE_DATE).alias("first_date"), F.max(S.INVOICE_DATE).alias("last_date"),
-              F.count(F.lit(1)).alias("rows"))
-         .filter(F.col("_dates") > 1).drop("_dates"))
     gap = F.timestamp_diff("SECOND", F.col("first_date"), F.col("last_date")).cast("double") / F.lit(60.0)
-    return (g.withColumn("gap_minutes", gap)
-             .withColumn("same_day", F.col("first_date").cast("date") == F.col("last_date").cast("date"))
-             .orderBy(F.col("gap_minutes").desc(), S.INVOICE))
+    return (_multi_timestamp(wh).withColumn("gap_minutes", gap)
+            .withColumn("same_day", F.col("first_date").cast("date") == F.col("last_date").cast("date"))
+            .orderBy(F.col("gap_minutes").desc(), S.INVOICE))
 
 
 def audit_gap_stats(wh) -> DataFrame:
     """C15 + A29: describe() of the gap of multi-timestamp invoices, in minutes.
 
     Described exactly in whole seconds, then scaled (minutes = seconds / 60)."""
-    gaps = audit_multi_timestamp(wh).select(
+    gaps = _multi_timestamp(wh).select(
         F.timestamp_diff("SECOND", F.col("first_date"), F.col("last_date")).alias("gap_seconds"))
-    d = describe(gaps, ["gap_seconds"], exact_type="decimal(18,0)")
+    d = describe(gaps, ["gap_seconds"])
     return d.select(F.lit("gap_minutes").alias("column"), "count",
                     *[(F.col(c) / F.lit(60.0)).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 

@@ -1,4 +1,4 @@
-"""BI extracts (S7–S9) and their CSV sink.
+"""BI extracts (S7–S10) and their CSV sink.
 
 Each extract is a DataFrame with a total order; ``write_extracts`` writes
 them as CSV with a header.  The sort is a distributed range sort
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions import calendar as CAL
+from tillroll.plans.audit import audit_classification
 from tillroll.plans.customers import export_rfm
 
 
@@ -72,6 +73,7 @@ EXTRACTS = {
     "tableau_orders": export_orders,
     "tableau_rfm": export_rfm,
     "tableau_products_monthly": export_products_monthly,
+    "stockcode_categories": audit_classification,  # S10
 }
 
 

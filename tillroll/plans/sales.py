@@ -108,12 +108,14 @@ def _product_totals(wh, lines: DataFrame) -> DataFrame:
     return per_code.join(dp, S.STOCK_CODE, "left")
 
 
+def _compute_product_totals(wh) -> DataFrame:
+    return _product_totals(wh, wh.table("fact_order_lines").filter(F.col("line_category") == "product"))
+
+
 def _all_product_totals(wh) -> DataFrame:
     """Per-code totals of all product lines, stored once: four reports read them."""
-    def compute(w):
-        return _product_totals(w, w.table("fact_order_lines").filter(F.col("line_category") == "product"))
     derived = getattr(wh, "derived", None)
-    return derived("product_totals", compute) if derived else compute(wh)
+    return derived("product_totals", _compute_product_totals) if derived else _compute_product_totals(wh)
 
 
 def product_performance(wh) -> DataFrame:
@@ -235,6 +237,21 @@ def product_ranking(wh) -> DataFrame:
             .orderBy(F.col("net_product_sales").desc(), "stock_code"))
 
 
+def top_country_performance(wh, n: int = 10) -> DataFrame:
+    """A18 + F6: the first ``n`` countries by net value (take-ordered, no full sort)."""
+    return country_performance(wh).limit(n)
+
+
+def top_product_ranking(wh, n: int = 15) -> DataFrame:
+    """A19 + F6: the first ``n`` products by net value."""
+    return product_ranking(wh).limit(n)
+
+
+def top_product_cancellations(wh, n: int = 15) -> DataFrame:
+    """A25 + F6: the first ``n`` products by cancelled value."""
+    return product_cancellations(wh).limit(n)
+
+
 def _year_range(years) -> Column:
     """The same rows as ``year IN years``, stated on the raw timestamp so the
     Parquet scan can skip row groups (min/max statistics)."""
@@ -244,7 +261,7 @@ def _year_range(years) -> Column:
 
 
 def year_comparison(wh, years=DEFAULT_YEARS) -> DataFrame:
-    fo = wh.table("fact_orders").filter(_year_range(years))
+    fo = wh.orders_between(min(years), max(years)).filter(_year_range(years))
     y = CAL.year_of("order_datetime")
     return (fo.filter(y.isin(list(years)) & (CAL.month_of("order_datetime") <= 11))
               .groupBy(y.alias("year"))

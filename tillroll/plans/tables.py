@@ -15,10 +15,6 @@ def bronze_summary(wh) -> DataFrame:
     return _bronze_summary(wh.table("bronze"))
 
 
-def stockcode_categories(wh) -> DataFrame:
-    return wh.categories()
-
-
 def silver_lines(wh) -> DataFrame:
     return wh.table("silver_transactions")
 
@@ -43,7 +39,7 @@ def customer_rfm(wh) -> DataFrame:
     return wh.table("customer_rfm")
 
 
-def describe_table(wh, table: str = "fact_order_lines") -> DataFrame:
+def table_columns(wh, table: str = "fact_order_lines") -> DataFrame:
     """Column names and types of a warehouse table (``DESCRIBE`` on its view)."""
     view = f"tillroll_{table}"
     wh.table(table).createOrReplaceTempView(view)

@@ -29,6 +29,12 @@ def plan_functions() -> dict[str, Callable]:
     return out
 
 
+def derived_tables() -> dict[str, Callable]:
+    """Tables that several reports share, by the name they are stored under."""
+    return {"customer_purchase_counts": customers._compute_purchase_counts, "customer_value_curve": customers._pareto,
+            "monthly_orders": sales._compute_monthly_orders, "product_totals": sales._compute_product_totals}
+
+
 def _public_queries(mod) -> list[str]:
     oracle = oracle_bodies()
     names = []
