@@ -54,6 +54,9 @@ def partition(n: int, parts: int) -> list[tuple[int, int]]:
     return list(zip(starts, starts[1:]))
 
 
+_CLASS = np.left_shift(np.uint32(1), np.arange(32, dtype=np.uint32))
+
+
 class _Plan(dict):
     """n → ([(seed, start, end)] of own segments, the same of probed substrings)."""
 
@@ -114,14 +117,15 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _keys(docs: DataFrame, threshold: int, least: int) -> DataFrame:
-    """(h1, segments, probes): hashes of segments and probed substrings of each line,
-    once per line and task."""
+    """(h1, sketch, segments, probes): hashes of segments and probed substrings of each
+    line, once per line and task, and the parities of its characters' counts in 32
+    classes: an edit changes two of them at most."""
     def run(batches):
         plan, seen = _Plan(threshold, least), set()
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                texts, h1, own, probed, n_own, n_probed = batch.column(1).slice(at, 512), [], [], [], [0], [0]
+                texts, h1, raws, own, probed, n_own, n_probed = batch.column(1).slice(at, 512), [], [], [], [], [0], [0]
                 for k in range(len(texts)):
                     for line in lines_of(texts[k].as_py()):
                         line = line.strip(BLANKS)
@@ -136,15 +140,19 @@ def _keys(docs: DataFrame, threshold: int, least: int) -> DataFrame:
                         raw = line.encode("utf-32-le", "surrogatepass")
                         segments, probes = plan[len(line)]
                         h1.append(h)
+                        raws.append(raw)
                         own += [digest(raw[a:b], s) for s, a, b in segments]
                         probed += [digest(raw[a:b], s) for s, a, b in probes]
                         n_own.append(len(own))
                         n_probed.append(len(probed))
+                classes = _CLASS[np.frombuffer(b"".join(raws), "<u4") & 31]
+                starts = np.cumsum([0] + [len(x) // 4 for x in raws[:-1]])
+                sketch = np.bitwise_xor.reduceat(classes, starts) if raws else classes
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(h1), *[pa.ListArray.from_arrays(pa.array(n, pa.int32()), _signed(x))
-                                    for n, x in ((n_own, own), (n_probed, probed))]], ["h1", "segments", "probes"])
+                    [_signed(h1), pa.array(sketch.view(np.int32)), *[pa.ListArray.from_arrays(pa.array(n, pa.int32()), _signed(x))
+                                    for n, x in ((n_own, own), (n_probed, probed))]], ["h1", "sketch", "segments", "probes"])
 
-    return docs.mapInArrow(run, "h1 long, segments array<long>, probes array<long>")
+    return docs.mapInArrow(run, "h1 long, sketch int, segments array<long>, probes array<long>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -198,9 +206,11 @@ def duplicate_lines(docs: DataFrame, threshold: int = 2, least: int = 20,
     lines = stored(_occurrences(docs, least), "lines")
     reps = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("at"), F.count(F.lit(1)).alias("n")), "line-reps")
     keys = _keys(docs, threshold, least)
-    segments = keys.select("h1", F.explode("segments").alias("key")).repartition("key").dropDuplicates(["key", "h1"])
-    probes = keys.select(F.col("h1").alias("other"), F.explode("probes").alias("key"))
-    pairs = stored(segments.join(probes, "key").where("h1 <> other")
+    segments = keys.select("h1", "sketch", F.explode("segments").alias("key")).repartition("key").dropDuplicates(["key", "h1"])
+    probes = keys.select(F.col("h1").alias("other"), F.col("sketch").alias("theirs"), F.explode("probes").alias("key"))
+    # lines that share a segment but differ in too many characters' parities are no pair
+    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("theirs"))) <= 2 * threshold
+    pairs = stored(segments.join(probes, "key").where((F.col("h1") != F.col("other")) & near)
                    .select(F.least("h1", "other").alias("x"), F.greatest("h1", "other").alias("y")).distinct(), "line-pairs")
     wanted = (pairs.select(F.col("x").alias("h1")).union(pairs.select("y")).distinct().join(reps, "h1")
               .groupBy("at.doc_id", "at.row").agg(F.collect_list(F.struct("at.line_no", "h1")).alias("at")))
