@@ -17,11 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.store import fresh_name, stored
+from tillroll.llm.store import fresh_name, if_few, stored
 
 BLANKS = " \t\n\x0b\x0c\r"
-#: Ids up to this many (16 bytes each) are sent to all executors; more are joined by shuffle.
-BROADCAST_IDS = 2_000_000
 
 
 def within(a: str, b: str, threshold: int) -> bool:
@@ -167,9 +165,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     out.append(lines[x["line_no"]].strip(BLANKS))
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(out, pa.string())], ["h1", "line"])
 
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return docs.join(wanted, ["doc_id", "row"]).select("text", "at").mapInArrow(run, "h1 long, line string").dropDuplicates(["h1"])
+    places = wanted.agg(F.sum(F.size("at"))).first()[0] or 0
+    return docs.join(if_few(wanted, places), ["doc_id", "row"]).select("text", "at").mapInArrow(run, "h1 long, line string").dropDuplicates(["h1"])
 
 
 def _verified(pairs: DataFrame, threshold: int) -> DataFrame:

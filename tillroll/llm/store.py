@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.session import checkpoint_dir
 
@@ -54,3 +55,14 @@ def fresh_name(taken, stem: str) -> str:
         k += 1
         name = f"{stem}_{k}"
     return name
+
+
+#: Rows of a few numbers each (under 64 MB) that may be sent to every executor.
+BROADCAST_ROWS = 2_000_000
+
+
+def if_few(ids: DataFrame, cells: int | None = None) -> DataFrame:
+    """``ids`` (a stored table) marked for broadcast if it has few rows - or ``cells``, if
+    its rows hold lists - so that a join with it leaves texts where they are; a larger
+    one is joined by shuffle."""
+    return F.broadcast(ids) if (ids.count() if cells is None else cells) <= BROADCAST_ROWS else ids
