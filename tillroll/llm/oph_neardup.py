@@ -124,29 +124,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     named = sig.where("n_shingles > 0 and doc_id is not null")
     classes = stored(named.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep")), "oph-classes")
     rows = (named.join(classes.select("set_hash", F.col("rep").alias("doc_id")), ["set_hash", "doc_id"])
-            .select(F.col("doc_id").alias("b"), F.explode("bands").alias("key")).repartition("key"))
+            .select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.explode("bands").alias("key"))
+            .repartition("key"))
     # b XOR a number of the bucket's own: its minimum is another member in each bucket
-    turn = [F.lit(0).cast("long")] + [F.xxhash64("key", F.lit(k)) for k in (1, 2, 3)]
-    centres = rows.groupBy("key").agg(F.max("b").alias("top"), *[F.min(F.col("b").bitwiseXOR(t)).alias(f"m{k}")
-                                                                 for k, t in enumerate(turn)])
-    centres = centres.where("top > m0").select("key", *[F.col(f"m{k}").bitwiseXOR(t).alias(f"c{k}") for k, t in enumerate(turn)])
-    met = stored(rows.join(centres, "key").select("b", "c0", "c1", "c2", "c3").distinct(), "oph-stars")
-    sizes = classes.groupBy(F.col("rep").alias("id")).agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
-    sizes = stored(sizes, "oph-sizes")
-
-    def pairs(*centre: str) -> DataFrame:
+    turned = [F.col("b")] + [F.col("b").bitwiseXOR(F.xxhash64("key", F.lit(k))) for k in (1, 2, 3)]
+    centres = rows.groupBy("key").agg(F.max("b").alias("top"), *[F.min_by("b", t).alias(f"c{k}") for k, t in enumerate(turned)],
+                                      *[F.min_by("nb", t).alias(f"n{k}") for k, t in enumerate(turned)]).where("top > c0").drop("top")
+    met = stored(rows.join(centres, "key").drop("key").distinct(), "oph-stars")
+
+    def edges(*centre: int) -> DataFrame:
         """Distinct star edges, without those whose sizes alone rule a link out."""
-        edges = (met.select("b", F.explode(F.array(*centre)).alias("c")).where("b <> c")
-                 .select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct())
-        edges = (edges.join(sizes.select(F.col("id").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha")), "a")
-                 .join(sizes.select(F.col("id").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb")), "b"))
-        return edges.where((F.col("ha") * 100 >= F.col("lb") * percent) & (F.col("hb") * 100 >= F.col("la") * percent)) \
-            .select("a", "b")
+        rays = met.select("b", "nb", F.explode(F.array(*[F.struct(F.col(f"c{k}").alias("c"), F.col(f"n{k}").alias("nc"))
+                                                         for k in centre])).alias("x")).select("b", "nb", "x.*")
+        possible = F.least("nb", "nc") * 100 >= F.greatest("nb", "nc") * percent
+        return (rays.where((F.col("b") != F.col("c")) & possible)
+                .select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct())
 
     ids = stored(met.select(F.col("b").alias("doc_id")).distinct(), "oph-ids")
     sets = stored(shingle_sets(docs.join(ids, "doc_id", "left_semi"), words), "oph-sets")
-    first = components(_confirmed(stored(pairs("c0", "c1"), "oph-pairs"), sets, percent), "oph")
-    apart = (pairs("c2", "c3").join(first.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
+    first = components(_confirmed(stored(edges(0, 1), "oph-pairs"), sets, percent), "oph")
+    apart = (edges(2, 3).join(first.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
              .join(first.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
              .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
     second = _confirmed(stored(apart, "oph-pairs"), sets, percent)
