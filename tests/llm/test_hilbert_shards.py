@@ -54,7 +54,7 @@ def test_curve_prunes_on_every_column(spark):
 
 def test_hard_rows(spark, tmp_path):
     rows = [(k, "same", "en", "hot", 4) for k in range(300)] + [(k, "é" * k, None, f"s{k}", None) for k in range(300, 340)]
-    rows += [(7, "same", "en", "hot", 4), (400, None, "de", "x", 1), (401, "", "fr", None, -5)]
+    rows += [(7, "same", "en", "hot", 4), (None, "no id", "en", "hot", 4), (None, "no id", "en", "hot", 4), (400, None, "de", "x", 1), (401, "", "fr", None, -5)]
     docs = spark.createDataFrame([r + (1, 2) for r in rows],
                                  "doc_id long, text string, lang string, source string, n_chars long, cell int, rank int")
     got = h.shards(docs, ["lang", "source", "n_chars"], 16)

@@ -9,6 +9,7 @@ import numpy as np
 
 from tillroll.llm import oph_neardup as m
 from tillroll.llm.store import table
+from tillroll.oracle.compare import duck_connection
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -61,6 +62,7 @@ def test_whole_table_against_brute_force(spark):
     for k in (2, 5):
         got = sorted(tuple(r) for r in m.near_duplicates(docs, k).collect())
         assert got == sorted(brute(rows, k))
+        assert sorted(duck_connection("/root/testdata/sf0.01").sql(m.near_duplicates_sql(k)).fetchall()) == got
 
 
 def test_hard_rows(spark):

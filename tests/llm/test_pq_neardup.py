@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 from tillroll.llm import pq_neardup as m
 from tillroll.llm.store import table
 
@@ -73,6 +75,9 @@ def test_hard_rows(spark):
     df = spark.createDataFrame([r + (1, 2) for r in rows], "vec_id long, embedding array<float>, c int, label int")
     want = brute([(d, None if v is None else [None if e is None else float(np.float32(e)) for e in v]) for d, v in rows])
     assert sorted(tuple(r) for r in m.near_duplicates(df, m.Settings(block=32)).collect()) == sorted(want)
+    con = duckdb.connect()
+    con.register("embeddings", pa.table({"vec_id": [r[0] for r in rows], "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float32()))}))
+    assert sorted(con.sql(m.near_duplicates_sql()).fetchall()) == sorted(want)
     assert m.near_duplicates(df.limit(0)).count() == 0
     odd = spark.createDataFrame([(None, [1.0, 0.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0]), (None, None)],
                                 "vec_id long, embedding array<double>")

@@ -154,3 +154,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     return (out.join(rooted, "set_hash", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def near_duplicates_sql(words: int, percent: int = 80, table: str = "documents") -> str:
+    """The same rows as one DuckDB statement that joins all texts on their shingles (ids
+    unique), for small tables."""
+    run = " || ' ' || ".join(f"w[i + {k}]" for k in range(words))
+    return f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([{run} FOR i IN range(1, len(w) - {words - 1} + 1)]) END AS s FROM split),
+rows AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n + b.n) AS both_sizes, count(*) AS shared
+  FROM rows a JOIN rows b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY ALL),
+links AS (SELECT x, y FROM common WHERE 100 * shared >= {percent} * (both_sizes - shared)),
+reached(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x, min(y) AS low FROM reached GROUP BY x)
+SELECT d.doc_id, len(s)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
+FROM sets d LEFT JOIN lowest l ON l.x = d.doc_id"""

@@ -257,3 +257,24 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings(),
     return (out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                        F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+
+
+def near_duplicates_sql(cosine: float = 0.95, table: str = "embeddings") -> str:
+    """The same rows as one DuckDB statement over all pairs (ids unique), for small tables."""
+    return f"""
+WITH RECURSIVE given AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM {table}),
+sound AS (
+  SELECT *, sqrt(list_sum([x * x FOR x IN e])) AS norm FROM given
+  WHERE len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0),
+usable AS (
+  SELECT * FROM sound WHERE norm > 0
+  AND len(e) = (SELECT len(e) FROM sound WHERE norm > 0 GROUP BY len(e) ORDER BY count(*) DESC, len(e) DESC LIMIT 1)),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / a.norm / b.norm >= {cosine}),
+reached(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x, min(y) AS low FROM reached GROUP BY x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT g.vec_id, coalesce(n, 0) AS n_links, least(g.vec_id, coalesce(low, g.vec_id)) AS component_id,
+  g.vec_id = least(g.vec_id, coalesce(low, g.vec_id)) AS kept
+FROM given g LEFT JOIN lowest l ON l.x = g.vec_id LEFT JOIN counted c ON c.x = g.vec_id"""

@@ -76,4 +76,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_host_reputation": host_reputation.judge_sql(RULES)}
+    return {"op1_pq_neardup": pq_neardup.near_duplicates_sql(0.95), "op8_oph_neardup": oph_neardup.near_duplicates_sql(2, 80),
+            "op10_host_reputation": host_reputation.judge_sql(RULES)}
