@@ -49,9 +49,10 @@ def test_cuts_are_never_inside_a_token():
 def test_small_memory_changes_nothing(library, monkeypatch):
     import tillroll.llm.bpe_codec as m
     monkeypatch.setattr(m, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(m, "CACHE_IDS", 3)
     c = FragmentCoder(PATH)
     text = "some words come again and again as some words do, été à la carte " * 20
-    assert c.encode(text) == _expected(library, text)
+    assert c.encode(text) == _expected(library, text) and c.ids(text) == _expected(library, text)[0]
 
 
 def test_documents_with_nulls_repeats_and_clashing_columns(spark, library):

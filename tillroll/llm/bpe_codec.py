@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import operator
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -27,8 +28,9 @@ _SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 _LETTER, _NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\t-\r \x85\xa0{_LETTER}{_NUMBER}]+")
 _FIRST = operator.itemgetter(0)
-#: Entries kept per worker; beyond it the memory starts anew (results don't change).
-CACHE_ENTRIES = 400_000
+#: Entries kept per worker (with the decoded text, or ids alone); beyond it the memory
+#: starts anew, which changes no result.
+CACHE_ENTRIES, CACHE_IDS = 400_000, 1_000_000
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -73,7 +75,7 @@ class FragmentCoder:
             body = token.removesuffix(self.suffix) if self.suffix else token
             self.joined.update(zip(body, body[1:]))
         self.pieces = _Pieces(self)
-        self.known, self.known_ids = _Known(self, tuple), _Known(self, _FIRST)
+        self.known, self.known_ids = _Known(self.piece, CACHE_ENTRIES), _Known(self.piece_ids, CACHE_IDS)
         self.names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
 
     def fragments(self, piece: str) -> list[str]:
@@ -87,16 +89,22 @@ class FragmentCoder:
         out.append(piece[start:])
         return out
 
-    def part(self, fragment: str, last: bool) -> tuple[bytes, bytes]:
-        tokens = (self.last if last else self.inner).tokenize(fragment)
-        return (b"".join([t.id.to_bytes(4, "little") for t in tokens]),
-                " ".join([t.value for t in tokens]).encode())
+    def tokens(self, word: str) -> list:
+        """Tokens of a pre-token in the tokenizer's byte alphabet, fragment by fragment."""
+        *first, last = self.fragments(word)
+        out = []
+        for fragment in first:
+            out += self.inner.tokenize(fragment)
+        return out + self.last.tokenize(last)
 
     def piece(self, word: str) -> tuple[bytes, bytes]:
-        """A pre-token in the tokenizer's byte alphabet: its fragments' codes, joined."""
-        cut = self.fragments(word)
-        codes = [self.part(fragment, n == len(cut)) for n, fragment in enumerate(cut, 1)]
-        return b"".join([x[0] for x in codes]), b" ".join([x[1] for x in codes])
+        """Ids (little-endian 32 bit) and decoded text (UTF-8) of a pre-token."""
+        tokens = self.tokens(word)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens]), " ".join([t.value for t in tokens]).encode()
+
+    def piece_ids(self, word: str) -> bytes:
+        tokens = self.tokens(word)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def any_chunk(self, chunk: str) -> list[tuple[bytes, bytes]]:
         """Codes of a text, by the library's own normalizer and splitting."""
@@ -162,14 +170,14 @@ class _Pieces(dict):
 class _Known(dict):
     """Codes of the lower-case Latin-1 pre-tokens that this worker has seen."""
 
-    def __init__(self, coder: FragmentCoder, take):
+    def __init__(self, encode, entries: int):
         super().__init__()
-        self.coder, self.take = coder, take
+        self.encode, self.entries = encode, entries
 
     def __missing__(self, word: str):
-        got = self.take(self.coder.piece(word.encode().decode("latin-1").translate(_ALPHABET)))
+        got = self.encode(word.encode().decode("latin-1").translate(_ALPHABET))
         if len(word) <= 64:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.entries:
                 self.clear()
             self[word] = got
         return got
