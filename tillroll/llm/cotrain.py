@@ -125,21 +125,21 @@ class Model:
 
 
 def _features(docs: DataFrame, lexicon: dict[str, int]) -> DataFrame:
-    """(doc_id, good, c, m) of a sample of documents."""
+    """(doc_id, good, c, m) of a sample of documents, both vectors as 32-bit floats."""
     def run(batches):
         for b in batches:
             texts, rest = b.column(2), [b.column(k).to_pylist() for k in (3, 4, 5)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1),
-                 pa.array([content_features(texts[k].as_py(), lexicon) for k in range(b.num_rows)], pa.list_(pa.float32())),
-                 pa.array([metadata_features(*x) for x in zip(*rest)], pa.list_(pa.float32()))], ["doc_id", "good", "c", "m"])
+                 pa.array([content_features(texts[k].as_py(), lexicon).tobytes() for k in range(b.num_rows)], pa.binary()),
+                 pa.array([metadata_features(*x).tobytes() for x in zip(*rest)], pa.binary())], ["doc_id", "good", "c", "m"])
 
     return docs.select("doc_id", "good", "text", "lang", "source", "n_chars").mapInArrow(
-        run, "doc_id long, good int, c array<float>, m array<float>")
+        run, "doc_id long, good int, c binary, m binary")
 
 
 def _matrix(rows, name: str) -> np.ndarray:
-    return np.array([r[name] for r in rows], np.float64)
+    return np.frombuffer(b"".join([r[name] for r in rows]), np.float32).reshape(len(rows), -1).astype(np.float64)
 
 
 def _lexicon(sample: DataFrame, s: Settings) -> dict[str, int]:
