@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.store import fresh_name, if_few, stored
+from tillroll.llm.store import fresh_name, if_few, rewritten, stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -231,9 +231,11 @@ def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", t
     names = docs.columns
     id_key, key, gone = (fresh_name(names, x) for x in ("_id", "_row", "_dropped"))
     lost = dropped.select(F.col("doc_id").alias(id_key), F.col("row").alias(key), F.col("dropped").alias(gone))
+
+    def left(text: str, numbers: list[int]) -> str | None:
+        numbers = set(numbers)
+        lines = [x for i, x in enumerate(text.split("\n")) if i not in numbers]
+        return "\n".join(lines) if keep_emptied or any(len(x.strip(BLANKS)) >= least for x in lines) else None
+
     joined = docs.join(lost, (docs[id_col] == lost[id_key]) & (row_key(text_col) == lost[key]), "left")
-    left = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(gone, i))
-    if not keep_emptied:
-        joined = joined.where(F.col(gone).isNull() | F.exists(left, lambda x: F.length(F.btrim(x, F.lit(BLANKS))) >= least))
-    return joined.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))) \
-        .select(*names)
+    return rewritten(joined.select(*names, gone), text_col, left)

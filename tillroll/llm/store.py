@@ -6,16 +6,20 @@ import pathlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.session import checkpoint_dir
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application; tasks
-    import it by name wherever the application was started."""
+    import it by name wherever the application was started.  Only the driver reads the
+    file it makes; Spark hands it out."""
     sc = spark.sparkContext
     if getattr(sc, "_tillroll_sent", None) is None:
         root = pathlib.Path(__file__).resolve().parents[1]
@@ -66,3 +70,27 @@ def if_few(ids: DataFrame, cells: int | None = None) -> DataFrame:
     its rows hold lists - so that a join with it leaves texts where they are; a larger
     one is joined by shuffle."""
     return F.broadcast(ids) if (ids.count() if cells is None else cells) <= BROADCAST_ROWS else ids
+
+
+def rewritten(rows: DataFrame, text_col: str, left: Callable[[str, list], str | None]) -> DataFrame:
+    """``rows`` without their last column, a list of what goes from the text (null: nothing
+    does); ``left(text, list)`` is the new text, or None for a row that goes as a whole."""
+    names, at = rows.columns[:-1], rows.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 512):
+                b = batch.slice(begin, 512)
+                texts, lists = b.column(at), b.column(b.num_columns - 1)
+                columns = b.columns[:-1]
+                keep = [True] * b.num_rows
+                if lists.null_count < b.num_rows:
+                    new = texts.to_pylist()
+                    for k, found in enumerate(lists.to_pylist()):
+                        if found is not None:
+                            new[k] = left(new[k], found)
+                            keep[k] = new[k] is not None
+                    columns[at] = pa.array(new, texts.type)
+                yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+
+    return rows.mapInArrow(run, T.StructType(rows.schema.fields[:-1]))
