@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
+from tillroll.llm.worker_memory import claim
+
 #: White space of the tokenizer's own splitting rule (the Unicode property).
 _SPLIT = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: The same splitting rule within Latin-1, where normalization changes nothing:
@@ -30,7 +32,7 @@ _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\t-\r
 _FIRST = operator.itemgetter(0)
 #: Entries kept per worker (with the decoded text, or ids alone); beyond it the memory
 #: starts anew, which changes no result.
-CACHE_ENTRIES, CACHE_IDS = 400_000, 1_000_000
+CACHE_ENTRIES, CACHE_IDS = 400_000, 500_000
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -188,6 +190,7 @@ _CODERS: dict[str, FragmentCoder] = {}
 
 def coder(path: str) -> FragmentCoder:
     """One coder per worker process and file; workers are reused between tasks."""
+    claim("bpe", _CODERS.clear)
     if path not in _CODERS:
         _CODERS[path] = FragmentCoder(path)
     return _CODERS[path]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from tillroll.llm.worker_memory import claim
+
 #: ASCII capitals to small letters, byte by byte (UTF-8 continuation bytes stay).
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CACHE_ENTRIES = 400_000
@@ -33,6 +35,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
+    claim("words", _WORDS.clear)
     w = words(text)
     return np.fromiter(map(_WORDS.__getitem__, w), np.uint64, len(w))
 
