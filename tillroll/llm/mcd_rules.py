@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.store import stored
+from tillroll.llm.store import if_few, stored
 
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -112,8 +112,10 @@ def _factored(stats: DataFrame, p: int) -> DataFrame:
 
 
 def _distances(vectors: DataFrame, factors: DataFrame, p: int) -> DataFrame:
-    """Adds d2, the squared Mahalanobis distance to the group's estimate."""
-    out, names = vectors.join(factors, "g"), vectors.columns
+    """Adds d2, the squared Mahalanobis distance to the group's estimate.  ``factors`` is
+    a stored table of a row per group; while it is small, no vector is shuffled for it,
+    so a large group stays spread over the tasks that read it."""
+    out, names = vectors.join(if_few(factors, len(factors.columns) * factors.count()), "g"), vectors.columns
     for i in range(p):  # forward substitution
         rest = sum((F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"y{i}", (F.col(f"x{i}") - F.col(f"m{i}") - rest) / F.col(f"l{i}{i}"))
@@ -133,7 +135,7 @@ def mcd(vectors: DataFrame, limits: Limits = Limits()) -> DataFrame:
     for _ in range(limits.steps):
         near = stored(_distances(vectors, now, p).groupBy("g")
                       .agg(F.percentile_approx("d2", limits.keep, 1000).alias("limit")), "mcd-limit")
-        best = _distances(vectors, now, p).join(near, "g").where("d2 <= limit")
+        best = _distances(vectors, now, p).join(if_few(near), "g").where("d2 <= limit")
         sums = best.groupBy("g").agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)],
                                      *[F.covar_pop(f"x{i}", f"x{j}").alias(f"v{i}{j}") for i, j in pairs])
         now = stored(_factored(sums.select("g", *[f"m{i}" for i in range(p)], *[
@@ -160,14 +162,14 @@ def judge(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", te
     usual = sound.groupBy("lang").agg(F.percentile_approx(F.col("word_chars") / F.col("n_words"), 0.5, 1000).alias("usual")) \
         .select(key(F.col("lang")).alias("only"), "usual")
     marked = (sound.withColumns({"pair": key(F.col("lang"), F.col("source")), "only": key(F.col("lang"))})
-              .join(stored(large, "rule-groups"), "pair").join(stored(usual, "rule-usual"), "only"))
+              .join(if_few(stored(large, "rule-groups")), "pair").join(if_few(stored(usual, "rule-usual")), "only"))
     vectors = stored(marked.select("doc_id", *stats.columns[3:-1], "pair", "only", "large",
                                    *[v.alias(f"x{i}") for i, v in enumerate(vector(limits))]), "rule-vectors")
     x = [f"x{i}" for i in range(p)]
     # small groups need their language's estimate, made of all its documents
     by_pair = vectors.where("large").select(F.col("pair").alias("g"), *x)
     small = stored(vectors.where("not large").select("only").distinct(), "rule-small")
-    by_lang = vectors.join(small, "only", "left_semi").select(F.col("only").alias("g"), *x)
+    by_lang = vectors.join(if_few(small), "only", "left_semi").select(F.col("only").alias("g"), *x)
     factors = mcd(stored(by_pair.union(by_lang), "rule-estimated"), limits)
     judged = _distances(vectors.withColumn("g", F.when(F.col("large"), F.col("pair")).otherwise(F.col("only"))), factors, p)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
