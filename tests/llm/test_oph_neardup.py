@@ -80,3 +80,33 @@ def test_hard_rows(spark):
                                 "doc_id long, text string")
     assert sorted(map(str, map(tuple, m.near_duplicates(odd, 2).collect()))) == sorted(
         ["(None, 1, None, True)", "(None, 1, None, True)", "(1, 1, 1, True)", "(2, 1, 1, False)"])
+
+
+def test_links_that_no_star_shows(spark):
+    """Dense groups of variants: only two of each are near enough to each other, and all
+    their buckets are shared with most of the group."""
+    rnd = random.Random(7)
+    rows, want = [], {}
+    for g in range(3):
+        base = [f"g{g}w{k}" for k in range(200)]
+        changes = [range(11), range(11, 22)] + [rnd.sample(range(22, 200), 20) for _ in range(400)]
+        ids = rnd.sample(range(1000 * g, 1000 * g + 1000), len(changes))
+        for d, at in zip(ids, changes):
+            rows.append((d, " ".join(f"d{d}c{k}" if k in set(at) else w for k, w in enumerate(base))))
+            want[d] = d
+        want[max(ids[:2])] = min(ids[:2])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in m.near_duplicates(docs, 1).collect()} == want
+
+
+def test_small_blocks_meet_all_pairs(spark):
+    """Every pair of a bucket that lies in two components, once, at any size of block."""
+    rnd = random.Random(8)
+    sets = [np.unique(np.array([rnd.getrandbits(64) for _ in range(3)], np.uint64)) for _ in range(40)]
+    held = spark.createDataFrame([(d, [int(v) for v in x.view(np.int64)]) for d, x in enumerate(sets)], "doc_id long, shingles array<long>")
+    roots = {d: 0 if d < 15 else 15 if d < 22 else d for d in range(40)}
+    found = spark.createDataFrame([(d, r) for d, r in roots.items() if d != r], "id long, root long")
+    members = spark.createDataFrame([(d, 3, key) for d in range(40) for key in (1, 2) if key == 1 or d % 2], "b long, nb long, key long")
+    for size in (3, 512):
+        got = [tuple(r) for r in m._left_pairs(members, found, held, 0, size).collect()]
+        assert sorted(got) == [(a, b) for a in range(40) for b in range(a + 1, 40) if roots[a] != roots[b]]

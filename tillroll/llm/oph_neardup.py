@@ -4,8 +4,10 @@ One hash per shingle fills all slots: the hash's upper bits choose the slot, the
 smallest hash in it is kept.  An empty slot copies the first filled one in its own
 random order of slots, so that slots of small sets stay independent.  Rows of slots
 are hashed into bands; texts that share a band bucket are joined to a few centres of
-the bucket (stars), never to each other, so pairs stay linear in bucket sizes.  Each
-star edge is confirmed on full shingle sets."""
+the bucket (stars); each star edge is confirmed on full shingle sets.  Members of a
+bucket that the stars leave in different components meet in blocks: a pair goes on if
+its sizes and the parities of its shingles' counts in classes, which bound the
+difference of two sets from below, allow a link, and is confirmed like a star edge."""
 
 from __future__ import annotations
 
@@ -22,6 +24,8 @@ from tillroll.llm.store import stored
 
 BANDS, ROWS = 42, 6  # a pair of similarity 0.8 misses all bands with 3e-6
 SLOTS = BANDS * ROWS
+PARITIES = 2048  # classes of shingles of which a set's parities are kept
+BLOCK = 512  # members of a bucket that meet as many others in one block
 
 
 def _orders(slots: int) -> np.ndarray:
@@ -105,6 +109,97 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.col("common").cast("long") * 100 >= union.cast("long") * percent).select("a", "b").distinct())
 
 
+def parities(shingles: np.ndarray) -> bytes:
+    """One bit a class of shingles: whether it holds an odd number of them.  Two sets
+    differ in at least as many shingles as their bits differ in."""
+    odd = np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _with_parities(sets: DataFrame) -> DataFrame:
+    """(doc_id, bits) of stored shingle sets."""
+    def run(batches):
+        for b in batches:
+            bits = [parities(x.values.to_numpy(zero_copy_only=False).view(np.uint64)) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.binary())], ["doc_id", "bits"])
+
+    return sets.select("doc_id", "shingles").mapInArrow(run, "doc_id long, bits binary")
+
+
+def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of one block of (key, i, j, side, b, nb, root, bits) that sizes,
+    components and parities don't rule out.  Rows of side 0 meet those of side 1, those
+    of side 2 each other; blocks are sorted and lie in one task each."""
+    names = ["key", "i", "j"]
+
+    def met(block: pa.Table):
+        side, ids, n, root = (block.column(x).to_numpy() for x in ("side", "b", "nb", "root"))
+        bits = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        for x in left:
+            m, both = n[right], n[right] + n[x]
+            y = right[(root[right] != root[x]) & (np.minimum(m, n[x]) * 100 >= np.maximum(m, n[x]) * percent)
+                      & ((side[right] != 2) | (ids[right] > ids[x]))]
+            if len(y):
+                apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
+                y = y[apart * (100 + percent) <= (n[y] + n[x]) * (100 - percent)]
+                yield np.minimum(ids[y], ids[x]), np.maximum(ids[y], ids[x])
+
+    def found(block: pa.Table) -> pa.RecordBatch:
+        pairs = list(met(block))
+        a, b = (np.concatenate([p[k] for p in pairs] or [np.empty(0, np.int64)]) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches):
+        held, now = [], None
+        for batch in batches:
+            at = np.stack([batch.column(batch.schema.get_field_index(x)).to_numpy().astype(np.int64) for x in names], axis=1)
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
+            for start, end in zip(cuts, cuts[1:]):
+                if start < end:
+                    if held and tuple(at[start]) != now:
+                        yield found(pa.Table.from_batches(held))
+                        held = []
+                    now = tuple(at[start])
+                    held.append(batch.slice(start, end - start))
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    return blocks.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, "a long, b long")
+
+
+def _left_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, size: int) -> DataFrame:
+    """(a, b) still to be confirmed of ``members`` (b, nb, key), each pair of which is to be
+    looked at that lies in one bucket and in different components.  The members of a
+    bucket's largest component meet the others only, the others also each other, in
+    blocks of about ``size`` of either side."""
+    rooted = stored(members.join(roots.select(F.col("id").alias("b"), "root"), "b", "left")
+                    .withColumn("root", F.coalesce("root", "b")), "oph-members")
+    parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    whole = (parts.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("most"))
+             .where("all > most.n")
+             .select("key", F.col("most.root").alias("main"), F.ceil(F.col("most.n") / size).cast("int").alias("mains"),
+                     F.ceil((F.col("all") - F.col("most.n")) / size).cast("int").alias("others")))
+    dealt = rooted.join(whole, "key").withColumn("is_main", F.col("root") == F.col("main"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("b"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
+
+    def upto(n: str):
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    # a block of others meets the main blocks (j < 0) and, i <= j, every block of others
+    place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).cast("int").alias("side"))
+    own = F.col("own")
+    others = F.concat(F.transform(upto("mains"), lambda k: place(own, -1 - k, 0)),
+                      F.transform(upto("others"), lambda k: F.struct(
+                          F.least(own, k).alias("i"), F.greatest(own, k).alias("j"),
+                          F.when(own < k, 0).when(own > k, 1).otherwise(2).alias("side"))))
+    mains = F.transform(upto("others"), lambda k: place(k, -1 - own, 1))
+    blocks = (dealt.withColumn("x", F.explode(F.when(F.col("is_main"), mains).otherwise(others)))
+              .select("key", "x.*", "b", "nb", "root"))
+    bits = stored(_with_parities(sets.join(dealt.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi")), "oph-parities")
+    return _block_pairs(blocks.join(bits.select(F.col("doc_id").alias("b"), "bits"), "b"), percent).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
@@ -118,7 +213,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
 
     Every bucket gives four stars: around its smallest document and around three
     others, chosen by an order of their own in each bucket.  The last two are confirmed
-    only where the first two left documents of a bucket in different components."""
+    only where the first two left documents of a bucket in different components.  Where
+    all four leave some, every pair of them is looked at."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sig = stored(signatures(docs, words), "oph-signatures")
     named = sig.where("n_shingles > 0 and doc_id is not null")
@@ -130,7 +226,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     turned = [F.col("b")] + [F.col("b").bitwiseXOR(F.xxhash64("key", F.lit(k))) for k in (1, 2, 3)]
     centres = rows.groupBy("key").agg(F.max("b").alias("top"), *[F.min_by("b", t).alias(f"c{k}") for k, t in enumerate(turned)],
                                       *[F.min_by("nb", t).alias(f"n{k}") for k, t in enumerate(turned)]).where("top > c0").drop("top")
-    met = stored(rows.join(centres, "key").drop("key").distinct(), "oph-stars")
+    joined = rows.join(centres, "key")
+    star = [x for x in joined.columns if x != "key"]
+    # a centre's pairs are all star edges: only the other members' buckets go on
+    met = stored(joined.groupBy(*star).agg(F.collect_list(F.when(~F.col("b").isin(*[F.col(f"c{k}") for k in range(4)]), F.col("key")))
+                                           .alias("keys")), "oph-stars")
 
     def edges(*centre: int) -> DataFrame:
         """Distinct star edges, without those whose sizes alone rule a link out."""
@@ -147,7 +247,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
              .join(first.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
              .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
     second = _confirmed(stored(apart, "oph-pairs"), sets, percent)
-    roots = components(first.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second), "oph")
+    links = first.select(F.col("id").alias("a"), F.col("root").alias("b")).union(second)
+    starred = components(links, "oph")
+    members = met.select("b", "nb", F.explode("keys").alias("key"))
+    third = _confirmed(stored(_left_pairs(members, starred, sets, percent, BLOCK), "oph-pairs"), sets, percent)
+    roots = components(starred.select(F.col("id").alias("a"), F.col("root").alias("b")).union(third), "oph")
     rooted = (classes.join(roots, classes.rep == roots.id, "left")
               .select("set_hash", F.coalesce("root", "rep").alias("component_id")))
     out = sig.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash"))
