@@ -224,10 +224,10 @@ def duplicate_lines(docs: DataFrame, threshold: int = 2, least: int = 20,
 
 
 def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  keep_emptied: bool = True, least: int = 20) -> DataFrame:
+                  keep_emptied: bool = True) -> DataFrame:
     """``docs`` with the lines of ``dropped`` (from ``duplicate_lines``) taken out of the
     texts; documents that lose nothing stay as they are.  Unless ``keep_emptied``, a
-    document goes if none of its lines of ``least`` characters is left."""
+    document goes if all lines that are left are blank."""
     names = docs.columns
     id_key, key, gone = (fresh_name(names, x) for x in ("_id", "_row", "_dropped"))
     lost = dropped.select(F.col("doc_id").alias(id_key), F.col("row").alias(key), F.col("dropped").alias(gone))
@@ -235,7 +235,7 @@ def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", t
     def left(text: str, numbers: list[int]) -> str | None:
         numbers = set(numbers)
         lines = [x for i, x in enumerate(text.split("\n")) if i not in numbers]
-        return "\n".join(lines) if keep_emptied or any(len(x.strip(BLANKS)) >= least for x in lines) else None
+        return "\n".join(lines) if keep_emptied or any(x.strip(BLANKS) for x in lines) else None
 
     joined = docs.join(lost, (docs[id_col] == lost[id_key]) & (row_key(text_col) == lost[key]), "left")
     return rewritten(joined.select(*names, gone), text_col, left)
