@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe_codec, chain_dedup, cotrain, hilbert_shards, host_reputation, line_dedup, mcd_rules, oph_neardup, pq_neardup, swap_packing
+from tillroll.llm import bpe_codec, chain_dedup, cotrain, hilbert_shards, host_reputation, line_dedup, mcd_rules, notice_scan, oph_neardup, pq_neardup, swap_packing
 from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
@@ -69,10 +69,14 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_notice_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notice_scan.summary(notice_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pq_neardup, op2_line_dedup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
                                    op6_chain_dedup, op7_cotrain, op8_oph_neardup, op9_mcd_rules,
-                                   op10_host_reputation)} | {"pipeline": corpus_pipeline.run}
+                                   op10_host_reputation, op11_notice_scan)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
