@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe_codec, chain_dedup, cotrain, hilbert_shards, host_reputation, line_dedup, mcd_rules, notice_scan, oph_neardup, pq_neardup, prefix_trie, swap_packing
+from tillroll.llm import bpe_codec, chain_dedup, cotrain, hilbert_shards, host_reputation, line_dedup, mcd_rules, notice_scan, oph_neardup, pq_neardup, prefix_trie, spelling_variants, swap_packing
 from tillroll.llm.host_reputation import Rule
 from tillroll.llm.store import table
 
@@ -73,6 +73,10 @@ def op11_notice_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notice_scan.summary(notice_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.misspelled_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.branched_trie(table(spark, sf_dir, "conversations"))
 
@@ -80,10 +84,11 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pq_neardup, op2_line_dedup, op3_hilbert_shards, op4_swap_packing, op5_bpe_codec,
                                    op6_chain_dedup, op7_cotrain, op8_oph_neardup, op9_mcd_rules,
-                                   op10_host_reputation, op11_notice_scan, op13_prefix_trie)} | {"pipeline": corpus_pipeline.run}
+                                   op10_host_reputation, op11_notice_scan, op12_spelling_variants, op13_prefix_trie)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_pq_neardup": pq_neardup.near_duplicates_sql(0.95), "op8_oph_neardup": oph_neardup.near_duplicates_sql(2, 80),
             "op10_host_reputation": host_reputation.judge_sql(RULES),
+            "op12_spelling_variants": spelling_variants.misspelled_groups_sql(),
             "op13_prefix_trie": prefix_trie.branched_trie_sql()}
