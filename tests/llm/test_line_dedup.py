@@ -106,3 +106,51 @@ def test_whole_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert {r["doc_id"]: r["dropped"] for r in m.duplicate_lines(docs).collect()} == brute(rows, 2, 20)
     assert docs.where(F.col("text").isNull()).count() == 0
+
+
+def test_short_equal_lines(spark):
+    rows = [(1, "}\nread more\n \nread  more"), (2, "  read more\n}\nx"), (2, "x"), (3, "Read more\nx\t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["row"]): r["dropped"] for r in m.duplicate_lines(docs, 2, 20, least_equal=1).collect()}
+    assert sorted((d, x) for (d, _), x in got.items()) == [(2, [0, 1, 2]), (3, [1])]  # "x" stands first in (2, line 0)
+    assert m.duplicate_lines(docs, 2, 20).count() == 0
+
+
+@pytest.mark.parametrize("many", [100, 20_000])
+def test_thousands_of_variants_of_one_line(spark, monkeypatch, many):
+    """Every line shares segments with every other; rows stay in proportion to the lines."""
+    monkeypatch.setattr(m, "MANY", many)
+    rnd = random.Random(11)
+    base = "all the lines of this large group are variants of one and the same line"
+    other = "the lines of that group have one third in common, and "
+    rows = [(0, base)] + [(k, edited(rnd, base, 2)) for k in range(1, 5000)]
+    rows += [(k, other + "".join(rnd.choice("abcdefgh") for _ in range(len(other) * 2))) for k in range(5000, 6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["dropped"] for r in m.duplicate_lines(docs).collect()}
+    assert got == {k: [0] for k in range(1, 5000)}
+    lines = len({t for _, t in rows})
+    assert m._candidates(m._prepared(docs), 2, 20).count() <= (5 if many == 100 else 1) * 15 * lines
+
+
+def test_larger_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    by_length, whole, out = {}, set(), {}
+    for d, text in rows:
+        for j, line in enumerate(text.split("\n")):
+            line = line.strip(m.BLANKS)
+            if not line:
+                continue
+            near = line in whole
+            if not near and len(line) >= 20:
+                # of two edits, one leaves the first or the last seven characters where they are, or both lie outside the middle
+                keys = {("a", line[:6]), ("z", line[-6:])} | {("m", line[p:p + 6]) for p in range(len(line) // 2 - 5, len(line) // 2 + 3)}
+                own = {("a", line[:6]), ("z", line[-6:]), ("m", line[len(line) // 2 - 2:len(line) // 2 + 4])}
+                near = any(m.within(line, x, 2) for n in range(len(line) - 2, len(line) + 3) for k in keys for x in by_length.get((n, k), ()))
+                for k in own:
+                    by_length.setdefault((len(line), k), []).append(line)
+            whole.add(line)
+            if near:
+                out.setdefault(d, []).append(j)
+    got = {r["doc_id"]: r["dropped"] for r in m.duplicate_lines(docs, least_equal=1).collect()}
+    assert got == out

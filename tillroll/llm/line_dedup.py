@@ -6,8 +6,11 @@ place, so it is found among few substrings: for each length n - threshold .. n t
 other line probes the segments of such lines at the places that the two lengths
 allow.  Candidates are verified by a banded bit-parallel edit distance.
 
-Equal lines meet by hash before any segment is made; segments and probes carry a
-line's hash, and only lines of candidate pairs are fetched as text."""
+Equal lines meet by hash before any segment is made.  Segments and probes carry a
+line's hash and parities only; a task compares those under one key and passes on the
+lines that may have a partner, never pairs.  These are fetched as text and meet once
+more under their key in order of place, where a line is done with the first earlier one
+found near it: rows grow with the lines, however many are alike."""
 
 from __future__ import annotations
 
@@ -115,15 +118,15 @@ def _occurrences(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _keys(docs: DataFrame, threshold: int, least: int) -> DataFrame:
-    """(h1, sketch, segments, probes): hashes of segments and probed substrings of each
-    line, once per line and task, and the parities of its characters' counts in 32
-    classes: an edit changes two of them at most."""
+    """(h1, sketch, keys): hashes of a line's own segments (the first ``threshold`` + 1) and
+    of the substrings it probes, once per line and task, and the parities of its
+    characters' counts in 32 classes: an edit changes two of them at most."""
     def run(batches):
         plan, seen = _Plan(threshold, least), set()
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                texts, h1, raws, own, probed, n_own, n_probed = batch.column(1).slice(at, 512), [], [], [], [], [0], [0]
+                texts, h1, raws, keys, ends = batch.column(1).slice(at, 512), [], [], [], [0]
                 for k in range(len(texts)):
                     for line in lines_of(texts[k].as_py()):
                         line = line.strip(BLANKS)
@@ -139,44 +142,165 @@ def _keys(docs: DataFrame, threshold: int, least: int) -> DataFrame:
                         segments, probes = plan[len(line)]
                         h1.append(h)
                         raws.append(raw)
-                        own += [digest(raw[a:b], s) for s, a, b in segments]
-                        probed += [digest(raw[a:b], s) for s, a, b in probes]
-                        n_own.append(len(own))
-                        n_probed.append(len(probed))
+                        keys += [digest(raw[a:b], s) for s, a, b in segments]
+                        keys += [digest(raw[a:b], s) for s, a, b in probes]
+                        ends.append(len(keys))
                 classes = _CLASS[np.frombuffer(b"".join(raws), "<u4") & 31]
                 starts = np.cumsum([0] + [len(x) // 4 for x in raws[:-1]])
                 sketch = np.bitwise_xor.reduceat(classes, starts) if raws else classes
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(h1), pa.array(sketch.view(np.int32)), *[pa.ListArray.from_arrays(pa.array(n, pa.int32()), _signed(x))
-                                    for n, x in ((n_own, own), (n_probed, probed))]], ["h1", "sketch", "segments", "probes"])
+                    [_signed(h1), pa.array(sketch.view(np.int32)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(keys))],
+                    ["h1", "sketch", "keys"])
+
+    return docs.mapInArrow(run, "h1 long, sketch int, keys array<long>")
+
+
+#: Lines that one task compares under one key; more are dealt out anew by parts of their parities.
+MANY = 20_000
+_MET = ["key", "h1", "sketch", "probe", "many"]
+
+
+def _partners(sketch: np.ndarray, probe: np.ndarray, line: np.ndarray, threshold: int) -> np.ndarray:
+    """Which entries of one key have another line on the other side whose parities are near."""
+    out = np.zeros(len(line), bool)
+    own, asks = np.flatnonzero(~probe), np.flatnonzero(probe)
+    for at in range(0, len(asks), 512):
+        p = asks[at:at + 512]
+        near = np.bitwise_count(sketch[p, None] ^ sketch[None, own]) <= 2 * threshold
+        near &= line[p, None] != line[None, own]
+        out[p] |= near.any(axis=1)
+        out[own] |= near.any(axis=0)
+    return out
+
+
+def _met(entries: DataFrame, threshold: int, many: int | None) -> DataFrame:
+    """The (key, h1, sketch, probe) of ``entries`` that may be near another line under their
+    key, each once.  Entries of a key that more than ``many`` have come back as they are."""
+    def batch_of(rows, flag):
+        key, h, sketch, probe = rows
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(h), pa.array(sketch.view(np.int32)), pa.array(probe),
+                                           pa.array(np.full(len(key), flag))], _MET)
+
+    def compared(rows, starts):
+        key, h, sketch, probe = rows
+        kept = []
+        ends = np.r_[starts[1:], len(key)]
+        for g in np.flatnonzero(np.minimum.reduceat(h, starts) != np.maximum.reduceat(h, starts)):
+            a, b = starts[g], ends[g]
+            order = np.lexsort((probe[a:b], h[a:b]))
+            first = np.r_[True, (np.diff(h[a:b][order]) != 0) | (np.diff(probe[a:b][order].view(np.int8)) != 0)]
+            at = order[first] + a
+            if probe[at].all() or not probe[at].any():
+                continue
+            kept.append(at[_partners(sketch[at], probe[at], h[at], threshold)])
+        at = np.concatenate(kept) if kept else np.empty(0, np.int64)
+        return batch_of([x[at] for x in rows], False)
 
-    return docs.mapInArrow(run, "h1 long, sketch int, segments array<long>, probes array<long>")
+    def run(batches):
+        held, hot = None, None
+        for batch in batches:
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            rows[2] = rows[2].view(np.uint32)
+            if hot is not None:
+                n = int(np.searchsorted(rows[0], hot, "right"))
+                yield batch_of([x[:n] for x in rows], True)
+                rows = [x[n:] for x in rows]
+                hot = hot if not len(rows[0]) else None
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            if not len(rows[0]):
+                continue
+            starts = np.flatnonzero(np.r_[True, np.diff(rows[0]) != 0])
+            last = starts[-1]
+            if last:
+                yield compared([x[:last] for x in rows], starts[:-1])
+            held = [x[last:] for x in rows]
+            if many is not None and len(held[0]) > many:
+                yield batch_of(held, True)
+                held, hot = None, held[0][0]
+        if held is not None and len(held[0]):
+            yield compared(held, np.zeros(1, np.int64))
+
+    return (entries.select("key", "h1", "sketch", "probe").repartition("key").sortWithinPartitions("key")
+            .mapInArrow(run, "key long, h1 long, sketch int, probe boolean, many boolean"))
+
+
+def _candidates(docs: DataFrame, threshold: int, least: int) -> DataFrame:
+    """(key, h1, sketch, probe): lines that share a segment with a line of near parities."""
+    entries = (_keys(docs, threshold, least).select("h1", "sketch", F.posexplode("keys").alias("at", "key"))
+               .select("key", "h1", "sketch", (F.col("at") > threshold).alias("probe")))
+    met = stored(_met(entries, threshold, MANY), "line-met")
+    # parities that differ in 2 * threshold of 32 places agree in one of 2 * threshold + 1 parts
+    parts, size = 2 * threshold + 1, -(-32 // (2 * threshold + 1))
+    part = F.explode(F.array(*[F.xxhash64("key", F.lit(i), F.shiftrightunsigned("sketch", i * size).bitwiseAND(F.lit((1 << size) - 1)))
+                               for i in range(parts) if i * size < 32]))
+    finer = met.where("many").select(part.alias("key"), "h1", "sketch", "probe")
+    return met.where("not many").drop("many").union(_met(finer, threshold, None).drop("many"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h1, line) for ``wanted`` (doc_id, row, at array of (line_no, h1))."""
+    """(h1, h2, doc_id, line_no, row, line) for ``wanted`` (doc_id, row, at array of (line_no, h1, h2))."""
     def run(batches):
         for batch in batches:
-            h, out = [], []
-            for k in range(batch.num_rows):
-                lines = lines_of(batch.column(0)[k].as_py())
-                for x in batch.column(1)[k].as_py():
-                    h.append(x["h1"])
-                    out.append(lines[x["line_no"]].strip(BLANKS))
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(out, pa.string())], ["h1", "line"])
+            doc, row, out = [], [], {"h1": [], "h2": [], "line_no": [], "line": []}
+            for d, r, text, at in zip(*(c.to_pylist() for c in batch.columns)):
+                lines = lines_of(text)
+                for x in at:
+                    doc.append(d)
+                    row.append(r)
+                    for name in ("h1", "h2", "line_no"):
+                        out[name].append(x[name])
+                    out["line"].append(lines[x["line_no"]].strip(BLANKS))
+            yield pa.RecordBatch.from_arrays([pa.array(out["h1"], pa.int64()), pa.array(out["h2"], pa.int64()), pa.array(doc, pa.int64()),
+                                              pa.array(out["line_no"], pa.int32()), pa.array(row, pa.int64()), pa.array(out["line"], pa.string())],
+                                             ["h1", "h2", "doc_id", "line_no", "row", "line"])
 
     places = wanted.agg(F.sum(F.size("at"))).first()[0] or 0
-    return docs.join(if_few(wanted, places), ["doc_id", "row"]).select("text", "at").mapInArrow(run, "h1 long, line string").dropDuplicates(["h1"])
-
+    return (docs.join(if_few(wanted, places), ["doc_id", "row"]).select("doc_id", "row", "text", "at")
+            .mapInArrow(run, "h1 long, h2 long, doc_id long, line_no int, row long, line string").dropDuplicates(["h1", "h2"]))
+
+
+def _later(entries: DataFrame, threshold: int) -> DataFrame:
+    """(doc_id, line_no, row) of lines that are near an earlier one under a key.  Lines come
+    in order of place; each is compared with earlier ones, those of nearest parities first,
+    and no further once one is found."""
+    def found(group, done):
+        place, sketch, probe, line = group
+        sketch, probe = np.array(sketch, np.int32).view(np.uint32), np.array(probe)
+        for i in range(1, len(line)):
+            if place[i] in done:
+                continue
+            apart = np.bitwise_count(sketch[:i] ^ sketch[i])
+            near = np.flatnonzero((probe[:i] != probe[i]) & (apart <= 2 * threshold))
+            for j in near[np.argsort(apart[near], kind="stable")]:
+                if place[j] != place[i] and within(line[i], line[j], threshold):
+                    done.add(place[i])
+                    yield place[i]
+                    break
+
+    def table(places):
+        doc, no, row = zip(*places) if places else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(no, pa.int32()), pa.array(row, pa.int64())],
+                                          ["doc_id", "line_no", "row"])
 
-def _verified(pairs: DataFrame, threshold: int) -> DataFrame:
     def run(batches):
-        for b in batches:
-            keep = pa.array([within(x, y, threshold) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())],
-                            pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["x", "y"])
-
-    return pairs.select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
+        key, group, done = None, ([], [], [], []), set()
+        for batch in batches:
+            out = []
+            for k, doc, no, row, sketch, probe, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != key:
+                    out += found(group, done)
+                    key, group = k, ([], [], [], [])
+                    if len(done) > 1_000_000:
+                        done.clear()
+                for held, x in zip(group, ((doc, no, row), sketch, probe, line)):
+                    held.append(x)
+            yield table(out)
+        yield table(list(found(group, done)))
+
+    names = ["key", "doc_id", "line_no", "row", "sketch", "probe", "line"]
+    return (entries.select(*names).repartition("key").sortWithinPartitions("key", "doc_id", "line_no", "row", "probe")
+            .mapInArrow(run, "doc_id long, line_no int, row long"))
 
 
 def row_key(text_col: str = "text"):
@@ -184,42 +308,41 @@ def row_key(text_col: str = "text"):
     return F.xxhash64(F.col(text_col).cast("string"))
 
 
+def _prepared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       row_key(text_col).alias("row")).where("doc_id is not null")
+
+
 def duplicate_lines(docs: DataFrame, threshold: int = 2, least: int = 20,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", least_equal: int | None = None) -> DataFrame:
     """(doc_id, row, dropped array<int>): for every document that repeats a line, the
     numbers (from 0) of its lines that equal, or are within ``threshold`` edits of, a
     line that comes earlier in the order of (doc_id, line number, row).
 
-    Lines end at ``\\n`` and are compared without blanks at their ends; those of fewer
-    than ``least`` (> threshold) characters never count.  Null and empty texts have no
-    such line.  Rows without an id keep all lines and are compared with none.  ``row``
-    (``row_key``) tells rows apart that share an id; wholly equal rows lose the same
-    lines.  An empty table gives an empty one; other columns are not read."""
+    Lines end at ``\\n`` and are compared without blanks at their ends; edits are allowed in
+    lines of at least ``least`` (> threshold) characters, and equal lines count from
+    ``least_equal`` characters (as many, unless given; 1 at least).  Null and empty texts
+    have no such line; lines and texts of any length are compared whole.  Of equal lines
+    the first stays, so ties can't arise but between wholly equal rows, which lose the
+    same lines.  Rows without an id keep all lines and are compared with none.  ``row``
+    (``row_key``) tells rows apart that share an id.  An empty table gives an empty one;
+    other columns are not read."""
     if least <= threshold:
         raise ValueError("lines must be longer than the threshold")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       row_key(text_col).alias("row")).where("doc_id is not null")
+    if not 0 <= threshold <= 15:
+        raise ValueError("at most 15 edits")
+    docs = _prepared(docs, id_col, text_col)
     place = ["doc_id", "line_no", "row"]
-    lines = stored(_occurrences(docs, least), "lines")
+    lines = stored(_occurrences(docs, max(1, least if least_equal is None else min(least, least_equal))), "lines")
     reps = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("at"), F.count(F.lit(1)).alias("n")), "line-reps")
-    keys = _keys(docs, threshold, least)
-    segments = keys.select("h1", "sketch", F.explode("segments").alias("key")).repartition("key").dropDuplicates(["key", "h1"])
-    probes = keys.select(F.col("h1").alias("other"), F.col("sketch").alias("theirs"), F.explode("probes").alias("key"))
-    # lines that share a segment but differ in too many characters' parities are no pair
-    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("theirs"))) <= 2 * threshold
-    pairs = stored(segments.join(probes, "key").where((F.col("h1") != F.col("other")) & near)
-                   .select(F.least("h1", "other").alias("x"), F.greatest("h1", "other").alias("y")).distinct(), "line-pairs")
-    wanted = (pairs.select(F.col("x").alias("h1")).union(pairs.select("y")).distinct().join(reps, "h1")
-              .groupBy("at.doc_id", "at.row").agg(F.collect_list(F.struct("at.line_no", "h1")).alias("at")))
+    near = stored(_candidates(docs, threshold, least), "line-near")
+    wanted = (near.select("h1").distinct().join(reps, "h1")
+              .groupBy("at.doc_id", "at.row").agg(F.collect_list(F.struct("at.line_no", "h1", "h2")).alias("at")))
     texts = stored(_texts(docs, stored(wanted, "line-wanted")), "line-texts")
-    close = _verified(pairs.join(texts.select(F.col("h1").alias("x"), F.col("line").alias("a")), "x")
-                      .join(texts.select(F.col("h1").alias("y"), F.col("line").alias("b")), "y"), threshold)
-    later = (close.join(reps.select(F.col("h1").alias("x"), F.col("at").alias("ax")), "x")
-             .join(reps.select(F.col("h1").alias("y"), F.col("at").alias("ay")), "y")
-             .select(F.greatest("ax", "ay").alias("at")).distinct())
+    later = stored(_later(near.join(texts, "h1"), threshold).distinct(), "line-later")
     repeated = (lines.join(stored(reps.where("n > 1"), "line-repeated"), ["h1", "h2"])
                 .where(F.struct(*place) != F.col("at")).select(*place))
-    return (repeated.union(stored(later, "line-later").select("at.*"))
+    return (repeated.union(later)
             .groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
 
 

@@ -28,7 +28,7 @@ def op1_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_dropped, dropped_lines for every document."""
     docs = table(spark, sf_dir, "documents")
-    dropped = line_dedup.duplicate_lines(docs, threshold=2, least=20)
+    dropped = line_dedup.duplicate_lines(docs, threshold=2, least=20, least_equal=1)
     lines = docs.select("doc_id", line_dedup.row_key().alias("row"),
                         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
     return (lines.join(dropped, ["doc_id", "row"], "left")
