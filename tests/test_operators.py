@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.scoring import quintile_from_bounds
-from tillroll.operators.quantiles import describe, equal_width_histogram, exact_quantiles
+from tillroll.operators.quantiles import describe, equal_width_histogram, exact_quantiles, tail_histogram
 from tillroll.operators.ranks import Key, range_partitioned, running_totals, value_ranks, with_score
 from tillroll.operators.repeats import with_repeat_count
 from tillroll.operators.topk import top_values
@@ -159,3 +160,46 @@ def test_describe_of_several_columns_empty_and_null(spark):
     assert e["count"] == 0 and e["mean"] is None
     with pytest.raises(ValueError):
         describe(df.select(F.col("a").cast("double").alias("x")), ["x"])
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("values", [
+    ["0.0000", "400000000.0000"] * 3 + ["400000000.0000"],
+    ["10000000000000.0000", "10000000000000.0001", "9999999999999.9999", "10000000000000.0002"],
+    ["10000000000000.0000", "-10000000000000.0000", "0.0001", "3.0000"],
+    ["12345678901234567890123.0001", "1.0000", "-12345678901234567890123.0001"],
+    ["0.0001", "0.0002", "0.0004"] * 5,
+])
+def test_describe_of_large_and_small_values(spark, values, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(Decimal(v),) for v in values], "x decimal(38,4)")
+        row = describe(df, ["x"]).collect()[0]
+        whole = [int(Decimal(v).scaleb(4)) for v in values]
+        n = len(whole)
+        var = Fraction(n * sum(u * u for u in whole) - sum(whole) ** 2, n * (n - 1) * 10 ** 8)
+        d = pd.Series([float(v) for v in values]).describe()
+        assert row["std"] == pytest.approx(float(var) ** 0.5, rel=1e-14)
+        assert row["mean"] == pytest.approx(float(Fraction(sum(whole), n * 10 ** 4)), rel=1e-15, abs=1e-300)
+        for ours, theirs in (("min", "min"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")):
+            assert row[ours] == pytest.approx(d[theirs], rel=1e-12)
+        # pandas' own std loses digits where the mean is large against the spread
+        if max(abs(u) for u in whole) < 10 ** 13 or len(values) == 4 and "3.0000" in values:
+            assert row["std"] == pytest.approx(d["std"], rel=1e-12)
+        with pytest.raises(Exception, match="digits"):
+            describe(spark.createDataFrame([(Decimal(10) ** 24,)], "x decimal(38,4)"), ["x"]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_tail_histogram_matches_numpy(spark):
+    rnd = random.Random(12)
+    vals = [round(rnd.lognormvariate(3, 1), 2) for _ in range(900)]
+    got = tail_histogram(spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double"), "x", 50, 0.99).orderBy("bin").collect()
+    cut = np.quantile(vals, 0.99)
+    want, edges = np.histogram([v for v in vals if v <= cut], bins=50)
+    assert [r["count"] for r in got] == list(want) and got[0]["cut_value"] == pytest.approx(cut, rel=1e-12)
+    assert [r["bin_start"] for r in got] == pytest.approx(list(edges[:-1]), rel=1e-12)
+    one = tail_histogram(spark.createDataFrame([(5.0,)] * 3, "x double"), "x", 4, 0.99).orderBy("bin").collect()
+    assert [r["count"] for r in one] == [3, 0, 0, 0]

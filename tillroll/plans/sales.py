@@ -14,12 +14,12 @@ from tillroll import schemas as S
 from tillroll.functions import calendar as CAL
 from tillroll.functions.numeric import count_when, money, round2, rounded_money, safe_div
 from tillroll.functions.scoring import MISSING_DESCRIPTION_LABEL
-from tillroll.operators.quantiles import describe, equal_width_histogram, exact_quantiles
-from tillroll.session import materialize
+from tillroll.operators.quantiles import describe, tail_histogram
 
 DEFAULT_COUNTRY = "EIRE"
 DEFAULT_YEARS = (1999, 2000)
 TOP_N = 10
+TAIL = 0.99
 
 def _sale() -> Column:
     return F.col("has_product_sale")
@@ -369,18 +369,11 @@ def order_size_stats(wh) -> DataFrame:
                                            "gross_product_sales_value"])
 
 
-def _tail_histogram(df: DataFrame, col: str, bins: int, q: float = 0.99) -> DataFrame:
-    """A30 + A31: the q-quantile cut, then equal-width bins of the values at or below it."""
-    # one-row quantile, stored once (it is read by the filter and the output)
-    cut = materialize(exact_quantiles(df, col, [q]).select(F.col("value").alias("cut_value")))
-    # one-row quantile: a bounded broadcast
-    kept = df.crossJoin(F.broadcast(cut)).filter(F.col(col).cast("double") <= F.col("cut_value")).select(col)
-    return equal_width_histogram(kept, col, bins).crossJoin(F.broadcast(cut))
-
-
 def order_value_histogram(wh, bins: int = 50) -> DataFrame:
-    return _tail_histogram(_purchase_orders(wh), "gross_product_sales_value", bins)
+    """A30 + A31: the 99 % cut, then equal-width bins of the values at or below it."""
+    return tail_histogram(_purchase_orders(wh), "gross_product_sales_value", bins, TAIL)
 
 
 def order_size_histogram(wh, bins: int = 40) -> DataFrame:
-    return _tail_histogram(_purchase_orders(wh), "distinct_stockcodes", bins)
+    """A30 + A31: the same for the number of codes in an order."""
+    return tail_histogram(_purchase_orders(wh), "distinct_stockcodes", bins, TAIL)
