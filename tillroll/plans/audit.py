@@ -16,11 +16,11 @@ from tillroll import schemas as S
 from tillroll.functions.numeric import count_when, safe_div, strip
 from tillroll.operators.quantiles import describe, exact_quantiles
 from tillroll.operators.topk import top_values
+from tillroll.plans.parts import by_invoice, repeat_suspects
 from tillroll.sources import fixture_map as FM
 from tillroll.sources.reference import AUDIT_FALLBACK_CATEGORY, audit_rule_map
 
-BUSINESS_COLUMNS = [S.INVOICE, S.STOCK_CODE, S.DESCRIPTION, S.QUANTITY, S.INVOICE_DATE, S.PRICE,
-                    S.CUSTOMER, S.COUNTRY]
+BUSINESS_COLUMNS = S.RAW_COLUMNS
 PRICE_QUANTILES = (0.5, 0.9, 0.95, 0.99, 0.999)
 PRICE_THRESHOLDS = (200, 1000, 10000)
 HIGH_PRICE = 1000
@@ -178,13 +178,13 @@ def audit_missing_customer(wh) -> DataFrame:
     """C2 (+ J6 count): lines without customer id.  One read: lines collapse to
     (invoice, country) with counts, these to invoices, these to one row."""
     miss = F.col(S.CUSTOMER).isNull()
-    pairs = _lines(wh).groupBy(S.INVOICE, S.COUNTRY).agg(
+    # countries are few: their set stays small per invoice
+    invoices = by_invoice(wh, lambda d: d.groupBy(S.INVOICE, S.COUNTRY).agg(
         count_when(miss).alias("_m"), F.count(F.lit(1)).alias("_n"),
         count_when(miss & (F.col(S.QUANTITY) > 0) & (F.col(S.PRICE) > 0)).alias("_p"))
-    # countries are few: their set stays small per invoice
-    invoices = pairs.groupBy(S.INVOICE).agg(
-        F.sum("_m").alias("_m"), F.sum("_n").alias("_n"), F.sum("_p").alias("_p"),
-        F.collect_set(F.when(F.col("_m") > 0, F.col(S.COUNTRY))).alias("_countries"))
+        .groupBy(S.INVOICE).agg(
+            F.sum("_m").alias("_m"), F.sum("_n").alias("_n"), F.sum("_p").alias("_p"),
+            F.collect_set(F.when(F.col("_m") > 0, F.col(S.COUNTRY))).alias("_countries")))
     named = F.col(S.INVOICE).isNotNull()
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     per_set = invoices.groupBy("_countries").agg(
@@ -208,7 +208,7 @@ def _mixed_invoices(d: DataFrame) -> DataFrame:
 
 def audit_mixed_invoices(wh) -> DataFrame:
     """Invoices holding lines with and without a customer id."""
-    return _mixed_invoices(_lines(wh)).orderBy(S.INVOICE)
+    return by_invoice(wh, _mixed_invoices).orderBy(S.INVOICE)
 
 
 def audit_missing_customer_by_country(wh) -> DataFrame:
@@ -243,27 +243,28 @@ def audit_missing_description_codes(wh, n: int = 30) -> DataFrame:
 
 # ------------------------------------------------------------ duplicates --
 
-def _groups(d: DataFrame, cols: list[str]) -> DataFrame:
-    # groupBy keeps null keys as a group (pandas dropna=False); partial aggregation first.
-    return d.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+def _repeat_groups(wh, cols: list[str]) -> DataFrame:
+    """Groups of lines that are equal in ``cols`` (nulls equal) with their size ``n`` > 1:
+    only lines that may have an equal are compared (see ``operators.repeat_filter``)."""
+    return repeat_suspects(wh).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def _whole(c: str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
 
 def audit_duplicates(wh) -> DataFrame:
-    """Exact repeats over all 9 columns."""
-    d = _lines(wh)
-    g = _groups(d, S.BRONZE_COLUMNS)
-    dup = F.col("n") > 1
-    counts = g.agg(
-        F.sum(F.when(dup, F.col("n") - 1).otherwise(0)).cast("bigint").alias("surplus_rows"),
-        F.sum(F.when(dup, F.col("n")).otherwise(0)).cast("bigint").alias("rows_in_groups"),
-        F.countDistinct(F.when(dup, F.col(S.INVOICE))).alias("invoices"),
-        F.sum("n").cast("bigint").alias("total_rows"))
-    return counts.withColumn("surplus_pct", safe_div("surplus_rows", "total_rows") * 100)
+    """Exact repeats over all 9 columns.  All lines are only counted."""
+    counts = _repeat_groups(wh, S.BRONZE_COLUMNS).withColumn("more", F.col("n") - 1).agg(
+        _whole("more").alias("surplus_rows"), _whole("n").alias("rows_in_groups"), F.countDistinct(S.INVOICE).alias("invoices"))
+    total = _lines(wh).agg(F.count(F.lit(1)).alias("total_rows"))
+    # one row each
+    return counts.crossJoin(F.broadcast(total)).withColumn("surplus_pct", safe_div("surplus_rows", "total_rows") * 100)
 
 
 def audit_duplicate_sizes(wh) -> DataFrame:
     """How many repeat groups of each size (8 business columns, nulls kept)."""
-    g = _groups(_lines(wh), BUSINESS_COLUMNS).filter(F.col("n") > 1)
+    g = _repeat_groups(wh, BUSINESS_COLUMNS)
     return g.groupBy(F.col("n").alias("group_size")).agg(F.count(F.lit(1)).alias("groups")).orderBy("group_size")
 
 
@@ -275,13 +276,16 @@ def audit_duplicate_rows(wh, n: int = 30) -> DataFrame:
 
 
 def audit_dedup_impact(wh) -> DataFrame:
-    """Effect of dropping exact repeats, one pass over the grouped rows."""
-    g = _groups(_lines(wh), S.BRONZE_COLUMNS)
+    """Effect of dropping exact repeats: totals of all lines, less what the surplus
+    lines of the repeat groups add."""
     v = F.col(S.QUANTITY).cast("decimal(20,0)") * F.col(S.PRICE)
-    agg = g.agg(F.sum("n").cast("bigint").alias("rows_before"),
-                F.count(F.lit(1)).alias("rows_after"),
-                F.sum(v * F.col("n")).alias("_all"),
-                F.sum(v).alias("_dedup"))
+    whole = _lines(wh).agg(F.count(F.lit(1)).alias("rows_before"), F.sum(v).alias("_all"))
+    more = F.col("n") - 1
+    surplus = _repeat_groups(wh, S.BRONZE_COLUMNS).agg(F.coalesce(F.sum(more), F.lit(0)).cast("bigint").alias("_surplus"),
+                                                       F.coalesce(F.sum(v * more), F.lit(0)).alias("_more"))
+    # one row each
+    agg = whole.crossJoin(F.broadcast(surplus)).select(
+        "rows_before", (F.col("rows_before") - F.col("_surplus")).alias("rows_after"), "_all", (F.col("_all") - F.col("_more")).alias("_dedup"))
     return agg.select(
         "rows_before", "rows_after",
         (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
@@ -378,11 +382,12 @@ def audit_unclassified_codes(wh) -> DataFrame:
 
 def audit_invoice_grain(wh) -> DataFrame:
     """C14: per invoice distinct dates / customers / countries; maxima and >1 counts.
-    Distinct values are counted per invoice as small sets after one reduction."""
-    rows = _lines(wh).groupBy(S.INVOICE, S.INVOICE_DATE, S.CUSTOMER, S.COUNTRY).agg(F.count(F.lit(1)).alias("_n"))
-    g = rows.groupBy(S.INVOICE).agg(
+    Distinct values are counted per invoice as small sets after one reduction, where the
+    invoice's lines lie together: nothing but one row a task is moved."""
+    g = by_invoice(wh, lambda d: d.groupBy(S.INVOICE, S.INVOICE_DATE, S.CUSTOMER, S.COUNTRY).agg(F.count(F.lit(1)).alias("_n"))
+                      .groupBy(S.INVOICE).agg(
         *[F.size(F.collect_set(c)).cast("bigint").alias(name) for c, name in
-          ((S.INVOICE_DATE, "dates"), (S.CUSTOMER, "customers"), (S.COUNTRY, "countries"))])
+          ((S.INVOICE_DATE, "dates"), (S.CUSTOMER, "customers"), (S.COUNTRY, "countries"))]))
     return g.agg(F.max("dates").alias("max_dates"), F.max("customers").alias("max_customers"),
                  F.max("countries").alias("max_countries"),
                  count_when(F.col("dates") > 1).alias("invoices_multi_dates"),
@@ -392,10 +397,10 @@ def audit_invoice_grain(wh) -> DataFrame:
 
 def _multi_timestamp(wh) -> DataFrame:
     """Invoices whose first and last timestamps differ."""
-    return (_lines(wh).filter(F.col(S.INVOICE).isNotNull()).groupBy(S.INVOICE)
-            .agg(F.min(S.INVOICE_DATE).alias("first_date"), F.max(S.INVOICE_DATE).alias("last_date"),
-                 F.count(F.lit(1)).alias("rows"))
-            .filter(F.col("first_date") < F.col("last_date")))
+    return by_invoice(wh, lambda d: d.filter(F.col(S.INVOICE).isNotNull()).groupBy(S.INVOICE)
+                         .agg(F.min(S.INVOICE_DATE).alias("first_date"), F.max(S.INVOICE_DATE).alias("last_date"),
+                              F.count(F.lit(1)).alias("rows"))
+                         .filter(F.col("first_date") < F.col("last_date")))
 
 
 def audit_multi_timestamp(wh) -> DataFrame:

@@ -14,15 +14,26 @@ from tillroll.functions import flags as FL
 from tillroll.functions.numeric import count_when
 from tillroll.functions.scoring import frequency_score, quintile_from_bounds, segment
 from tillroll.operators.ranks import with_score
+from tillroll.operators.repeat_filter import repeat_filter
 from tillroll.operators.repeats import with_repeat_count
 from tillroll.session import materialize
 
 LINE_FLAGS = S.QUALITY_FLAGS
 
 
-def silver(bronze: DataFrame, categories: DataFrame) -> DataFrame:
-    """One row per bronze row, 19 columns."""
-    counted = with_repeat_count(bronze.select(*S.BRONZE_COLUMNS), "_repeats")
+def repeat_suspects(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The bronze lines that equal no other in the eight business columns for certain, and
+    those that may: only these have to meet their equals (``bronze``: a stored table)."""
+    suspect = repeat_filter(bronze, S.RAW_COLUMNS).suspect()
+    lines = bronze.select(*S.BRONZE_COLUMNS)
+    return lines.where(~suspect), lines.where(suspect)
+
+
+def silver(bronze: DataFrame, categories: DataFrame, parts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row per bronze row, 19 columns.  ``parts``: the lines that have
+    no equal and the suspects (``repeat_suspects``).  Only suspects are shuffled."""
+    alone, suspects = parts or repeat_suspects(bronze)
+    counted = alone.withColumn("_repeats", F.lit(1).cast("bigint")).unionByName(with_repeat_count(suspects, "_repeats"))
     # the special-code table has a fixed 62 rows: bounded broadcast.
     ref = F.broadcast(categories.select(F.col("stock_code").alias("_ref_code"),
                                         F.col("category").alias("_ref_category")))

@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import threading
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll import schemas as S
 from tillroll.plans import layers
-from tillroll.session import delete_folder, list_folders, read_pointer, storage_root, write_pointer
+from tillroll.session import delete_folder, list_folders, materialize, read_pointer, storage_root, write_pointer
 from tillroll.sources import fixture_map
 from tillroll.sources.periods import ingest, read_period, type_period
 from tillroll.sources.reference import stockcode_categories
@@ -76,12 +79,21 @@ def drop_old_versions(spark: SparkSession, sf_dir: str) -> list[str]:
     return old
 
 
+def _catalog_name(path: str) -> str:
+    """The catalog table of a stored folder, which no other folder has."""
+    return "tillroll_" + hashlib.sha1(path.encode()).hexdigest()[:20]
+
+
 class Warehouse:
     """Layers built on demand, each written once and then read from Parquet."""
 
     #: Facts in one folder a month of this column.
-    BY_MONTH = {"fact_order_lines": "InvoiceDate", "fact_orders": "order_datetime"}
+    BY_MONTH = {"fact_orders": "order_datetime"}
     MONTH_COL = "order_month"
+    #: Line facts in buckets of this column: reports per invoice move no line.
+    BY_INVOICE = {"fact_order_lines": S.INVOICE}
+    #: An invoice of more than a quarter of a bucket's share of lines is stored apart.
+    HOT_SHARE = 4
 
     ORDER = ["landing", "bronze", "silver_transactions", "fact_order_lines", "fact_orders",
              "dim_customers", "dim_products", "customer_rfm"]
@@ -94,6 +106,8 @@ class Warehouse:
         self.root = root or storage_root(spark, fingerprint(spark, sf_dir))
         self._paths: dict[str, str] = {}
         self._tables: dict[str, DataFrame] = {}
+        self._parts: dict[str, list[DataFrame]] = {}
+        self._split: tuple[DataFrame, DataFrame] | None = None
         self._lock = threading.RLock()
 
     @classmethod
@@ -141,11 +155,11 @@ class Warehouse:
         if name == "bronze":
             return self.consolidated()
         if name == "silver_transactions":
-            return layers.silver(self.table("bronze"), self.categories())
+            return layers.silver(self.table("bronze"), self.categories(), (self._split_bronze()[0], self.repeat_suspects()))
         if name == "fact_order_lines":
             return layers.fact_order_lines(self.table("silver_transactions"))
         if name == "fact_orders":
-            return layers.fact_orders(self.table("fact_order_lines"))
+            return self.by_invoice(layers.fact_orders)
         if name == "dim_customers":
             return layers.dim_customers(self.table("fact_orders"))
         if name == "dim_products":
@@ -169,6 +183,63 @@ class Warehouse:
                 self._tables[name] = self._store(name, lambda: fn(self))
             return self._tables[name]
 
+    def _split_bronze(self) -> tuple[DataFrame, DataFrame]:
+        """Bronze lines without an equal, and suspects; the filter is counted once."""
+        with self._lock:
+            if self._split is None:
+                self._split = layers.repeat_suspects(self.table("bronze"))
+            return self._split
+
+    def repeat_suspects(self) -> DataFrame:
+        """Bronze lines that may have an equal in the business columns."""
+        return self.derived("repeat_suspects", lambda wh: wh._split_bronze()[1])
+
+    def by_invoice(self, per_invoice) -> DataFrame:
+        """``per_invoice`` (a grouping by invoice) of all lines, part by part: the lines in
+        buckets, which need no exchange, and those of the large invoices."""
+        self.table("fact_order_lines")
+        parts = self._parts.get("fact_order_lines", [self._tables["fact_order_lines"]])
+        return reduce(DataFrame.unionByName, [per_invoice(p) for p in parts])
+
+    def _hot_keys(self, df: DataFrame, key: str, buckets: int) -> DataFrame:
+        """The keys with more lines than a bucket's share / ``HOT_SHARE``: at most
+        ``HOT_SHARE * buckets`` of them."""
+        counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
+        total = counts.agg(F.sum("_n").alias("_all"))
+        return materialize(counts.crossJoin(F.broadcast(total)).where(F.col("_n") * self.HOT_SHARE * buckets > F.col("_all")).select(key))
+
+    def _write_buckets(self, name: str, df: DataFrame, path: str, buckets: int) -> str:
+        """Lines in buckets (one file each, by a catalog table) and the lines of the large
+        invoices in a folder of their own; returns the folder, which says what it holds."""
+        key = self.BY_INVOICE[name]
+        hot = self._hot_keys(self.table("silver_transactions"), key, buckets)
+        some = hot.count() > 0
+        path = f"{path}-b{buckets}{'-hot' if some else ''}"
+        lines = df
+        if some:
+            mark = F.broadcast(hot.withColumnRenamed(key, "_key"))  # at most HOT_SHARE * buckets rows
+            same = F.col(key).eqNullSafe(F.col("_key"))
+            df.join(mark, same, "left_semi").write.parquet(os.path.join(path, "hot"))
+            lines = df.join(mark, same, "left_anti")
+        (lines.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+         .option("path", os.path.join(path, "lines")).saveAsTable(_catalog_name(path)))
+        return path
+
+    def _read_buckets(self, name: str, path: str) -> DataFrame:
+        """The catalog table over the folder that the pointer names, made again in a session
+        that does not have it; the large invoices' lines are added."""
+        table, folder = _catalog_name(path), os.path.join(path, "lines")
+        if not self.spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(folder).schema.fields)
+            key, buckets = self.BY_INVOICE[name], re.search(r"-b(\d+)", path).group(1)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                           f"INTO {buckets} BUCKETS LOCATION '{folder}'")
+        parts = [self.spark.table(table)]
+        if path.endswith("-hot"):
+            parts.append(self.spark.read.parquet(os.path.join(path, "hot")))
+        self._parts[name] = parts
+        return reduce(DataFrame.unionByName, parts)
+
     def _store(self, name: str, compute) -> DataFrame:
         if not self.materialize:
             return compute()
@@ -179,6 +250,10 @@ class Warehouse:
         if path is None:
             path = os.path.join(self.root, f"{name}-{uuid.uuid4().hex[:12]}")
             df = compute()
+            if name in self.BY_INVOICE:
+                path = self._write_buckets(name, df, path, max(8, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
+                write_pointer(self.spark, pointer, path)
+                return self._read_buckets(name, path)
             if name in self.BY_MONTH:
                 # one folder a month, so a date range opens the months it touches; the
                 # rebalance keeps files even where a month is large
@@ -191,6 +266,8 @@ class Warehouse:
                 writer = writer.partitionBy(self.MONTH_COL)
             writer.parquet(path)
             write_pointer(self.spark, pointer, path)
+        if name in self.BY_INVOICE:
+            return self._read_buckets(name, path)
         self._paths[name] = path
         return self.spark.read.parquet(path).drop(self.MONTH_COL)
 
