@@ -108,6 +108,24 @@ SELECT Invoice, StockCode, Description, Quantity, CAST(Price AS DOUBLE) AS Price
 FROM bronze WHERE Price < 0 ORDER BY Invoice, StockCode""",
     "price_quantiles": quantiles_sql("SELECT Price FROM bronze WHERE Price > 0", "Price", PRICE_QUANTILES)
     + " ORDER BY quantile",
+    "price_quantiles_approx": f"""
+WITH p AS (SELECT Price::DOUBLE AS p, (Price * 10000)::BIGINT AS u FROM bronze WHERE Price > 0),
+digits AS (SELECT u, greatest(length(bin(u)) - 8, 0) AS dropped FROM p),
+cells AS (SELECT (u >> dropped) << dropped AS low, 1::BIGINT << dropped AS width, count(*) AS n FROM digits GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (ORDER BY low) - n AS before, sum(n) OVER () AS al FROM cells),
+asked AS (SELECT *, floor((al - 1)::DOUBLE * quantile) AS place FROM ranked, (SELECT unnest({list(PRICE_QUANTILES)})::DOUBLE AS quantile)),
+guess AS (
+  SELECT quantile, (low + floor((width - 1) * ((place - before + 0.5) / n))) / 10000 AS value, low / 10000 AS low,
+    (low + width - 1) / 10000 AS high, n / al AS rank_bound
+  FROM asked WHERE before <= place AND place < before + n),
+ranks AS (
+  SELECT g.quantile, count(*) AS al, count(*) FILTER (p < value) AS below, count(*) FILTER (p <= value) AS upto FROM p, guess g GROUP BY ALL),
+errors AS (
+  SELECT quantile, greatest(below - place, place - greatest(upto - 1, below), 0)::DOUBLE / al AS rank_error
+  FROM (SELECT *, floor((al - 1)::DOUBLE * quantile) AS place FROM ranks))
+SELECT g.quantile, g.value, g.low, g.high, e.value AS exact_value, rank_error, rank_bound, rank_error <= rank_bound AS within_bound
+FROM guess g JOIN errors USING (quantile) JOIN ({quantiles_sql("SELECT Price FROM bronze WHERE Price > 0", "Price", PRICE_QUANTILES)}) e USING (quantile)
+ORDER BY quantile""",
     "audit_high_price_values": f"""
 SELECT 'Description' AS field, Description AS value, rows, rank FROM (
   {_top(f'SELECT * FROM bronze WHERE Price > {HIGH_PRICE}', 'Description', 20)}) d

@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions.numeric import count_when, safe_div, strip
+from tillroll.operators.heavy_values import top_heavy_values
+from tillroll.operators.multiset import compare_multisets
+from tillroll.operators.quantile_sketch import approx_quantiles, merged, sketch
 from tillroll.operators.quantiles import describe, exact_quantiles
 from tillroll.operators.topk import top_values
 from tillroll.plans.parts import by_invoice, repeat_suspects
+from tillroll.session import materialize
 from tillroll.sources import fixture_map as FM
 from tillroll.sources.reference import AUDIT_FALLBACK_CATEGORY, audit_rule_map
 
@@ -55,28 +59,24 @@ def audit_nulls(wh) -> DataFrame:
 def audit_overlap(wh) -> DataFrame:
     """R2 + J6: the shared days of both periods — sizes, common invoices and
     multiset equality of the 8 business columns (a.exceptAll(b) and
-    b.exceptAll(a) both empty).  Each period is read once: lines collapse to distinct
-    rows with their copies on each side, these to invoices, these to one row."""
-    early, late = wh.raw_periods()
+    b.exceptAll(a) both empty).  Lines collapse to one fingerprint an invoice and time;
+    only lines of those that differ are moved (``operators.multiset``)."""
     lo = F.lit(FM.OVERLAP_START).cast("timestamp_ntz")
     hi = F.lit(FM.OVERLAP_END).cast("timestamp_ntz")
-    shared = (F.col(S.INVOICE_DATE) >= lo) & (F.col(S.INVOICE_DATE) < hi)
-    sides = [df.filter(shared).select(*BUSINESS_COLUMNS, F.lit(x).alias("_a"), F.lit(1 - x).alias("_b"))
-             for df, x in ((early, 1), (late, 0))]
+    sides = [df.filter((F.col(S.INVOICE_DATE) >= lo) & (F.col(S.INVOICE_DATE) < hi)) for df in wh.raw_periods()]
+    keys, rows = compare_multisets(*sides, BUSINESS_COLUMNS, [S.INVOICE, S.INVOICE_DATE])
     # a.exceptAll(b) has sum(max(na - nb, 0)) rows
-    rows = sides[0].unionByName(sides[1]).groupBy(*BUSINESS_COLUMNS).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-    more = lambda x, y: F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0)))
-    invoices = rows.groupBy(S.INVOICE).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"),
-                                           more("_a", "_b").alias("_only_a"), more("_b", "_a").alias("_only_b"))
+    more = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0)).cast("bigint")
+    only = rows.agg(more("rows_a", "rows_b").alias("only_in_a"), more("rows_b", "rows_a").alias("only_in_b"))
+    invoices = keys.groupBy(S.INVOICE).agg(F.sum("rows_a").alias("_a"), F.sum("rows_b").alias("_b"))
     named = F.col(S.INVOICE).isNotNull()
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     out = invoices.agg(
-        total("_a").alias("rows_a"), F.count_if(named & (F.col("_a") > 0)).alias("invoices_a"),
-        total("_b").alias("rows_b"), F.count_if(named & (F.col("_b") > 0)).alias("invoices_b"),
-        F.count_if(named & (F.col("_a") > 0) & (F.col("_b") > 0)).alias("common_invoices"),
-        F.sum("_only_a").cast("bigint").alias("only_in_a"), F.sum("_only_b").cast("bigint").alias("only_in_b"))
-    return out.select("*", (F.col("rows_a") == F.col("rows_b")).alias("same_row_count"),
-                      ((F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)).alias("identical_rows"))
+        _whole("_a").alias("rows_a"), F.count_if(named & (F.col("_a") > 0)).alias("invoices_a"),
+        _whole("_b").alias("rows_b"), F.count_if(named & (F.col("_b") > 0)).alias("invoices_b"),
+        F.count_if(named & (F.col("_a") > 0) & (F.col("_b") > 0)).alias("common_invoices"))
+    # one row each
+    return out.crossJoin(F.broadcast(only)).select("*", (F.col("rows_a") == F.col("rows_b")).alias("same_row_count"),
+                                                   ((F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)).alias("identical_rows"))
 
 
 def audit_common_invoices(wh) -> DataFrame:
@@ -122,7 +122,7 @@ def audit_positive_cancellations(wh) -> DataFrame:
 def audit_top_descriptions(wh, n: int = 20) -> DataFrame:
     """Most frequent descriptions (null included) of negative lines without C."""
     d = _lines(wh).filter((F.col(S.QUANTITY) < 0) & ~_is_c())
-    return top_values(d, S.DESCRIPTION, n)
+    return top_heavy_values(d, S.DESCRIPTION, n)
 
 
 def audit_price_classes(wh) -> DataFrame:
@@ -147,12 +147,39 @@ def price_quantiles(wh) -> DataFrame:
     return exact_quantiles(d, S.PRICE, PRICE_QUANTILES).orderBy("quantile")
 
 
+def _compute_price_sketch(wh) -> DataFrame:
+    d = _lines(wh).filter(F.col(S.PRICE) > 0)
+    return sketch(d, S.PRICE, S.PRICE_TYPE.scale, [F.trunc(F.col(S.INVOICE_DATE).cast("date"), "month").alias("month")])
+
+
+def price_quantiles_approx(wh) -> DataFrame:
+    """A30, opt-in for huge inputs: quantiles of positive prices from counts of cells, one
+    sketch a month, stored and merged.  Beside them the exact quantiles and the true rank of
+    each guess: ``rank_error`` is how far the asked position lies from the positions of the
+    lines at the guessed price, as a share of all, and must not exceed ``rank_bound``."""
+    derived = getattr(wh, "derived", None)
+    cells = merged(derived("price_sketch", _compute_price_sketch) if derived else _compute_price_sketch(wh))
+    scale = S.PRICE_TYPE.scale
+    guess = materialize(approx_quantiles(cells, PRICE_QUANTILES, scale))
+    # one row a quantile: a bounded broadcast; every line is compared with five numbers
+    d = _lines(wh).filter(F.col(S.PRICE) > 0).select(F.col(S.PRICE).cast("double").alias("_p"))
+    ranks = d.crossJoin(F.broadcast(guess.select("quantile", "value"))).groupBy("quantile").agg(
+        F.count(F.lit(1)).alias("_all"), F.count_if(F.col("_p") < F.col("value")).alias("_below"), F.count_if(F.col("_p") <= F.col("value")).alias("_upto"))
+    exact = price_quantiles(wh).withColumnRenamed("value", "exact_value")
+    at = F.floor((F.col("_all") - 1).cast("double") * F.col("quantile"))
+    away = F.greatest(F.col("_below") - at, at - F.greatest(F.col("_upto") - 1, F.col("_below")), F.lit(0))
+    return (guess.join(F.broadcast(ranks), "quantile").join(F.broadcast(exact), "quantile")
+            .withColumn("rank_error", safe_div(away, "_all"))
+            .select("quantile", "value", "low", "high", "exact_value", "rank_error", "rank_bound",
+                    (F.col("rank_error") <= F.col("rank_bound")).alias("within_bound")).orderBy("quantile"))
+
+
 def audit_high_price_values(wh, n: int = 20) -> DataFrame:
     """F13 + C5: top descriptions and codes among lines priced above 1000."""
     d = _lines(wh).filter(F.col(S.PRICE) > HIGH_PRICE)
     parts = []
     for field in (S.DESCRIPTION, S.STOCK_CODE):
-        parts.append(top_values(d, field, n).select(F.lit(field).alias("field"),
+        parts.append(top_heavy_values(d, field, n).select(F.lit(field).alias("field"),
                                                      F.col(field).alias("value"), "rows", "rank"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -154,17 +154,22 @@ def country_list(wh) -> DataFrame:
     return fo.select("country").filter(F.col("country").isNotNull()).distinct().orderBy("country")
 
 
+_BY_COUNTRY = """
+SELECT t.code AS stock_code, coalesce(p.product_description, t.code) AS product_description,
+  CAST(round(t.gross, 2) AS DOUBLE) AS gross_sales, CAST(round(-t.cancelled, 2) AS DOUBLE) AS cancellation_value,
+  CAST(round(t.net, 2) AS DOUBLE) AS net_sales
+FROM (
+  SELECT StockCode AS code, sum(gross_product_sales_value) AS gross, sum(product_cancellation_value) AS cancelled,
+    sum(net_product_sales_value) AS net
+  FROM {lines} WHERE line_category = 'product' AND Country = :country GROUP BY StockCode) t
+LEFT JOIN {products} p ON p.stock_code = t.code
+ORDER BY net_sales DESC, stock_code"""
+
+
 def product_by_country(wh, country: str = DEFAULT_COUNTRY) -> DataFrame:
-    """The product explorer for one country (parameter, pushed to the scan)."""
-    fol = wh.table("fact_order_lines").filter(
-        (F.col("line_category") == "product") & (F.col(S.COUNTRY) == F.lit(country)))
-    t = _product_totals(wh, fol)
-    return (t.select(F.col(S.STOCK_CODE).alias("stock_code"),
-                     F.coalesce(F.col("product_description"), F.col(S.STOCK_CODE)).alias("product_description"),
-                     rounded_money("_gross").alias("gross_sales"),
-                     rounded_money(-F.col("_cancel")).alias("cancellation_value"),
-                     rounded_money("_net").alias("net_sales"))
-             .orderBy(F.col("net_sales").desc(), "stock_code"))
+    """A14 + fn17: the product explorer for one country, a bound parameter of the statement:
+    its value is compared, never parsed, and the filter reaches the scan."""
+    return wh.spark.sql(_BY_COUNTRY, args={"country": country}, lines=wh.table("fact_order_lines"), products=wh.table("dim_products"))
 
 
 # ---------------------------------------------------------------- analysis --

@@ -3,13 +3,12 @@ largest orders, dimension samples (A32–A36 partly, F9, F10, R1)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions.numeric import count_when, money, rounded_money
+from tillroll.operators.top_lists import TopList, top_lists
 
 SAMPLE_ROWS = 20
 
@@ -63,48 +62,55 @@ _EXAMPLE_ORDER = [S.INVOICE_DATE, S.INVOICE, S.STOCK_CODE, S.DESCRIPTION, S.QUAN
 
 
 def line_type_examples(wh) -> DataFrame:
-    """5 sale lines ∪ 5 cancellation lines ∪ 10 non-product lines (first in time)."""
-    fol = wh.table("fact_order_lines")
-    parts = []
-    for label, cond, n in (("product_sale", F.col("is_product_sale"), 5),
-                           ("product_cancellation", F.col("is_product_cancellation"), 5),
-                           ("other_category", F.col("line_category") != "product", 10)):
-        order = [F.col(c).asc_nulls_first() for c in _EXAMPLE_ORDER]
-        parts.append(fol.filter(cond).orderBy(*order).limit(n)
-                     .select(F.lit(label).alias("line_type"), *EXAMPLE_COLUMNS,
-                             money("net_product_sales_value").alias("net_product_sales_value")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def largest_orders(wh, n: int = SAMPLE_ROWS) -> DataFrame:
+    """5 sale lines ∪ 5 cancellation lines ∪ 10 non-product lines (first in time), in
+    one read of the lines."""
+    order = tuple((c, True) for c in _EXAMPLE_ORDER)
+    lists = [TopList("product_sale", F.col("is_product_sale"), order, 5),
+             TopList("product_cancellation", F.col("is_product_cancellation"), order, 5),
+             TopList("other_category", F.col("line_category") != "product", order, 10)]
+    first = top_lists(wh.table("fact_order_lines"), lists, [*EXAMPLE_COLUMNS, "net_product_sales_value"])
+    return first.select(F.col("list_name").alias("line_type"), *EXAMPLE_COLUMNS,
+                        money("net_product_sales_value").alias("net_product_sales_value"))
+
+
+def _compute_order_lists(wh) -> DataFrame:
+    fo = wh.table("fact_orders")
+    lists = [TopList("largest_orders", F.col("has_product_sale"), (("gross_product_sales_value", False), (S.INVOICE, True)), SAMPLE_ROWS),
+             TopList("largest_cancellations", F.col("has_product_cancellation"), (("product_cancellation_value", True), (S.INVOICE, True)),
+                     SAMPLE_ROWS),
+             TopList("first_orders", F.lit(True), (("order_datetime", True), (S.INVOICE, True)), SAMPLE_ROWS)]
+    return top_lists(fo, lists, fo.columns)
+
+
+def _order_list(wh, name: str) -> DataFrame:
+    """One of the three order lists, which one read of the orders gives; stored."""
+    derived = getattr(wh, "derived", None)
+    lists = derived("order_lists", _compute_order_lists) if derived else _compute_order_lists(wh)
+    return lists.where(F.col("list_name") == name).orderBy("rank").drop("list_name", "rank")
+
+
+def largest_orders(wh) -> DataFrame:
     """purchase invoices with the largest gross value."""
-    fo = wh.table("fact_orders").filter(F.col("has_product_sale"))
-    return (fo.orderBy(F.col("gross_product_sales_value").desc(), S.INVOICE).limit(n)
-              .select(S.INVOICE, "order_datetime", "customer_id", "country", "line_count",
-                      "distinct_stockcodes", "product_sale_quantity",
-                      money("gross_product_sales_value").alias("gross_product_sales_value"),
-                      money("product_cancellation_value").alias("product_cancellation_value"),
-                      money("net_product_sales_value").alias("net_product_sales_value"),
-                      "is_cancellation", "has_product_sale", "has_product_cancellation"))
+    return _order_list(wh, "largest_orders").select(
+        S.INVOICE, "order_datetime", "customer_id", "country", "line_count", "distinct_stockcodes", "product_sale_quantity",
+        money("gross_product_sales_value").alias("gross_product_sales_value"),
+        money("product_cancellation_value").alias("product_cancellation_value"),
+        money("net_product_sales_value").alias("net_product_sales_value"),
+        "is_cancellation", "has_product_sale", "has_product_cancellation")
 
 
-def largest_cancellations(wh, n: int = SAMPLE_ROWS) -> DataFrame:
+def largest_cancellations(wh) -> DataFrame:
     """invoices with the most negative product cancellation value."""
-    fo = wh.table("fact_orders").filter(F.col("has_product_cancellation"))
-    return (fo.orderBy(F.col("product_cancellation_value").asc(), S.INVOICE).limit(n)
-              .select(S.INVOICE, "order_datetime", "customer_id", "country", "line_count",
-                      "product_cancellation_quantity",
-                      money("product_cancellation_value").alias("product_cancellation_value"),
-                      "is_cancellation", "has_product_cancellation"))
+    return _order_list(wh, "largest_cancellations").select(
+        S.INVOICE, "order_datetime", "customer_id", "country", "line_count", "product_cancellation_quantity",
+        money("product_cancellation_value").alias("product_cancellation_value"), "is_cancellation", "has_product_cancellation")
 
 
-def first_orders(wh, n: int = SAMPLE_ROWS) -> DataFrame:
+def first_orders(wh) -> DataFrame:
     """order sample, earliest first (ties by invoice)."""
-    fo = wh.table("fact_orders")
-    money_cols = ["raw_order_value", "gross_product_sales_value", "product_cancellation_value",
-                  "net_product_sales_value"]
-    return (fo.orderBy("order_datetime", S.INVOICE).limit(n)
-              .select(*[money(c).alias(c) if c in money_cols else F.col(c) for c in fo.columns]))
+    orders = _order_list(wh, "first_orders")
+    amounts = ["raw_order_value", "gross_product_sales_value", "product_cancellation_value", "net_product_sales_value"]
+    return orders.select(*[money(c).alias(c) if c in amounts else F.col(c) for c in orders.columns])
 
 
 def first_customers(wh, n: int = SAMPLE_ROWS) -> DataFrame:

@@ -32,7 +32,8 @@ def plan_functions() -> dict[str, Callable]:
 def derived_tables() -> dict[str, Callable]:
     """Tables that several reports share, by the name they are stored under."""
     return {"customer_purchase_counts": customers._compute_purchase_counts, "customer_value_curve": customers._pareto,
-            "monthly_orders": sales._compute_monthly_orders, "product_totals": sales._compute_product_totals}
+            "monthly_orders": sales._compute_monthly_orders, "product_totals": sales._compute_product_totals,
+            "price_sketch": audit._compute_price_sketch, "order_lists": scope._compute_order_lists}
 
 
 def _public_queries(mod) -> list[str]:
