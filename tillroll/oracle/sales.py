@@ -177,6 +177,9 @@ SQL.update({
     "order_size_histogram": _tail_hist("distinct_stockcodes", 40),
 })
 
+# the same months, whatever batches their lines came in
+SQL["monthly_performance_incremental"] = SQL["monthly_performance"]
+
 # the first rows of the ordered reports
 for _key, _of, _n in (("top_country_performance", "country_performance", 10), ("top_product_ranking", "product_ranking", 15),
                       ("top_product_cancellations", "product_cancellations", 15)):

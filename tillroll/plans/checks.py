@@ -3,31 +3,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions.numeric import count_when, rounded_money
+from tillroll.plans import metrics
 from tillroll.plans.parts import by_invoice
 
 
-def _profile(df: DataFrame, prefix: str) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias(f"{prefix}_rows"),
-        F.sum(S.QUANTITY).cast("bigint").alias(f"{prefix}_total_quantity"),
-        F.sum(S.PRICE).alias(f"{prefix}_total_price"),
-        count_when(F.col(S.CUSTOMER).isNull()).alias(f"{prefix}_missing_customer"),
-        F.min(S.INVOICE_DATE).alias(f"{prefix}_min_date"),
-        F.max(S.INVOICE_DATE).alias(f"{prefix}_max_date"),
-    )
-
-
 def check_bronze(wh) -> DataFrame:
-    """K1: the consolidation recomputed from the raw period files vs the stored bronze table."""
-    src = wh.consolidated()
-    a, b = _profile(src, "source"), _profile(wh.table("bronze"), "bronze")
-    # two one-row aggregates: a bounded cross join.
-    j = a.crossJoin(F.broadcast(b))
+    """K1: the lines that passed when the raw period files were consolidated and written
+    (observed then) vs a scan of the stored bronze table."""
+    sides = [df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
+             for p, df in (("source", metrics.stored(wh, "bronze")), ("bronze", metrics.measured("bronze", wh.table("bronze"))))]
+    # two one-row tables: a bounded cross join.
+    j = sides[0].crossJoin(F.broadcast(sides[1]))
     valid = ((F.col("source_rows") == F.col("bronze_rows"))
              & (F.col("source_total_quantity") == F.col("bronze_total_quantity"))
              & (F.abs(F.col("source_total_price") - F.col("bronze_total_price")) < F.lit(0.01))
@@ -40,14 +33,25 @@ def check_bronze(wh) -> DataFrame:
                     valid.alias("bronze_is_valid"))
 
 
+def check_stored_metrics(wh) -> DataFrame:
+    """Per table, whether the metrics observed when it was written are those of
+    one scan of the stored table."""
+    parts = []
+    for name in metrics.OBSERVED:
+        now, then = metrics.measured(name, wh.table(name)), metrics.stored(wh, name)
+        first = now.columns[0]  # the rows
+        same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in now.columns])
+        # two one-row tables
+        parts.append(now.alias("a").crossJoin(F.broadcast(then.alias("b"))).select(
+            F.lit(name).alias("table"), F.col(f"a.{first}").alias("rows"), same.alias("metrics_match")))
+    return reduce(DataFrame.unionByName, parts).orderBy("table")
+
+
 def check_silver_flags(wh) -> DataFrame:
-    """K2 + S11: flag totals, row and column counts of the silver table."""
-    s = wh.table("silver_transactions")
-    return s.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.lit(len(s.columns)).cast("bigint").alias("columns"),
-        *[count_when(F.col(f)).alias(f) for f in S.QUALITY_FLAGS],
-    )
+    """K2 + S11: flag totals, row and column counts of the silver table, as observed when it
+    was written."""
+    columns = F.lit(len(wh.table("silver_transactions").columns)).cast("bigint").alias("columns")
+    return metrics.stored(wh, "silver_transactions").select("rows", columns, *S.QUALITY_FLAGS)
 
 
 def check_categories(wh) -> DataFrame:
@@ -69,52 +73,37 @@ def category_counts(wh) -> DataFrame:
             .orderBy(F.col("rows").desc(), "line_category")
 
 
+def _sales(df: DataFrame, *others) -> DataFrame:
+    named = zip(metrics.SALES, ("gross_product_sales", "product_cancellations", "net_product_sales"))
+    return df.select(*others, *[rounded_money(c).alias(name) for c, name in named])
+
+
 def check_order_lines(wh) -> DataFrame:
-    """K5."""
-    f = wh.table("fact_order_lines")
-    return f.agg(
-        F.count(F.lit(1)).alias("rows"),
-        count_when(F.col("is_product_sale")).alias("product_sale_rows"),
-        count_when(F.col("is_product_cancellation")).alias("product_cancellation_rows"),
-        rounded_money(F.sum("gross_product_sales_value")).alias("gross_product_sales"),
-        rounded_money(F.sum("product_cancellation_value")).alias("product_cancellations"),
-        rounded_money(F.sum("net_product_sales_value")).alias("net_product_sales"),
-    )
+    """K5, as observed when the table was written."""
+    return _sales(metrics.stored(wh, "fact_order_lines"), "rows", "product_sale_rows", "product_cancellation_rows")
 
 
 def check_orders(wh) -> DataFrame:
-    """K6: order grain = distinct invoices of the lines, same totals."""
-    fo = wh.table("fact_orders")
+    """K6: order grain = distinct invoices of the lines, same totals; totals as observed when
+    the table was written, invoices counted on the stored lines."""
     lines = by_invoice(wh, lambda d: d.groupBy(S.INVOICE).agg(F.count(F.lit(1)).alias("n"))).agg(
         F.count(S.INVOICE).alias("expected_orders"))
-    o = fo.agg(
-        F.count(F.lit(1)).alias("orders"),
-        rounded_money(F.sum("gross_product_sales_value")).alias("gross_product_sales"),
-        rounded_money(F.sum("product_cancellation_value")).alias("product_cancellations"),
-        rounded_money(F.sum("net_product_sales_value")).alias("net_product_sales"))
-    # count(distinct) ignores a null invoice; the orders table keeps it as a group.
-    return o.crossJoin(F.broadcast(lines)).withColumn(
+    # count(column) ignores a null invoice; the orders table keeps it as a group.
+    return _sales(metrics.stored(wh, "fact_orders"), "orders").crossJoin(F.broadcast(lines)).withColumn(
         "grain_valid", F.col("orders") == F.col("expected_orders"))
 
 
 def check_customers(wh) -> DataFrame:
-    """K7."""
-    d = wh.table("dim_customers")
-    return d.agg(
-        F.count(F.lit(1)).alias("customers"),
-        F.countDistinct("customer_id").alias("distinct_customers"),
-        count_when(F.col("is_multi_country")).alias("multi_country_customers"),
-        F.min("first_activity_datetime").alias("first_activity"),
-        F.max("last_activity_datetime").alias("last_activity"),
-    ).withColumn("grain_valid", F.col("customers") == F.col("distinct_customers"))
+    """K7: one scan of the stored dimension counts its distinct ids."""
+    distinct = wh.table("dim_customers").agg(F.countDistinct("customer_id").alias("distinct_customers"))
+    return metrics.stored(wh, "dim_customers").crossJoin(F.broadcast(distinct)).select(
+        "customers", "distinct_customers", "multi_country_customers", "first_activity", "last_activity",
+        (F.col("customers") == F.col("distinct_customers")).alias("grain_valid"))
 
 
 def check_products(wh) -> DataFrame:
-    """K8."""
-    d = wh.table("dim_products")
-    return d.agg(
-        F.count(F.lit(1)).alias("products"),
-        F.countDistinct("stock_code").alias("distinct_stock_codes"),
-        count_when(F.col("product_description").isNull()).alias("missing_descriptions"),
-        count_when(F.col("distinct_descriptions") > 1).alias("multiple_description_codes"),
-    ).withColumn("grain_valid", F.col("products") == F.col("distinct_stock_codes"))
+    """K8: one scan of the stored dimension counts its distinct codes."""
+    distinct = wh.table("dim_products").agg(F.countDistinct("stock_code").alias("distinct_stock_codes"))
+    return metrics.stored(wh, "dim_products").crossJoin(F.broadcast(distinct)).select(
+        "products", "distinct_stock_codes", "missing_descriptions", "multiple_description_codes",
+        (F.col("products") == F.col("distinct_stock_codes")).alias("grain_valid"))

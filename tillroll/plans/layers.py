@@ -34,6 +34,11 @@ def silver(bronze: DataFrame, categories: DataFrame, parts: tuple[DataFrame, Dat
     no equal and the suspects (``repeat_suspects``).  Only suspects are shuffled."""
     alone, suspects = parts or repeat_suspects(bronze)
     counted = alone.withColumn("_repeats", F.lit(1).cast("bigint")).unionByName(with_repeat_count(suspects, "_repeats"))
+    return flagged(counted, categories)
+
+
+def flagged(counted: DataFrame, categories: DataFrame) -> DataFrame:
+    """The silver columns of bronze lines with ``_repeats``, the number of lines equal to each."""
     # the special-code table has a fixed 62 rows: bounded broadcast.
     ref = F.broadcast(categories.select(F.col("stock_code").alias("_ref_code"),
                                         F.col("category").alias("_ref_category")))

@@ -49,9 +49,9 @@ def kpi_executive(wh) -> DataFrame:
     )
 
 
-def _compute_monthly_orders(wh) -> DataFrame:
-    fo = wh.table("fact_orders")
-    return fo.groupBy(CAL.month_start("order_datetime").alias("month")).agg(
+def monthly_totals(orders: DataFrame) -> DataFrame:
+    """Exact totals of the orders of each month."""
+    return orders.groupBy(CAL.month_start("order_datetime").alias("month")).agg(
         _sum("gross_product_sales_value").alias("_gross"),
         _sum("product_cancellation_value").alias("_cancel"),
         _sum("net_product_sales_value").alias("_net"),
@@ -60,6 +60,10 @@ def _compute_monthly_orders(wh) -> DataFrame:
         purchasing_customers().alias("_customers"))
 
 
+def _compute_monthly_orders(wh) -> DataFrame:
+    return monthly_totals(wh.table("fact_orders"))
+
+
 def _monthly_orders(wh) -> DataFrame:
     """Exact monthly totals of the orders (one row per month), stored once:
     the four monthly reports read them."""
@@ -207,7 +211,11 @@ def business_kpis_long(wh) -> DataFrame:
 
 
 def monthly_performance(wh) -> DataFrame:
-    m = _monthly_orders(wh).select(
+    return _performance(_monthly_orders(wh))
+
+
+def _performance(totals: DataFrame) -> DataFrame:
+    m = totals.select(
         "month", rounded_money("_gross").alias("gross_product_sales"),
         rounded_money("_cancel").alias("product_cancellations"),
         rounded_money("_net").alias("net_product_sales"),

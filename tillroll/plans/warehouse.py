@@ -15,11 +15,11 @@ import threading
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
-from tillroll.plans import layers
+from tillroll.plans import layers, metrics
 from tillroll.session import delete_folder, list_folders, materialize, read_pointer, storage_root, write_pointer
 from tillroll.sources import fixture_map
 from tillroll.sources.periods import ingest, read_period, type_period
@@ -201,6 +201,28 @@ class Warehouse:
         parts = self._parts.get("fact_order_lines", [self._tables["fact_order_lines"]])
         return reduce(DataFrame.unionByName, [per_invoice(p) for p in parts])
 
+    def metrics(self, name: str) -> DataFrame | None:
+        """The metrics observed when a table was written, merged to one row; None if tables
+        are not stored."""
+        self.table(name)
+        if not self.materialize:
+            return None
+        path = read_pointer(self.spark, os.path.join(self.root, f"{name}.current"))
+        return metrics.merged(name, self.spark.read.parquet(f"{path}-metrics"))
+
+    def _write_observed(self, name: str, df: DataFrame, path: str, write) -> None:
+        """``write(df)`` and, beside the table, the metrics observed meanwhile: on the last
+        step before the files, so a task that ran again counts once."""
+        if name not in metrics.OBSERVED:
+            write(df)
+            return
+        seen = Observation()
+        write(df.observe(seen, *metrics.aggregates(name)))
+        schema = metrics.measured(name, df).schema
+        values = seen.get
+        row = self.spark.createDataFrame([tuple(values[f.name] for f in schema.fields)], schema)
+        row.coalesce(1).write.mode("append").parquet(f"{path}-metrics")
+
     def _hot_keys(self, df: DataFrame, key: str, buckets: int) -> DataFrame:
         """The keys with more lines than a bucket's share / ``HOT_SHARE``: at most
         ``HOT_SHARE * buckets`` of them."""
@@ -219,10 +241,11 @@ class Warehouse:
         if some:
             mark = F.broadcast(hot.withColumnRenamed(key, "_key"))  # at most HOT_SHARE * buckets rows
             same = F.col(key).eqNullSafe(F.col("_key"))
-            df.join(mark, same, "left_semi").write.parquet(os.path.join(path, "hot"))
+            self._write_observed(name, df.join(mark, same, "left_semi"), path, lambda x: x.write.parquet(os.path.join(path, "hot")))
             lines = df.join(mark, same, "left_anti")
-        (lines.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-         .option("path", os.path.join(path, "lines")).saveAsTable(_catalog_name(path)))
+        self._write_observed(name, lines.repartition(buckets, key), path, lambda x: (
+            x.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+            .option("path", os.path.join(path, "lines")).saveAsTable(_catalog_name(path))))
         return path
 
     def _read_buckets(self, name: str, path: str) -> DataFrame:
@@ -259,12 +282,8 @@ class Warehouse:
                 # rebalance keeps files even where a month is large
                 df = df.withColumn(self.MONTH_COL, F.trunc(F.col(self.BY_MONTH[name]).cast("date"), "month"))
                 df = df.hint("rebalance", self.MONTH_COL).sortWithinPartitions(self.MONTH_COL, self.BY_MONTH[name])
-            writer = df.write
-            if name == "landing":
-                writer = writer.partitionBy(fixture_map.RAW_PERIOD_COL)
-            elif name in self.BY_MONTH:
-                writer = writer.partitionBy(self.MONTH_COL)
-            writer.parquet(path)
+            folders = fixture_map.RAW_PERIOD_COL if name == "landing" else self.MONTH_COL if name in self.BY_MONTH else None
+            self._write_observed(name, df, path, lambda x: (x.write.partitionBy(folders) if folders else x.write).parquet(path))
             write_pointer(self.spark, pointer, path)
         if name in self.BY_INVOICE:
             return self._read_buckets(name, path)

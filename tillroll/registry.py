@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.oracle.base import with_ctes
-from tillroll.plans import audit, checks, customers, exports, sales, scope, tables
+from tillroll.plans import audit, checks, customers, exports, incremental, sales, scope, tables
 from tillroll.plans.warehouse import Warehouse
 
-PLAN_MODULES = [tables, sales, customers, scope, checks, exports, audit]
+PLAN_MODULES = [tables, sales, customers, scope, checks, exports, audit, incremental]
 
 
 def _oracle_modules():
