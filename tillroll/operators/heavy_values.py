@@ -54,13 +54,17 @@ def summary(df: DataFrame, value_col: str, counters: int = COUNTERS) -> DataFram
 def top_heavy_values(df: DataFrame, value_col: str, n: int, count_col: str = "rows", counters: int = COUNTERS) -> DataFrame:
     """``top_values(df, value_col, n)`` of a string column: the same rows, ties by value."""
     found = materialize(summary(df, value_col, counters))
-    error = found.agg(F.coalesce(F.sum("taken"), F.lit(0))).first()[0]
     counts = found.where("taken is null").groupBy("value").agg(F.sum("n").alias("n"))
-    nth = [r["n"] for r in counts.orderBy(F.col("n").desc()).limit(n).select("n").collect()]  # n rows
-    least = nth[-1] if len(nth) == n else 0
-    if error and least <= error:
+    # the n largest counters, and one row of totals
+    facts = counts.select("n", F.lit(None).cast("long").alias("error")).orderBy(F.col("n").desc()).limit(n).union(
+        found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("taken"), F.lit(0)))).collect()
+    total, error = next((r["n"], r["error"]) for r in facts if r["error"] is not None)
+    nth = [r["n"] for r in facts if r["error"] is None]
+    least = min(nth) - error if len(nth) == n else -error
+    if error and least <= 0:
         return top_values(df, value_col, n, count_col=count_col)
-    candidates = counts.where(F.col("n") + F.lit(error) >= least).select(F.col("value").alias("_value"))
-    # counters of all tasks: checked before they are sent
-    sent = F.broadcast(candidates) if candidates.count() <= BROADCAST_ROWS else candidates
+    candidates = counts.where(F.col("n") >= least).select(F.col("value").alias("_value"))
+    # counters of at least this much are no more than total / least
+    few = total <= BROADCAST_ROWS * max(least, 1)
+    sent = F.broadcast(candidates) if few else candidates
     return top_values(df.join(sent, F.col(value_col).eqNullSafe(F.col("_value")), "left_semi"), value_col, n, count_col=count_col)

@@ -99,6 +99,6 @@ def repeat_filter(df: DataFrame, columns: list[str], most_cells: int = MOST_CELL
     pages = (df.select(F.xxhash64(*columns).alias("h")).mapInArrow(count, "page int, once binary, more binary")
              .repartition("page").sortWithinPartitions("page").mapInArrow(merge, "page int, data binary"))
     counts = np.zeros(-(-2 * width // PAGE) * PAGE // 4, np.uint8)
-    for row in pages.toLocalIterator():  # at most 2 * MOST_CELLS / 4 bytes
+    for row in pages.collect():  # at most 2 * MOST_CELLS / 4 bytes
         counts[row["page"] * PAGE // 4:(row["page"] + 1) * PAGE // 4] = np.frombuffer(row["data"], np.uint8)
     return RepeatFilter(tuple(columns), width, df.sparkSession.sparkContext.broadcast(counts))

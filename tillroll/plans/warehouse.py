@@ -9,6 +9,7 @@ The storage folder is a fresh sub-folder of the cluster's
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import threading
@@ -208,33 +209,35 @@ class Warehouse:
         if not self.materialize:
             return None
         path = read_pointer(self.spark, os.path.join(self.root, f"{name}.current"))
-        return metrics.merged(name, self.spark.read.parquet(f"{path}-metrics"))
+        parts = [json.loads(line) for line in read_pointer(self.spark, f"{path}.metrics").splitlines()]
+        rows = [self.spark.range(1).select(*[F.lit(value).cast(kind).alias(c) for c, (value, kind) in part.items()]) for part in parts]
+        return metrics.merged(name, reduce(DataFrame.unionByName, rows))
 
     def _write_observed(self, name: str, df: DataFrame, path: str, write) -> None:
-        """``write(df)`` and, beside the table, the metrics observed meanwhile: on the last
-        step before the files, so a task that ran again counts once."""
+        """``write(df)`` and, beside the table, the metrics observed meanwhile (a line of
+        text a part): on the last step before the files, so a task that ran again counts once."""
         if name not in metrics.OBSERVED:
             write(df)
             return
         seen = Observation()
         write(df.observe(seen, *metrics.aggregates(name)))
-        schema = metrics.measured(name, df).schema
-        values = seen.get
-        row = self.spark.createDataFrame([tuple(values[f.name] for f in schema.fields)], schema)
-        row.coalesce(1).write.mode("append").parquet(f"{path}-metrics")
-
-    def _hot_keys(self, df: DataFrame, key: str, buckets: int) -> DataFrame:
-        """The keys with more lines than a bucket's share / ``HOT_SHARE``: at most
-        ``HOT_SHARE * buckets`` of them."""
-        counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")))
-        total = counts.agg(F.sum("_n").alias("_all"))
-        return materialize(counts.crossJoin(F.broadcast(total)).where(F.col("_n") * self.HOT_SHARE * buckets > F.col("_all")).select(key))
+        kinds, values = metrics.measured(name, df).schema, seen.get
+        line = json.dumps({f.name: [None if values[f.name] is None else str(values[f.name]), f.dataType.simpleString()] for f in kinds.fields})
+        before = read_pointer(self.spark, f"{path}.metrics")
+        write_pointer(self.spark, f"{path}.metrics", f"{before}\n{line}" if before else line)
+
+    def _hot_keys(self, df: DataFrame, key: str, rows: int, buckets: int) -> DataFrame:
+        """The keys with more lines than a bucket's share / ``HOT_SHARE`` of ``rows``: fewer
+        than ``HOT_SHARE * buckets`` of them."""
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        return materialize(counts.where(F.col("_n") * self.HOT_SHARE * buckets > rows).select(key))
 
     def _write_buckets(self, name: str, df: DataFrame, path: str, buckets: int) -> str:
         """Lines in buckets (one file each, by a catalog table) and the lines of the large
         invoices in a folder of their own; returns the folder, which says what it holds."""
         key = self.BY_INVOICE[name]
-        hot = self._hot_keys(self.table("silver_transactions"), key, buckets)
+        rows = self.metrics("silver_transactions").first()["rows"]
+        hot = self._hot_keys(self.table("silver_transactions"), key, rows, buckets)
         some = hot.count() > 0
         path = f"{path}-b{buckets}{'-hot' if some else ''}"
         lines = df
