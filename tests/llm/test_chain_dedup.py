@@ -182,3 +182,66 @@ def test_runs_of_seeds():
     assert both and all(found[0][x] == (found[1][x][0] + 26, found[1][x][1]) for x in both)
     assert not len(m.runs_of(np.arange(50), np.full(50, 7, np.uint64), 40, S)[0])
     assert not len(m.runs_of(np.empty(0, np.int64), np.empty(0, np.uint64), 40, S)[0])
+
+
+def test_thinned_matches_keep_every_diagonal():
+    rnd = np.random.default_rng(12)
+    for _ in range(200):
+        runs = [(int(rnd.integers(0, 900)), int(rnd.integers(0, 900)), int(rnd.integers(1, 120))) for _ in range(int(rnd.integers(1, 6)))]
+        p, q = np.unique(np.concatenate([np.stack([a + np.arange(0, n, 2), b + np.arange(0, n, 2)]) for a, b, n in runs], axis=1), axis=1)
+        keep = m.thinned(p, q, 20)
+        full, few = {}, {}
+        for x, y in zip(p.tolist(), q.tolist()):
+            full.setdefault(y - x, []).append(x)
+        for x, y in zip(p[keep].tolist(), q[keep].tolist()):
+            few.setdefault(y - x, []).append(x)
+        for line, places in full.items():
+            places, kept = sorted(places), sorted(few[line])
+            assert kept[0] == places[0] and kept[-1] == places[-1] and set(kept) <= set(places)
+            # every match lies near a kept one, on either side unless it is an end of its run
+            assert all(min(abs(x - k) for k in kept) <= 20 for x in places)
+            runs_kept = sum(b - a > 20 for a, b in zip(kept, kept[1:]))
+            assert runs_kept <= sum(b - a > 20 for a, b in zip(places, places[1:])) + 2 * len(kept)
+
+
+def test_passages_longer_than_the_blocks_around_their_seeds(spark, monkeypatch):
+    """Only the middle of a long copy has seeds of its source; its ends are found by growing."""
+    monkeypatch.setattr(m, "MARGIN", 16)
+    rnd = random.Random(13)
+    some = lambda n: [f"w{rnd.randint(0, 10**9)}" for _ in range(n)]
+    copy = some(2400)
+    rows = [(1, copy[:1100] + some(30)), (2, copy[1200:] + some(30)), (5, some(300) + copy + some(200)), (7, some(40) + copy + some(10))]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["source_doc_id"]): (r["start"], r["end"], r["source_start"], r["source_end"])
+           for r in m.repeated_passages(docs).collect()}
+    assert got[7, 5] == (40, 2440, 300, 2700) and got[5, 1] == (300, 1400, 0, 1100) and got[5, 2] == (1500, 2700, 0, 1200)
+
+
+def test_share_of_pieces_that_stand_elsewhere(spark):
+    """Passages of 80 words of which every n-th word is changed, and of whose six-word pieces
+    a share stands in earlier documents of their own."""
+    rnd = random.Random(14)
+    some = lambda n: [f"w{rnd.randint(0, 10**9)}" for _ in range(n)]
+    share_found = {}
+    for held in (0.0, 0.5, 1.0):
+        rows, want, at = [], {}, 0
+        for every in (20, 10, 8):
+            for _ in range(12):
+                passage = some(80)
+                for i in range(75):
+                    if rnd.random() < held:
+                        rows.append((at, some(8) + passage[i:i + 6] + some(8)))
+                        at += 1
+                changed = [f"c{rnd.randint(0, 10**9)}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+                rows += [(at, some(20) + passage + some(20)), (at + 1, some(25) + changed + some(15))]
+                want[at + 1] = every
+                at += 2
+        docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+        words_found = {}
+        for r in m.repeated_passages(docs).where(f"source_doc_id = doc_id - 1").collect():
+            words_found.setdefault(r["doc_id"], set()).update(range(max(25, r["start"]), min(105, r["end"])))
+        for every in (20, 10, 8):
+            own = [d for d, e in want.items() if e == every]
+            share_found[held, every] = sum(len(words_found.get(d, ())) for d in own) / (80 * len(own))
+    print({k: round(v, 2) for k, v in share_found.items()})
+    assert all(v >= 0.9 for (held, every), v in share_found.items() if held < 1 or every > 8), share_found

@@ -7,9 +7,11 @@ place there - a star, linear in the seed's frequency.  Runs of neighbouring seed
 ``between`` and of ``least_words`` words, do the same as wholes: a passage whose seeds
 first stand elsewhere, in several documents, meets the first one that holds it.  The seeds that a document shares with an earlier one
 are chained in order of place on both sides; a Fenwick tree over places in the earlier
-document gives the best predecessor under a linear gap cost.  Chains are extended and
-aligned word by word on the texts; aligned passages that are long and alike enough are
-reported with their place in both documents."""
+document gives the best predecessor under a linear gap cost.  Matches of
+one diagonal are thinned first.  Chains are extended and aligned on word hashes: a chain
+meets the blocks of its source around it, and the whole source only if it grows beyond
+them.  Aligned passages that are long and alike enough are reported with their place in
+both documents."""
 
 from __future__ import annotations
 
@@ -21,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shingles import mix, windows, word_hashes, words
-from tillroll.llm.store import fresh_name, if_few, rewritten, stored
+from tillroll.llm.shingles import mix, windows, word_hashes
+from tillroll.llm.store import drop_stored, fresh_name, if_few, rewritten, stored, tidy
 
 
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -37,7 +39,7 @@ class Settings:
     least_words: int = 40     # of a passage
     least_alike: float = 0.8  # words aligned, of the longer side
     gap_cost: float = 0.05    # a word skipped, on either side
-    between: int = 12         # words of the shorter runs of seeds
+    between: int = 7          # words of the shorter runs of seeds
     drop: int = 6             # extension stops when the score falls so far below its best
 
 
@@ -120,9 +122,10 @@ def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
     return out
 
 
-def _extend(a: list, b: list, i: int, j: int, step: int, s: Settings) -> int:
+def _extend(a: list, b: list, i: int, j: int, step: int, s: Settings, ends: set | None = None) -> int:
     """Words by which a passage grows from a[i], b[j] on in direction ``step``: +1 a
-    word that agrees, -2 one that doesn't, up to the best sum."""
+    word that agrees, -2 one that doesn't, up to the best sum.  ``ends`` gets the direction
+    if nothing but the end of ``b`` stopped it."""
     total = best = far = n = 0
     while 0 <= i < len(a) and 0 <= j < len(b) and total > best - s.drop:
         total += 1 if a[i] == b[j] else -2
@@ -130,6 +133,8 @@ def _extend(a: list, b: list, i: int, j: int, step: int, s: Settings) -> int:
         if total > best:
             best, far = total, n
         i, j = i + step, j + step
+    if ends is not None and 0 <= i < len(a) and total > best - s.drop:
+        ends.add(step)
     return far
 
 
@@ -148,7 +153,7 @@ def aligned(a: list, b: list) -> int:
 
 
 def _seeds(docs: DataFrame, s: Settings) -> DataFrame:
-    """(seed, doc_id, row, at, span): one row a kept place; span 0."""
+    """(seed, doc_id, row, at): one row a kept place."""
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
@@ -159,23 +164,27 @@ def _seeds(docs: DataFrame, s: Settings) -> DataFrame:
                     seed.append(h.view(np.int64))
                     at.append(p)
                     doc.append(np.full(len(h), d, np.int64))
-                    row.append(np.full(len(h), r, np.int64))
-                flat = [np.concatenate(x).astype(t) for x, t in ((seed, np.int64), (doc, np.int64), (row, np.int64), (at, np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*flat, np.zeros(len(flat[0]), np.int32))], _PLACE)
+                    row.append(np.full(len(h), r, np.int32))
+                flat = [np.concatenate(x).astype(t) for x, t in ((seed, np.int64), (doc, np.int64), (row, np.int32), (at, np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], _PLACE)
 
-    return docs.mapInArrow(run, "seed long, doc_id long, row long, at int, span int")
+    return docs.select("doc_id", "text", "row").mapInArrow(run, "seed long, doc_id long, row int, at int")
 
 
-_PLACE = ["seed", "doc_id", "row", "at", "span"]
+_PLACE = ["seed", "doc_id", "row", "at"]
+_SMALL = ("row", "at", "span", "r0", "at0")   # columns of 32 bits
 
 
 def _met(places: DataFrame) -> DataFrame:
     """Those places of seeds (or of runs) that several documents hold, each with the
     first place of the smallest document (d0, r0, at0).  Sorted places pass by; only those
     of a seed's first document are held until a second one comes."""
+    names = places.columns
+    types = [f"{c} {'int' if c in _SMALL else 'long'}" for c in (*names, "d0", "r0", "at0")]
+
     def run(batches):
-        held = [np.empty(0, np.int64)] * 5     # the last seed's places, while it has one document
-        last = None                            # (seed, d0, r0, at0) of a seed that has more
+        held = [np.empty(0, np.int64)] * len(names)  # the last seed's places, while it has one document
+        last = None                                  # (seed, d0, r0, at0) of a seed that has more
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -194,11 +203,10 @@ def _met(places: DataFrame) -> DataFrame:
             held = [x[end:] for x in cols]
             keep = np.flatnonzero(many[group[:end]])
             out = [x[keep] for x in cols] + [x[group[keep]] for x in first]
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if k in (3, 4, 7) else x) for k, x in enumerate(out)],
-                                             [*_PLACE, "d0", "r0", "at0"])
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if c in _SMALL else x) for c, x in zip((*names, "d0", "r0", "at0"), out)],
+                                             [*names, "d0", "r0", "at0"])
 
-    return (places.repartition("seed").sortWithinPartitions("seed", "doc_id", "row", "at")
-            .mapInArrow(run, "seed long, doc_id long, row long, at int, span int, d0 long, r0 long, at0 int"))
+    return (places.repartition("seed").sortWithinPartitions("seed", "doc_id", "row", "at").mapInArrow(run, ", ".join(types)))
 
 
 def _runs(places: DataFrame, s: Settings) -> DataFrame:
@@ -215,7 +223,7 @@ def _runs(places: DataFrame, s: Settings) -> DataFrame:
                 i, key, far = runs_of(p, h, least, s)
                 parts.append((key.view(np.int64), np.full(len(i), doc[a]), np.full(len(i), row[a]), p[i], far))
         flat = [np.concatenate(x) for x in zip(*parts)]
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if k > 2 else x) for k, x in enumerate(flat)], _PLACE)
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if k > 1 else x) for k, x in enumerate(flat)], [*_PLACE, "span"])
 
     def run(batches):
         held = [np.empty(0, np.int64)] * 4  # the last document's
@@ -232,48 +240,71 @@ def _runs(places: DataFrame, s: Settings) -> DataFrame:
             yield made(held)
 
     return (places.select("doc_id", "row", "at", "seed").repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "at")
-            .mapInArrow(run, "seed long, doc_id long, row long, at int, span int"))
+            .mapInArrow(run, "seed long, doc_id long, row int, at int, span int"))
+
+
+def thinned(p: np.ndarray, q: np.ndarray, step: int) -> np.ndarray:
+    """Indices of the matches that stand for all: of matches on one diagonal that follow each
+    other by ``step`` words at most, the first, the last and one every ``step`` words."""
+    order = np.lexsort((p, q - p))
+    a, line = p[order], (q - p)[order]
+    new = np.r_[True, (np.diff(line) != 0) | (np.diff(a) > step)]
+    first = np.flatnonzero(new)
+    begin = a[first][np.cumsum(new) - 1]
+    keep = new | np.r_[new[1:], True] | np.r_[True, np.diff((a - begin) // step) != 0]
+    return np.sort(order[keep])
 
 
 def _chained(shared: DataFrame, s: Settings) -> DataFrame:
     """(doc_id, row, matches) → (doc_id, row, d0, r0, found): chains per earlier
     document, best first, each as its seeds' places here and there."""
+    # a step of so many words between matches on one diagonal costs half of what a seed gains
+    step = max(s.k, int(s.k / (4 * s.gap_cost)))
+
     def run(batches):
         for batch in batches:
             rows = []
             for k in range(batch.num_rows):
                 doc, row = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
                 m = batch.column(2)[k].values
-                d0, r0, at, at0, span = (m.field(x).to_numpy() for x in ("d0", "r0", "at", "at0", "span"))
+                d0, r0, at, at0, span = (m.field(x).to_numpy().astype(np.int64) for x in ("d0", "r0", "at", "at0", "span"))
                 run = span > 0  # its first and its last seed
                 d0, r0 = (np.concatenate([x, x[run]]) for x in (d0, r0))
                 at, at0 = (np.concatenate([x, x[run] + span[run]]) for x in (at, at0))
                 order = np.lexsort((at0, at, r0, d0))
                 cut = np.flatnonzero((np.diff(d0[order]) != 0) | (np.diff(r0[order]) != 0)) + 1
-                for own in np.split(order, cut):
-                    p, q = np.unique(np.stack([at[own], at0[own]]).astype(np.int64), axis=1)
+                for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(order)]):
+                    if b - a < s.least_seeds:
+                        continue
+                    own = order[a:b]
+                    p, q = np.unique(np.stack([at[own], at0[own]]), axis=1)
+                    if len(p) < s.least_seeds:
+                        continue
+                    keep = thinned(p, q, step)
+                    p, q = p[keep], q[keep]
                     found = [{"at": p[c].tolist(), "at0": q[c].tolist()} for c in chains(p, q, s) if len(c) >= s.least_seeds]
                     if found:
                         rows.append((doc, row, int(d0[own[0]]), int(r0[own[0]]), found))
             cols = list(zip(*rows)) or [()] * 5
             chain = pa.list_(pa.struct([("at", pa.list_(pa.int32())), ("at0", pa.list_(pa.int32()))]))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (*[pa.int64()] * 4, chain))],
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), chain))],
                                              ["doc_id", "row", "d0", "r0", "found"])
 
-    return shared.mapInArrow(run, "doc_id long, row long, d0 long, r0 long, "
+    return shared.mapInArrow(run, "doc_id long, row int, d0 long, r0 int, "
                                   "found array<struct<at:array<int>,at0:array<int>>>")
 
 
-def passages_of(here: list, there: list, at: list[int], at0: list[int], s: Settings) -> list[tuple[int, ...]]:
+def passages_of(here: list, there: list, at: list[int], at0: list[int], s: Settings,
+                ends: set | None = None) -> list[tuple[int, ...]]:
     """(start, end, start0, end0, words aligned) of the alike stretches of a chain.  A
-    chain that isn't alike as a whole is split at its widest gap."""
+    chain that isn't alike as a whole is split at its widest gap.  ``ends``: see ``_extend``."""
     out, todo = [], [(0, len(at))]
     while todo:
         i, j = todo.pop()
         if j - i < s.least_seeds or any(a <= at[i] and at[j - 1] + s.k <= b for a, b, *_ in out):
             continue
-        left = _extend(here, there, at[i] - 1, at0[i] - 1, -1, s)
-        right = _extend(here, there, at[j - 1] + s.k, at0[j - 1] + s.k, 1, s)
+        left = _extend(here, there, at[i] - 1, at0[i] - 1, -1, s, ends)
+        right = _extend(here, there, at[j - 1] + s.k, at0[j - 1] + s.k, 1, s, ends)
         a, b, c, d = at[i] - left, at[j - 1] + s.k + right, at0[i] - left, at0[j - 1] + s.k + right
         longer = max(b - a, d - c)
         if longer < s.least_words:
@@ -289,31 +320,96 @@ def passages_of(here: list, there: list, at: list[int], at0: list[int], s: Setti
     return out
 
 
+#: Words of a document that travel as one row of hashes, and those asked for around a chain.
+BLOCK_WORDS, MARGIN = 256, 256
+
+
+def _blocks_of(docs: DataFrame) -> DataFrame:
+    """(d0, r0, block, words, all): the word hashes of texts in blocks; ``all``: the text's words."""
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                b, rows = batch.slice(begin, 256), ([], [], [], [], [])
+                for doc, text, row in zip(*(b.column(k).to_pylist() for k in range(3))):
+                    h = word_hashes(text).view(np.int64)
+                    for at in range(0, len(h), BLOCK_WORDS):
+                        for held, x in zip(rows, (doc, row, at // BLOCK_WORDS, h[at:at + BLOCK_WORDS], len(h))):
+                            held.append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32()))],
+                                                 ["d0", "r0", "block", "words", "all"])
+
+    return docs.select("doc_id", "text", "row").mapInArrow(run, "d0 long, r0 int, block int, words array<long>, all int")
+
+
+_FOUND = "start int, end int, source_start int, source_end int, n_aligned int"
+
+
 def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
-    """Aligns the chains of (doc_id, row, d0, r0, found, text, text0)."""
+    """Aligns the chains of (doc_id, row, text, sources array of (d0, r0, found, blocks)):
+    (doc_id, row, d0, r0, passages, cut); ``cut``: nothing but the end of
+    the blocks that are here stopped a passage, and the earlier text goes on, so more of it
+    is needed."""
+    kind = pa.struct([(x.split()[0], pa.int32()) for x in _FOUND.split(", ")])
+
+    def aligned_with(here: list, source: dict) -> tuple[list, bool]:
+        rows, done, cut = [], [], False
+        blocks = {x["block"]: x["words"] for x in source["blocks"]}
+        size = source["blocks"][0]["all"]
+        for x in source["found"]:
+            if any(a <= x["at"][0] and x["at"][-1] + s.k <= b for a, b in done):
+                continue  # within a passage already found in this document
+            first, last = x["at0"][0] // BLOCK_WORDS, (x["at0"][-1] + s.k - 1) // BLOCK_WORDS
+            while first - 1 in blocks:
+                first -= 1
+            while last + 1 in blocks:
+                last += 1
+            there = [w for k in range(first, last + 1) for w in blocks[k]]
+            offset, ends = first * BLOCK_WORDS, set()
+            for a, b, c, d, same in passages_of(here, there, x["at"], [y - offset for y in x["at0"]], s, ends):
+                done.append((a, b))
+                rows.append({"start": a, "end": b, "source_start": c + offset, "source_end": d + offset, "n_aligned": same})
+            cut = cut or (-1 in ends and offset > 0) or (1 in ends and offset + len(there) < size)
+        return rows, cut
+
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 32):
                 part, rows = batch.slice(begin, 32), []
-                for k in range(part.num_rows):
-                    doc, row, d0, r0, found, text, text0 = (part.column(j)[k].as_py() for j in range(7))
-                    here, there = words(text), words(text0)
-                    done: list[tuple[int, int]] = []
-                    for x in found:
-                        if any(a <= x["at"][0] and x["at"][-1] + s.k <= b for a, b in done):
-                            continue  # within a passage already found in this document
-                        for a, b, c, d, same in passages_of(here, there, x["at"], x["at0"], s):
-                            done.append((a, b))
-                            rows.append((doc, row, a, b, d0, r0, c, d, same))
-                cols = list(zip(*rows)) or [()] * 9
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)],
-                                                 ["doc_id", "row", "start", "end", "source_doc_id", "source_row",
-                                                  "source_start", "source_end", "n_aligned"])
-
-    return pairs.select("doc_id", "row", "d0", "r0", "found", "text", "text0").mapInArrow(
-        run, "doc_id long, row long, start int, end int, source_doc_id long, source_row long, source_start int, "
-             "source_end int, n_aligned int")
+                for doc, row, text, sources in zip(*(part.column(j).to_pylist() for j in range(4))):
+                    here = word_hashes(text).view(np.int64).tolist()
+                    for source in sources:
+                        found, cut = aligned_with(here, source)
+                        if found or cut:
+                            rows.append((doc, row, source["d0"], source["r0"], found, cut))
+                cols = list(zip(*rows)) or [()] * 6
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(kind), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["doc_id", "row", "d0", "r0", "passages", "cut"])
+
+    return pairs.select("doc_id", "row", "text", "sources").mapInArrow(
+        run, f"doc_id long, row int, d0 long, r0 int, passages array<struct<{_FOUND.replace(' int', ':int')}>>, cut boolean")
+
+
+def _aligned(found: DataFrame, docs: DataFrame, blocks: DataFrame, whole: bool, s: Settings) -> DataFrame:
+    """The passages of ``found`` (chains): each chain meets the blocks of its source around it
+    (or all), and the chains of a document meet its text, in place if they are few."""
+    def block(x):
+        return F.floor(x / BLOCK_WORDS).cast("int")
+
+    begin, end = (lambda c: F.lit(0)), (lambda c: F.lit(2**31 - 1))
+    if not whole:
+        begin = lambda c: F.greatest(F.element_at(c["at0"], 1) - MARGIN, F.lit(0))
+        end = lambda c: F.element_at(c["at0"], -1) + MARGIN + s.k
+    asked = found.select("doc_id", "row", "d0", "r0", F.explode("found").alias("c")).select(
+        "doc_id", "row", "d0", "r0", block(begin(F.col("c"))).alias("low"), block(end(F.col("c"))).alias("high"))
+    if whole:
+        met = asked.select("doc_id", "row", "d0", "r0").distinct().join(blocks, ["d0", "r0"])
+    else:
+        asked = asked.select("doc_id", "row", "d0", "r0", F.explode(F.sequence("low", "high")).alias("block")).distinct()
+        met = asked.join(blocks, ["d0", "r0", "block"])
+    held = met.groupBy("doc_id", "row", "d0", "r0").agg(F.collect_list(F.struct("block", "words", "all")).alias("blocks"))
+    sources = (found.join(held, ["doc_id", "row", "d0", "r0"]).groupBy("doc_id", "row")
+               .agg(F.collect_list(F.struct("d0", "r0", "found", "blocks")).alias("sources")))
+    return _passages(docs.select("doc_id", "row", "text").dropDuplicates(["doc_id", "row"]).join(sources, ["doc_id", "row"]), s)
 
 
 def row_key(text_col: str = "text"):
@@ -334,18 +430,49 @@ def repeated_passages(docs: DataFrame, settings: Settings = Settings(),
     same passages.  An empty table gives an empty one; other columns are not read."""
     s = settings
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       row_key(text_col).alias("row")).where("doc_id is not null")
+                       row_key(text_col).alias("hash")).where("doc_id is not null")
+    docs, ranks = _ranked(docs)
+    spark = docs.sparkSession
     seeds = stored(_met(_seeds(docs, s)), "seeds-shared")
+    tidy(spark)
     runs = stored(_met(_runs(seeds, s)).where("doc_id > d0").drop("seed"), "runs-shared")
     # equal rows give equal seeds, so each is one document here
-    shared = (seeds.where("doc_id > d0").drop("seed").union(runs)
+    shared = (seeds.where("doc_id > d0").drop("seed").withColumn("span", F.lit(0)).unionByName(runs)
               .groupBy("doc_id", "row").agg(F.collect_set(F.struct("d0", "r0", "at", "at0", "span")).alias("matches")))
     found = stored(_chained(shared, s), "chains")
-    needed = stored(found.select("doc_id", "row").union(found.select("d0", "r0")).distinct(), "chain-docs")
-    texts = stored(docs.join(if_few(needed), ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"]), "chain-texts")
-    pairs = (found.join(texts, ["doc_id", "row"])
-             .join(texts.select(F.col("doc_id").alias("d0"), F.col("row").alias("r0"), F.col("text").alias("text0")), ["d0", "r0"]))
-    return _passages(pairs, s)
+    drop_stored(seeds, runs)
+    tidy(spark)
+    used = stored(found.select(F.col("d0").alias("doc_id"), F.col("r0").alias("row")).distinct(), "chain-sources")
+    texts = docs.select("doc_id", "row", "text")
+    blocks = stored(_blocks_of(texts.join(if_few(used), ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"])), "chain-blocks")
+    later = stored(found.select("doc_id", "row").distinct(), "chain-docs")
+    needed = texts.join(if_few(later), ["doc_id", "row"], "left_semi")
+    first = stored(_aligned(found, needed, blocks, False, s), "passages")
+    pair = ["doc_id", "row", "d0", "r0"]
+    again = found.join(stored(first.where("cut").select(*pair), "passages-cut"), pair, "left_semi")
+    whole = stored(_aligned(again, needed, blocks, True, s), "passages-whole")
+    drop_stored(blocks, found)
+    tidy(spark)
+    out = first.where("not cut").union(whole).select(*pair, F.inline("passages"))
+    return _named(out, ranks)
+
+
+def _ranked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``row``, the rank of a text among those of its id (0: the only one),
+    in place of its hash, and the table of (doc_id, hash, row)."""
+    names = stored(docs.select("doc_id", "hash").distinct(), "chain-ids")
+    several = stored(names.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes")).where("size(hashes) > 1")
+                     .select("doc_id", F.posexplode(F.array_sort("hashes")).alias("row", "hash")), "chain-rows")
+    ranks = names.join(if_few(several), ["doc_id", "hash"], "left").withColumn("row", F.coalesce("row", F.lit(0)))
+    return docs.join(if_few(several), ["doc_id", "hash"], "left").select("doc_id", "text", F.coalesce("row", F.lit(0)).alias("row")), ranks
+
+
+def _named(passages: DataFrame, ranks: DataFrame) -> DataFrame:
+    here = ranks.select("doc_id", "row", F.col("hash").alias("own"))
+    there = ranks.select(F.col("doc_id").alias("d0"), F.col("row").alias("r0"), F.col("hash").alias("source_row"))
+    return (passages.join(here, ["doc_id", "row"]).join(there, ["d0", "r0"])
+            .select("doc_id", F.col("own").alias("row"), "start", "end", F.col("d0").alias("source_doc_id"), "source_row",
+                    "source_start", "source_end", "n_aligned"))
 
 
 def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pathlib
 import tempfile
 import uuid
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.session import checkpoint_dir
+from tillroll.session import checkpoint_dir, delete_folder
 
 
 def ship(spark: SparkSession) -> None:
@@ -43,7 +44,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tillroll-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_in = path  # for drop_stored
+    return out
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete the folders of ``stored`` tables that every reader is done with (that is,
+    has been stored itself)."""
+    for t in tables:
+        delete_folder(t.sparkSession, t._stored_in)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of finished writes now, not when the driver next
+    happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def shuffle_width(spark: SparkSession) -> int:
