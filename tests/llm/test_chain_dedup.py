@@ -245,3 +245,28 @@ def test_share_of_pieces_that_stand_elsewhere(spark):
             share_found[held, every] = sum(len(words_found.get(d, ())) for d in own) / (80 * len(own))
     print({k: round(v, 2) for k, v in share_found.items()})
     assert all(v >= 0.9 for (held, every), v in share_found.items() if held < 1 or every > 8), share_found
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    rnd = np.random.default_rng(15)
+    for _ in range(60):
+        texts = [rnd.integers(0, 6 if rnd.random() < 0.3 else 2**64, int(rnd.choice([0, 1, 3, 4, 5, 6, 7, 8, 30])), dtype=np.uint64)
+                 for _ in range(int(rnd.integers(0, 12)))]
+        text, at, h = m.seeds_of_many(texts, S)
+        for k, x in enumerate(texts):
+            p, own = m.seeds_of(x, S)
+            assert at[text == k].tolist() == p.tolist() and h[text == k].tolist() == own.tolist()
+
+
+def test_chains_on_one_line_equal_those_of_the_tree():
+    rnd = random.Random(16)
+    for _ in range(300):
+        n = rnd.randint(2, 30)
+        places = sorted(rnd.sample(range(900), n))
+        p = np.array(places)
+        q = p + 7 if n > 2 else np.array([rnd.randint(0, 60), rnd.randint(0, 60)])
+        odd = m.Settings(gap_cost=0.0501)  # no gap costs just what a seed gains: there the tree's rounding decides
+        fast = [x.tolist() for x in m.chains(p, q, odd)]
+        # a match far off the line, which joins none, sends them through the tree
+        slow = [x.tolist() for x in m.chains(np.append(p, 10**6), np.append(q, -10**6), odd) if n not in x.tolist()]
+        assert sorted(fast) == sorted(slow)

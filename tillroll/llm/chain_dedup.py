@@ -57,6 +57,33 @@ def seeds_of(hashes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
+def seeds_of_many(texts: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place, hash) of the kept seeds of several texts: ``seeds_of`` each."""
+    sizes = np.array([len(x) for x in texts], np.int64)
+    flat = np.concatenate(texts) if len(texts) else np.empty(0, np.uint64)
+    none = np.empty(0, np.int64)
+    h = windows(flat, s.k)
+    if not len(h):
+        return none, none, h
+    starts = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(texts)), sizes)[:len(h)]
+    left = starts[text] + sizes[text] - s.k - np.arange(len(h))  # places after this one in its text; < 0: none here
+    order = np.where(left >= 0, mix(h), np.uint64(2**64 - 1))
+    n = len(h) - s.window + 1
+    at = [none]
+    if n > 0:
+        best, low = np.arange(n), order[:n].copy()
+        for j in range(1, s.window):
+            smaller = order[j:j + n] < low
+            best[smaller] += (np.arange(n) + j - best)[smaller]
+            low = np.where(smaller, order[j:j + n], low)
+        at.append(best[left[:n] >= s.window - 1])
+    for k in np.flatnonzero((sizes >= s.k) & (sizes - s.k + 1 <= s.window)):  # texts of one window at most
+        at.append(starts[k:k + 1] + order[starts[k]:starts[k] + sizes[k] - s.k + 1].argmin())
+    at = np.unique(np.concatenate(at))
+    return text[at], at - starts[text[at]], h[at]
+
+
 def runs_of(p: np.ndarray, h: np.ndarray, least: int, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the first seed, hash, distance of the last one) of the shortest run from
     each seed on that holds ``least`` words without a gap of more than ``window`` places;
@@ -75,6 +102,21 @@ def runs_of(p: np.ndarray, h: np.ndarray, least: int, s: Settings) -> tuple[np.n
     return i, mix(inside + mix(h[i]) + np.uint64(least)), p[j] - p[i]
 
 
+def _on_one_line(p: list[int], q: list[int], s: Settings) -> list[list[int]]:
+    """``chains`` of two matches, or of matches on one diagonal, in order of place: no match
+    but the one before can be the best predecessor."""
+    score, parts = 0.0, []
+    for i in range(len(p)):
+        gain = score - s.gap_cost * (p[i] - p[i - 1] + q[i] - q[i - 1]) if i and p[i] > p[i - 1] and q[i] > q[i - 1] else 0.0
+        if gain > 0:
+            parts[-1][1].append(i)
+        else:
+            parts.append([0.0, [i]])
+        score = s.k + max(gain, 0.0)
+        parts[-1][0] = max(parts[-1][0], score)
+    return [x for _, x in sorted(parts, key=lambda part: (-part[0], part[1]))]
+
+
 def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
     """Collinear chains of matches (place ``p`` here, ``q`` there), each as indices in
     order.  Best chains first; every match is in one chain at most."""
@@ -83,6 +125,8 @@ def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
     n = len(p)
     if n == 1:
         return [order]
+    if n == 2 or (q[1:] - p[1:] == q[:-1] - p[:-1]).all():
+        return [order[x] for x in _on_one_line(p.tolist(), q.tolist(), s)]
     ranks = np.unique(q, return_inverse=True)[1] + 1
     size = int(ranks.max())
     tree = [(-np.inf, -1)] * (size + 1)   # best (score + cost of its place, match) by prefix
@@ -158,15 +202,10 @@ def _seeds(docs: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 b = batch.slice(begin, 256)
-                texts, seed, doc, row, at = b.column(1), [], [], [], []
-                for k, (d, r) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist())):
-                    p, h = seeds_of(word_hashes(texts[k].as_py()), s)
-                    seed.append(h.view(np.int64))
-                    at.append(p)
-                    doc.append(np.full(len(h), d, np.int64))
-                    row.append(np.full(len(h), r, np.int32))
-                flat = [np.concatenate(x).astype(t) for x, t in ((seed, np.int64), (doc, np.int64), (row, np.int32), (at, np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], _PLACE)
+                doc, row = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+                text, at, h = seeds_of_many([word_hashes(x) for x in b.column(1).to_pylist()], s)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[text].astype(np.int64)),
+                                                  pa.array(row[text].astype(np.int32)), pa.array(at.astype(np.int32))], _PLACE)
 
     return docs.select("doc_id", "text", "row").mapInArrow(run, "seed long, doc_id long, row int, at int")
 
@@ -436,6 +475,7 @@ def repeated_passages(docs: DataFrame, settings: Settings = Settings(),
     seeds = stored(_met(_seeds(docs, s)), "seeds-shared")
     tidy(spark)
     runs = stored(_met(_runs(seeds, s)).where("doc_id > d0").drop("seed"), "runs-shared")
+    tidy(spark)
     # equal rows give equal seeds, so each is one document here
     shared = (seeds.where("doc_id > d0").drop("seed").withColumn("span", F.lit(0)).unionByName(runs)
               .groupBy("doc_id", "row").agg(F.collect_set(F.struct("d0", "r0", "at", "at0", "span")).alias("matches")))
@@ -446,9 +486,11 @@ def repeated_passages(docs: DataFrame, settings: Settings = Settings(),
     texts = docs.select("doc_id", "row", "text")
     blocks = stored(_blocks_of(texts.join(if_few(used), ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"])), "chain-blocks")
     later = stored(found.select("doc_id", "row").distinct(), "chain-docs")
+    tidy(spark)
     needed = texts.join(if_few(later), ["doc_id", "row"], "left_semi")
     first = stored(_aligned(found, needed, blocks, False, s), "passages")
     pair = ["doc_id", "row", "d0", "r0"]
+    tidy(spark)
     again = found.join(stored(first.where("cut").select(*pair), "passages-cut"), pair, "left_semi")
     whole = stored(_aligned(again, needed, blocks, True, s), "passages-whole")
     drop_stored(blocks, found)
