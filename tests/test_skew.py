@@ -1,7 +1,7 @@
 """End-to-end on a hand-made skewed input: one invoice holds a third of the
-lines (all identical), one customer holds half of the orders.  The layers run
-with tiny chunk / bucket sizes so every distributed path is taken, and the
-result is compared with a pandas brute force."""
+lines (all identical), one customer holds half of the orders.  The layers take
+the one path they have at any size, and the result is compared with a pandas
+brute force."""
 
 from __future__ import annotations
 
