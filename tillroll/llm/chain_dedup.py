@@ -102,58 +102,59 @@ def runs_of(p: np.ndarray, h: np.ndarray, least: int, s: Settings) -> tuple[np.n
     return i, mix(inside + mix(h[i]) + np.uint64(least)), p[j] - p[i]
 
 
-def _on_one_line(p: list[int], q: list[int], s: Settings) -> list[list[int]]:
-    """``chains`` of two matches, or of matches on one diagonal, in order of place: no match
-    but the one before can be the best predecessor."""
-    score, parts = 0.0, []
-    for i in range(len(p)):
-        gain = score - s.gap_cost * (p[i] - p[i - 1] + q[i] - q[i - 1]) if i and p[i] > p[i - 1] and q[i] > q[i - 1] else 0.0
-        if gain > 0:
-            parts[-1][1].append(i)
-        else:
-            parts.append([0.0, [i]])
-        score = s.k + max(gain, 0.0)
-        parts[-1][0] = max(parts[-1][0], score)
-    return [x for _, x in sorted(parts, key=lambda part: (-part[0], part[1]))]
-
-
-def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
-    """Collinear chains of matches (place ``p`` here, ``q`` there), each as indices in
-    order.  Best chains first; every match is in one chain at most."""
-    order = np.lexsort((q, p))
-    p, q = p[order], q[order]
-    n = len(p)
-    if n == 1:
-        return [order]
-    if n == 2 or (q[1:] - p[1:] == q[:-1] - p[:-1]).all():
-        return [order[x] for x in _on_one_line(p.tolist(), q.tolist(), s)]
-    ranks = np.unique(q, return_inverse=True)[1] + 1
-    size = int(ranks.max())
+def _one_line(p: list[int], q: list[int], s: Settings) -> tuple[list[float], list[int]]:
+    """Score and predecessor of two matches, or of matches on one diagonal, in order of
+    place: none but the one before can be the best predecessor."""
+    score, back = [float(s.k)] * len(p), [-1] * len(p)
+    for i in range(1, len(p)):
+        gain = score[i - 1] - s.gap_cost * (p[i] - p[i - 1] + q[i] - q[i - 1])
+        if gain > 0 and p[i] > p[i - 1] and q[i] > q[i - 1]:
+            score[i], back[i] = s.k + gain, i - 1
+    return score, back
+
+
+def _by_tree(p: list[int], q: list[int], ranks: list[int], s: Settings) -> tuple[list[float], list[int]]:
+    """Score and best predecessor of each match, in order of place."""
+    n, size = len(p), max(ranks)
     tree = [(-np.inf, -1)] * (size + 1)   # best (score + cost of its place, match) by prefix
     score, back = [0.0] * n, [-1] * n
-    pl, ql, rl = p.tolist(), q.tolist(), ranks.tolist()
     start = 0
     while start < n:
         end = start
-        while end < n and pl[end] == pl[start]:
+        while end < n and p[end] == p[start]:
             end += 1
         for i in range(start, end):   # matches at one place can't follow each other
-            best, r = (-np.inf, -1), rl[i] - 1
+            best, r = (-np.inf, -1), ranks[i] - 1
             while r:
                 if tree[r] > best:
                     best = tree[r]
                 r &= r - 1
-            gain = best[0] - s.gap_cost * (pl[i] + ql[i])
+            gain = best[0] - s.gap_cost * (p[i] + q[i])
             score[i] = s.k + max(gain, 0.0)
             if gain > 0:
                 back[i] = best[1]
         for i in range(start, end):
-            entry, r = (score[i] + s.gap_cost * (pl[i] + ql[i]), i), rl[i]
+            entry, r = (score[i] + s.gap_cost * (p[i] + q[i]), i), ranks[i]
             while r <= size:
                 if entry > tree[r]:
                     tree[r] = entry
                 r += r & -r
         start = end
+    return score, back
+
+
+def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """Collinear chains of matches (place ``p`` here, ``q`` there), each as indices in
+    order.  Best chains first; every match is in one chain at most."""
+    order = np.lexsort((q, p))
+    p, q = p[order], q[order]
+    n = len(p)
+    if n == 1:
+        return [order]
+    if n == 2 or (q[1:] - p[1:] == q[:-1] - p[:-1]).all():
+        score, back = _one_line(p.tolist(), q.tolist(), s)
+    else:
+        score, back = _by_tree(p.tolist(), q.tolist(), (np.unique(q, return_inverse=True)[1] + 1).tolist(), s)
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda x: (-score[x], x)):
         chain = []
