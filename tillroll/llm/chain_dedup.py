@@ -9,7 +9,7 @@ first stand elsewhere, in several documents, meets the first one that holds it.
 are chained in order of place on both sides; a Fenwick tree over places in the earlier
 document gives the best predecessor under a linear gap cost.  Matches of
 one diagonal are thinned first.  Chains are extended and aligned on word hashes: a chain
-meets the blocks of its source around it, and the whole source only if it grows beyond
+meets the blocks of words of its source around it, and the whole source only if it grows beyond
 them.  Aligned passages that are long and alike enough are reported with their place in
 both documents."""
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.shingles import mix, windows, word_hashes
+from tillroll.llm.shingles import mix, windows, word_hashes, words
 from tillroll.llm.store import drop_stored, fresh_name, if_few, rewritten, stored, tidy
 
 
@@ -312,19 +312,21 @@ def _chained(shared: DataFrame, s: Settings) -> DataFrame:
                 d0, r0 = (np.concatenate([x, x[run]]) for x in (d0, r0))
                 at, at0 = (np.concatenate([x, x[run] + span[run]]) for x in (at, at0))
                 order = np.lexsort((at0, at, r0, d0))
-                cut = np.flatnonzero((np.diff(d0[order]) != 0) | (np.diff(r0[order]) != 0)) + 1
-                for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(order)]):
-                    if b - a < s.least_seeds:
-                        continue
-                    own = order[a:b]
-                    p, q = np.unique(np.stack([at[own], at0[own]]), axis=1)
-                    if len(p) < s.least_seeds:
-                        continue
-                    keep = thinned(p, q, step)
-                    p, q = p[keep], q[keep]
+                d0, r0, at, at0 = (x[order] for x in (d0, r0, at, at0))
+                source = np.r_[True, (np.diff(d0) != 0) | (np.diff(r0) != 0)]
+                once = source | np.r_[True, (np.diff(at) != 0) | (np.diff(at0) != 0)]
+                d0, r0, at, at0, source = (x[once] for x in (d0, r0, at, at0, source))
+                starts = np.flatnonzero(source)
+                ends = np.r_[starts[1:], len(source)]
+                some = ends - starts >= s.least_seeds
+                for a, b in zip(starts[some].tolist(), ends[some].tolist()):
+                    p, q = at[a:b], at0[a:b]
+                    if b - a > 2:
+                        keep = thinned(p, q, step)
+                        p, q = p[keep], q[keep]
                     found = [{"at": p[c].tolist(), "at0": q[c].tolist()} for c in chains(p, q, s) if len(c) >= s.least_seeds]
                     if found:
-                        rows.append((doc, row, int(d0[own[0]]), int(r0[own[0]]), found))
+                        rows.append((doc, row, int(d0[a]), int(r0[a]), found))
             cols = list(zip(*rows)) or [()] * 5
             chain = pa.list_(pa.struct([("at", pa.list_(pa.int32())), ("at0", pa.list_(pa.int32()))]))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), chain))],
@@ -360,42 +362,43 @@ def passages_of(here: list, there: list, at: list[int], at0: list[int], s: Setti
     return out
 
 
-#: Words of a document that travel as one row of hashes, and those asked for around a chain.
-BLOCK_WORDS, MARGIN = 256, 256
+#: Words of a document that travel as one row, and those asked for around a chain.
+BLOCK_WORDS, MARGIN = 128, 64
 
 
 def _blocks_of(docs: DataFrame) -> DataFrame:
-    """(d0, r0, block, words, all): the word hashes of texts in blocks; ``all``: the text's words."""
+    """(d0, r0, block, words, all): texts in blocks of words; ``all``: the text's words."""
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 b, rows = batch.slice(begin, 256), ([], [], [], [], [])
                 for doc, text, row in zip(*(b.column(k).to_pylist() for k in range(3))):
-                    h = word_hashes(text).view(np.int64)
-                    for at in range(0, len(h), BLOCK_WORDS):
-                        for held, x in zip(rows, (doc, row, at // BLOCK_WORDS, h[at:at + BLOCK_WORDS], len(h))):
+                    w = words(text)
+                    for at in range(0, len(w), BLOCK_WORDS):
+                        for held, x in zip(rows, (doc, row, at // BLOCK_WORDS, b" ".join(w[at:at + BLOCK_WORDS]), len(w))):
                             held.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32()))],
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32()))],
                                                  ["d0", "r0", "block", "words", "all"])
 
-    return docs.select("doc_id", "text", "row").mapInArrow(run, "d0 long, r0 int, block int, words array<long>, all int")
+    return docs.select("doc_id", "text", "row").mapInArrow(run, "d0 long, r0 int, block int, words binary, all int")
 
 
 _FOUND = "start int, end int, source_start int, source_end int, n_aligned int"
 
 
 def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
-    """Aligns the chains of (doc_id, row, text, sources array of (d0, r0, found, blocks)):
-    (doc_id, row, d0, r0, passages, cut); ``cut``: nothing but the end of
-    the blocks that are here stopped a passage, and the earlier text goes on, so more of it
-    is needed."""
+    """Aligns the chains of (doc_id, row, text, sources array of (d0, r0, found), blocks array
+    of (d0, r0, block, words, all)): (doc_id, row, d0, r0, passages, cut); ``cut``: nothing
+    but the end of the blocks that are here stopped a passage, and the earlier text goes
+    on, so more of it is needed."""
     kind = pa.struct([(x.split()[0], pa.int32()) for x in _FOUND.split(", ")])
 
-    def aligned_with(here: list, source: dict) -> tuple[list, bool]:
-        rows, done, cut = [], [], False
-        blocks = {x["block"]: x["words"] for x in source["blocks"]}
-        size = source["blocks"][0]["all"]
-        for x in source["found"]:
+    def hashed(raw: bytes) -> list[int]:
+        return word_hashes(raw.decode("utf-8", "surrogatepass")).view(np.int64).tolist()
+
+    def aligned_with(here: list, found: list[dict], blocks: dict[int, bytes], size: int) -> tuple[list, bool]:
+        rows, done, cut, ready = [], [], False, {}
+        for x in found:
             if any(a <= x["at"][0] and x["at"][-1] + s.k <= b for a, b in done):
                 continue  # within a passage already found in this document
             first, last = x["at0"][0] // BLOCK_WORDS, (x["at0"][-1] + s.k - 1) // BLOCK_WORDS
@@ -403,7 +406,9 @@ def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
                 first -= 1
             while last + 1 in blocks:
                 last += 1
-            there = [w for k in range(first, last + 1) for w in blocks[k]]
+            if (first, last) not in ready:
+                ready = {(first, last): [w for k in range(first, last + 1) for w in hashed(blocks[k])]}
+            there = ready[first, last]
             offset, ends = first * BLOCK_WORDS, set()
             for a, b, c, d, same in passages_of(here, there, x["at"], [y - offset for y in x["at0"]], s, ends):
                 done.append((a, b))
@@ -415,41 +420,41 @@ def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 32):
                 part, rows = batch.slice(begin, 32), []
-                for doc, row, text, sources in zip(*(part.column(j).to_pylist() for j in range(4))):
+                for doc, row, text, sources, parts in zip(*(part.column(j).to_pylist() for j in range(5))):
                     here = word_hashes(text).view(np.int64).tolist()
+                    blocks: dict = {}
+                    for x in parts:
+                        blocks.setdefault((x["d0"], x["r0"]), ({}, x["all"]))[0][x["block"]] = x["words"]
                     for source in sources:
-                        found, cut = aligned_with(here, source)
+                        found, cut = aligned_with(here, source["found"], *blocks[source["d0"], source["r0"]])
                         if found or cut:
                             rows.append((doc, row, source["d0"], source["r0"], found, cut))
                 cols = list(zip(*rows)) or [()] * 6
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(kind), pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)], ["doc_id", "row", "d0", "r0", "passages", "cut"])
 
-    return pairs.select("doc_id", "row", "text", "sources").mapInArrow(
+    return pairs.select("doc_id", "row", "text", "sources", "blocks").mapInArrow(
         run, f"doc_id long, row int, d0 long, r0 int, passages array<struct<{_FOUND.replace(' int', ':int')}>>, cut boolean")
 
 
 def _aligned(found: DataFrame, docs: DataFrame, blocks: DataFrame, whole: bool, s: Settings) -> DataFrame:
     """The passages of ``found`` (chains): each chain meets the blocks of its source around it
-    (or all), and the chains of a document meet its text, in place if they are few."""
-    def block(x):
-        return F.floor(x / BLOCK_WORDS).cast("int")
-
-    begin, end = (lambda c: F.lit(0)), (lambda c: F.lit(2**31 - 1))
-    if not whole:
-        begin = lambda c: F.greatest(F.element_at(c["at0"], 1) - MARGIN, F.lit(0))
-        end = lambda c: F.element_at(c["at0"], -1) + MARGIN + s.k
-    asked = found.select("doc_id", "row", "d0", "r0", F.explode("found").alias("c")).select(
-        "doc_id", "row", "d0", "r0", block(begin(F.col("c"))).alias("low"), block(end(F.col("c"))).alias("high"))
+    (or all), which go to the document's text once."""
+    source = ["d0", "r0"]
     if whole:
-        met = asked.select("doc_id", "row", "d0", "r0").distinct().join(blocks, ["d0", "r0"])
+        asked = stored(found.select("doc_id", "row", *source).distinct(), "chain-asked")
+        met = blocks.join(if_few(asked), source)
     else:
-        asked = asked.select("doc_id", "row", "d0", "r0", F.explode(F.sequence("low", "high")).alias("block")).distinct()
-        met = asked.join(blocks, ["d0", "r0", "block"])
-    held = met.groupBy("doc_id", "row", "d0", "r0").agg(F.collect_list(F.struct("block", "words", "all")).alias("blocks"))
-    sources = (found.join(held, ["doc_id", "row", "d0", "r0"]).groupBy("doc_id", "row")
-               .agg(F.collect_list(F.struct("d0", "r0", "found", "blocks")).alias("sources")))
-    return _passages(docs.select("doc_id", "row", "text").dropDuplicates(["doc_id", "row"]).join(sources, ["doc_id", "row"]), s)
+        block = lambda x: F.floor(x / BLOCK_WORDS).cast("int")
+        begin, end = F.element_at(F.col("c.at0"), 1) - MARGIN, F.element_at(F.col("c.at0"), -1) + MARGIN + s.k
+        asked = found.select("doc_id", "row", *source, F.explode("found").alias("c")).select(
+            "doc_id", "row", *source, F.explode(F.sequence(block(F.greatest(begin, F.lit(0))), block(end))).alias("block"))
+        asked = stored(asked.distinct(), "chain-asked")
+        met = blocks.join(if_few(asked), [*source, "block"])
+    parts = met.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*source, "block", "words", "all")).alias("blocks"))
+    sources = found.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*source, "found")).alias("sources"))
+    texts = docs.select("doc_id", "row", "text").dropDuplicates(["doc_id", "row"])
+    return _passages(texts.join(sources, ["doc_id", "row"]).join(parts, ["doc_id", "row"]), s)
 
 
 def row_key(text_col: str = "text"):
