@@ -72,3 +72,24 @@ def test_hard_rows(spark, tables):
     assert m.classify(some, labels.limit(0)).where("not kept").count() == 0
     one = labels.withColumns({"quality": F.lit(1), "toxic": F.lit(None).cast("int")})
     assert m.classify(some, one).where("not kept").count() == 0
+
+
+def test_every_unlabelled_document_counts(spark):
+    """Sums of tasks equal those of one matrix, over all documents that the teacher is sure of."""
+    rng = np.random.default_rng(4)
+    lexicon = {"calm": 0, "spam": 1, "plain": 2}
+    rows = [(k, " ".join(rng.choice(["calm", "spam", "plain", "x", "##"], 12)), str(rng.choice(["en", "de"])), str(rng.choice(["a", "b", "c"])),
+             int(rng.integers(0, 9000))) for k in range(9000)] + [(7, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    c = np.array([m.content_features(r[1], lexicon) for r in rows], np.float64)
+    meta = np.array([m.metadata_features(*r[2:]) for r in rows], np.float64)
+    teacher = m.View(rng.normal(size=c.shape[1]) * 3, np.array([0.1, 1.0]))
+    w = rng.normal(size=meta.shape[1]) / 5
+    m.ship(spark)
+    got = m._pseudo_sums(m._compact(m.standard(docs), lexicon), 3, ("c", teacher), "m", w, 0.97)
+    p = m._sigmoid(teacher.logit(c))
+    for y, sure in ((1, p >= 0.97), (0, p <= 0.03)):
+        x, q = meta[sure], m._sigmoid(meta[sure] @ w)
+        assert got[y][0] == sure.sum() > 50
+        assert np.allclose(got[y][1], (x * (q * (1 - q))[:, None]).T @ x, rtol=1e-5) and np.allclose(got[y][2], x.T @ (y - q), rtol=1e-5, atol=1e-6)
+    assert m._pseudo_sums(m._compact(m.standard(docs.limit(0)), lexicon), 3, ("c", teacher), "m", w, 0.97) == {}
