@@ -34,8 +34,9 @@ class Settings:
     subspaces: int = 8
     codes: int = 256
     rounds: int = 8
-    #: A link's offset, seen along one direction, is taken as up to so many standard
-    #: deviations of an evenly spread one; ``dims ** 0.5`` makes the probes exhaustive.
+    #: A link's offset, seen along the line between two lists' centres, is taken as up to so
+    #: many standard deviations of the spread that vectors have along it around their
+    #: centres; ``dims ** 0.5`` makes the probes exhaustive.
     sigmas: float = 4.0
     block: int = 256
 
@@ -54,13 +55,35 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng, unit: bool) -> np.ndarray:
     return c
 
 
+def _spread(rest: np.ndarray, home: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """[a, b]: the share (a standard deviation) of the residuals ``rest`` that lies along the
+    line from centre a to centre b.  The largest of three counts: that of an even spread, of
+    all residuals and of those of list a, so vectors of few effective dimensions, few of
+    them or many, are seen as what they are."""
+    n, dims = centres.shape
+    line = np.maximum(np.linalg.norm(centres, axis=1)[:, None] ** 2 + np.linalg.norm(centres, axis=1)[None] ** 2 - 2 * centres @ centres.T, 1e-12)
+    whole = centres @ (rest.T @ rest) @ centres.T
+    own = np.diag(whole)
+    square = np.maximum(own[:, None] + own[None] - 2 * whole, 0) / line / max(float((rest * rest).sum()), 1e-12)
+    order = np.argsort(home, kind="stable")
+    ends = np.searchsorted(home[order], np.arange(n + 1))
+    for a in range(n):
+        mine = rest[order[ends[a]:ends[a + 1]]]
+        size = float((mine * mine).sum())
+        if size > 1e-9:
+            at = mine @ centres.T - (mine @ centres[a])[:, None]
+            square[a] = np.maximum(square[a], (at * at).sum(0) / line[a] / size)
+    return np.sqrt(np.maximum(square, 1 / dims))
+
+
 @dataclass
 class Index:
     """Fitted lists and codebooks; its size depends on the settings only."""
     centres: np.ndarray
     books: list[np.ndarray]
     cuts: list[int]
-    radius: float
+    reach: float          # of a link
+    radius: np.ndarray    # [a, b]: how far it may reach along the line between two centres, in 255ths of that
 
     @classmethod
     def fit(cls, unit: np.ndarray, n_lists: int, s: Settings) -> Index:
@@ -68,12 +91,13 @@ class Index:
         unit = unit.astype(np.float32)
         dims = unit.shape[1]
         centres = _kmeans(unit, min(n_lists, len(unit)), s.rounds, rng, True)
-        rest = unit - centres[(unit @ centres.T).argmax(1)]
+        home = (unit @ centres.T).argmax(1)
+        rest = unit - centres[home]
         parts = min(s.subspaces, dims)
         cuts = [dims * k // parts for k in range(parts + 1)]
         books = [_kmeans(rest[:, a:b], min(s.codes, len(rest)), s.rounds, rng, False) for a, b in zip(cuts, cuts[1:])]
-        reach = (2 - 2 * s.cosine) ** 0.5
-        return cls(centres, books, cuts, reach * min(1.0, s.sigmas / dims ** 0.5))
+        radius = np.ceil(np.minimum(1.0, s.sigmas * _spread(rest, home, centres)) * 255 - 1e-6).astype(np.uint8)
+        return cls(centres, books, cuts, (2 - 2 * s.cosine) ** 0.5, radius)
 
     def place(self, unit: np.ndarray):
         """Home list, codes, code error and probed lists of unit vectors (float32)."""
@@ -86,14 +110,15 @@ class Index:
             codes[:, m] = (part @ book.T - 0.5 * (book * book).sum(1)).argmax(1)
             rest[:, a:b] -= book[codes[:, m]]
         error = np.linalg.norm(rest, axis=1)
-        # a link of a query lies at most ``radius`` along the line between two centres,
-        # so a list counts if the plane between it and the home list is that near
+        # a link of a query lies at most ``radius`` along the line between two centres, seen
+        # from either, so a list counts if the plane between it and the home list is that near
         apart = np.linalg.norm(self.centres[:, None] - self.centres[None], axis=2) if len(self.centres) <= 512 else None
         probes = []
         for k in range(len(unit)):
             gap = score[k, home[k]] - score[k]
             far = apart[home[k]] if apart is not None else np.linalg.norm(self.centres - self.centres[home[k]], axis=1)
-            probes.append(np.flatnonzero(gap <= self.radius * far + 1e-6).astype(np.int32))
+            near = self.reach / 255 * np.maximum(self.radius[home[k]], self.radius[:, home[k]])
+            probes.append(np.flatnonzero(gap <= near * far + 1e-6).astype(np.int32))
         return home, codes, error, probes
 
     def near(self, queries: np.ndarray, listed: int, codes: np.ndarray) -> np.ndarray:
