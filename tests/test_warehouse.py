@@ -70,3 +70,15 @@ def test_old_versions_are_dropped_and_others_stay(spark):
     assert old in W.drop_old_versions(spark, SF_SMALL)
     left = session.list_folders(spark, base)
     assert name in left and "unrelated-folder" in left and old not in left
+
+
+def test_categories_from_a_file(spark, tmp_path):
+    with open(tmp_path / "categories.csv", "w") as fh:
+        fh.write("stock_code,category\nPOST,freight\n")
+    root = os.path.join(session.checkpoint_dir(spark), "tillroll-test", uuid.uuid4().hex)
+    wh = W.Warehouse(spark, SF_SMALL, root=root, categories_path=str(tmp_path / "categories.csv"))
+    silver = wh.table("silver_transactions")
+    assert {r["line_category"] for r in silver.select("line_category").distinct().collect()} == {"product", "freight"}
+    assert silver.where("is_special_stockcode and StockCode <> 'POST'").count() == 0
+    # without a root of its own, it doesn't share the tables of the built-in categories
+    assert W.Warehouse(spark, SF_SMALL, categories_path=str(tmp_path / "categories.csv")).root != W.Warehouse(spark, SF_SMALL).root

@@ -50,6 +50,10 @@ SELECT segment, customers, average_recency, average_frequency, average_monetary,
   CAST(total_exact AS DOUBLE) AS total_monetary,
   CAST(total_exact AS DOUBLE) / CAST(NULLIF(SUM(total_exact) OVER (), 0) AS DOUBLE) AS value_share
 FROM ({_SEG}) s ORDER BY customers DESC, segment""",
+    "segment_profile_by_value": f"""
+SELECT * EXCLUDE (total_exact), total_exact::DOUBLE AS total_monetary,
+  total_exact::DOUBLE / nullif(sum(total_exact) OVER (), 0)::DOUBLE AS value_share
+FROM ({_SEG}) s ORDER BY value_share DESC, segment""",
     "segment_value": f"""
 SELECT segment, customers, average_recency, average_frequency, average_monetary,
   CAST(total_exact AS DOUBLE) AS total_monetary,

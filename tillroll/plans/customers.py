@@ -64,6 +64,11 @@ def segment_profile(wh) -> DataFrame:
     return _with_share(seg, "value_share", 1.0).orderBy(F.col("customers").desc(), "segment")
 
 
+def segment_profile_by_value(wh) -> DataFrame:
+    """A10, second view: the segment profile sorted by its share of the value."""
+    return segment_profile(wh).orderBy(F.col("value_share").desc(), "segment")
+
+
 def segment_value(wh) -> DataFrame:
     """Per segment, sorted by value, share in percent."""
     seg = wh.table("customer_rfm").groupBy("segment").agg(*_segment_aggs())

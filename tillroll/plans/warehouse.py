@@ -24,7 +24,7 @@ from tillroll.plans import layers, metrics
 from tillroll.session import delete_folder, list_folders, materialize, read_pointer, storage_root, write_pointer
 from tillroll.sources import fixture_map
 from tillroll.sources.periods import ingest, read_period, type_period
-from tillroll.sources.reference import stockcode_categories
+from tillroll.sources.reference import read_stockcode_categories, stockcode_categories
 
 _CACHE: dict[tuple, "Warehouse"] = {}
 _LOCK = threading.Lock()
@@ -100,11 +100,15 @@ class Warehouse:
              "dim_customers", "dim_products", "customer_rfm"]
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, *,
-                 materialize: bool = True):
+                 materialize: bool = True, categories_path: str | None = None):
+        """``categories_path``: a CSV of special codes and categories to use in place of the
+        built-in table (S4); its tables are stored under a root of their own."""
         self.spark = spark
+        self.categories_path = categories_path
         self.sf_dir = sf_dir
         self.materialize = materialize
-        self.root = root or storage_root(spark, fingerprint(spark, sf_dir))
+        self.root = root or storage_root(spark, fingerprint(spark, sf_dir) + (
+            f"_{hashlib.sha1((categories_path + _listing(spark, categories_path)).encode()).hexdigest()[:8]}" if categories_path else ""))
         self._paths: dict[str, str] = {}
         self._tables: dict[str, DataFrame] = {}
         self._parts: dict[str, list[DataFrame]] = {}
@@ -147,6 +151,8 @@ class Warehouse:
                       fixture_map.OVERLAP_START)
 
     def categories(self) -> DataFrame:
+        if self.categories_path:
+            return read_stockcode_categories(self.spark, self.categories_path)
         return stockcode_categories(self.spark)
 
     # -- layers --
