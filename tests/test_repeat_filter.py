@@ -107,3 +107,13 @@ def test_metrics_of_another_table_are_seen(spark):
     wh._tables["bronze"] = wh.table("bronze").limit(wh.table("bronze").count() - 1)
     assert {r["table"] for r in checks.check_stored_metrics(wh).where("not metrics_match").collect()} == {"bronze"}
     assert not checks.check_bronze(wh).first()["bronze_is_valid"]
+
+
+def test_counts_are_sent_as_bytes_and_chunks_agree(spark, monkeypatch):
+    from tillroll.operators import repeat_filter as R
+    df = spark.range(5000).selectExpr("id % 4000 as x").repartition(2)
+    whole = R.repeat_filter(df, ["x"])
+    monkeypatch.setattr(R, "HELD", 100)
+    parts = R.repeat_filter(df, ["x"])
+    assert isinstance(whole.cells.value, bytes) and parts.cells.value == whole.cells.value
+    assert df.where(parts.suspect()).select("x").distinct().count() >= 1000

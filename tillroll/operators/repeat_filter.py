@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 PAGE = 1 << 16
 MOST_CELLS = 1 << 28
+HELD = 1 << 19  # rows whose cells a task sorts at once
 
 
 @dataclass(frozen=True)
@@ -29,7 +30,7 @@ class RepeatFilter:
 
     columns: tuple[str, ...]
     width: int
-    cells: object  # the broadcast counts, four cells a byte
+    cells: object  # the broadcast counts as bytes, four cells a byte
 
     def suspect(self) -> Column:
         """True where the row may have an equal in the table that was counted.  Only the
@@ -38,7 +39,8 @@ class RepeatFilter:
 
         @F.arrow_udf("boolean")
         def twice(h: pa.Array) -> pa.Array:
-            counts, x = sent.value, h.to_numpy(zero_copy_only=False).view(np.uint64)
+            # bytes are read once into a worker; an array would be held twice while it loads
+            counts, x = np.frombuffer(sent.value, np.uint8), h.to_numpy(zero_copy_only=False).view(np.uint64)
             out = np.ones(len(x), bool)
             for row, shift in ((0, 0), (1, 32)):
                 at = ((x >> np.uint64(shift)) & np.uint64(width - 1)).astype(np.int64) + row * width
@@ -54,7 +56,7 @@ def repeat_filter(df: DataFrame, columns: list[str], most_cells: int = MOST_CELL
     rows, width = df.count(), min(PAGE, most_cells)  # powers of two
     while width < min(8 * rows, most_cells):
         width *= 2
-    page = PAGE
+    page, cell = PAGE, np.uint32 if 2 * width <= 1 << 32 else np.uint64
 
     def count(batches):
         def table(cells):
@@ -69,9 +71,9 @@ def repeat_filter(df: DataFrame, columns: list[str], most_cells: int = MOST_CELL
         held, n = [], 0
         for batch in batches:
             x = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            held += [((x >> np.uint64(shift)) & np.uint64(width - 1)).astype(np.int64) + row * width for row, shift in ((0, 0), (1, 32))]
+            held += [((x >> np.uint64(shift)) & np.uint64(width - 1)).astype(cell) + cell(row * width) for row, shift in ((0, 0), (1, 32))]
             n += len(x)
-            if n >= 1 << 20:
+            if n >= HELD:
                 yield table(np.concatenate(held))
                 held, n = [], 0
         if n:
@@ -101,4 +103,4 @@ def repeat_filter(df: DataFrame, columns: list[str], most_cells: int = MOST_CELL
     counts = np.zeros(-(-2 * width // PAGE) * PAGE // 4, np.uint8)
     for row in pages.collect():  # at most 2 * MOST_CELLS / 4 bytes
         counts[row["page"] * PAGE // 4:(row["page"] + 1) * PAGE // 4] = np.frombuffer(row["data"], np.uint8)
-    return RepeatFilter(tuple(columns), width, df.sparkSession.sparkContext.broadcast(counts))
+    return RepeatFilter(tuple(columns), width, df.sparkSession.sparkContext.broadcast(counts.tobytes()))
