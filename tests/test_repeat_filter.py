@@ -109,6 +109,21 @@ def test_metrics_of_another_table_are_seen(spark):
     assert not checks.check_bronze(wh).first()["bronze_is_valid"]
 
 
+def test_buckets_and_join_tasks_grow_with_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 300)
+    wh = _fresh(spark)
+    lines, sources = wh.table("fact_order_lines").count(), spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    buckets = max(8, -(-lines // 300))
+    assert buckets > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert session.read_pointer(spark, os.path.join(wh.root, "fact_order_lines.current")).endswith(f"-b{buckets}")
+    plan = wh._compute("landing")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey#" in plan and plan.count(f", {-(-sources // 300)}), REPARTITION_BY_NUM") >= 2
+    # what moves is what the other columns follow from
+    silver = wh.table("silver_transactions")
+    again = layers.with_flags(silver.select(*layers.SEED_COLUMNS))
+    assert again.columns == silver.columns and again.exceptAll(silver).count() == silver.exceptAll(again).count() == 0
+
+
 def test_counts_are_sent_as_bytes_and_chunks_agree(spark, monkeypatch):
     from tillroll.operators import repeat_filter as R
     df = spark.range(5000).selectExpr("id % 4000 as x").repartition(2)

@@ -43,7 +43,21 @@ def flagged(counted: DataFrame, categories: DataFrame) -> DataFrame:
     ref = F.broadcast(categories.select(F.col("stock_code").alias("_ref_code"),
                                         F.col("category").alias("_ref_category")))
     joined = counted.join(ref, counted[S.STOCK_CODE] == ref["_ref_code"], "left")
-    return joined.select(
+    return with_flags(joined.select(
+        *S.BRONZE_COLUMNS,
+        F.coalesce(F.col("_ref_category"), F.lit(FL.PRODUCT)).alias("line_category"),
+        F.col("_ref_code").isNotNull().alias("is_special_stockcode"),
+        (F.col("_repeats") > 1).alias("is_repeated_row"),
+    ))
+
+
+#: The silver columns from which a line's others follow.
+SEED_COLUMNS = [*S.BRONZE_COLUMNS, "line_category", "is_special_stockcode", "is_repeated_row"]
+
+
+def with_flags(seeds: DataFrame) -> DataFrame:
+    """The silver columns of lines that have ``SEED_COLUMNS``."""
+    return seeds.select(
         *S.BRONZE_COLUMNS,
         FL.is_cancellation().alias("is_cancellation"),
         FL.is_negative_quantity().alias("is_negative_quantity"),
@@ -51,9 +65,9 @@ def flagged(counted: DataFrame, categories: DataFrame) -> DataFrame:
         FL.is_negative_price().alias("is_negative_price"),
         FL.is_missing_customer().alias("is_missing_customer"),
         FL.is_missing_description().alias("is_missing_description"),
-        F.col("_ref_code").isNotNull().alias("is_special_stockcode"),
-        (F.col("_repeats") > 1).alias("is_repeated_row"),
-        F.coalesce(F.col("_ref_category"), F.lit(FL.PRODUCT)).alias("line_category"),
+        "is_special_stockcode",
+        "is_repeated_row",
+        "line_category",
         FL.raw_line_value().alias("raw_line_value"),
     )
 

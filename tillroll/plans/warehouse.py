@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.plans import layers, metrics
-from tillroll.session import delete_folder, list_folders, materialize, read_pointer, storage_root, write_pointer
+from tillroll.session import delete_folder, list_folders, materialize, read_pointer, storage_root, task_count, write_pointer
 from tillroll.sources import fixture_map
 from tillroll.sources.periods import ingest, read_period, type_period
 from tillroll.sources.reference import read_stockcode_categories, stockcode_categories
@@ -95,6 +95,7 @@ class Warehouse:
     BY_INVOICE = {"fact_order_lines": S.INVOICE}
     #: An invoice of more than a quarter of a bucket's share of lines is stored apart.
     HOT_SHARE = 4
+    CODEC = "zstd"
 
     ORDER = ["landing", "bronze", "silver_transactions", "fact_order_lines", "fact_orders",
              "dim_customers", "dim_products", "customer_rfm"]
@@ -238,22 +239,31 @@ class Warehouse:
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         return materialize(counts.where(F.col("_n") * self.HOT_SHARE * buckets > rows).select(key))
 
-    def _write_buckets(self, name: str, df: DataFrame, path: str, buckets: int) -> str:
+    def _write_buckets(self, name: str, path: str) -> str:
         """Lines in buckets (one file each, by a catalog table) and the lines of the large
-        invoices in a folder of their own; returns the folder, which says what it holds."""
+        invoices in a folder of their own; returns the folder, which says what it holds.
+        Buckets are as many as keep one size when the lines grow; what follows from a
+        line's other columns is not moved but computed again where the line arrives."""
         key = self.BY_INVOICE[name]
         rows = self.metrics("silver_transactions").first()["rows"]
+        buckets = max(8, task_count(self.spark, rows))
         hot = self._hot_keys(self.table("silver_transactions"), key, rows, buckets)
+        seeds = self.table("silver_transactions").select(*layers.SEED_COLUMNS)
+
+        def full(x: DataFrame) -> DataFrame:
+            return layers.fact_order_lines(layers.with_flags(x))
+
         some = hot.count() > 0
         path = f"{path}-b{buckets}{'-hot' if some else ''}"
-        lines = df
+        lines = seeds
         if some:
             mark = F.broadcast(hot.withColumnRenamed(key, "_key"))  # at most HOT_SHARE * buckets rows
             same = F.col(key).eqNullSafe(F.col("_key"))
-            self._write_observed(name, df.join(mark, same, "left_semi"), path, lambda x: x.write.parquet(os.path.join(path, "hot")))
-            lines = df.join(mark, same, "left_anti")
-        self._write_observed(name, lines.repartition(buckets, key), path, lambda x: (
-            x.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+            self._write_observed(name, full(seeds.join(mark, same, "left_semi")), path,
+                                 lambda x: x.write.option("compression", self.CODEC).parquet(os.path.join(path, "hot")))
+            lines = seeds.join(mark, same, "left_anti")
+        self._write_observed(name, full(lines.repartition(buckets, key)), path, lambda x: (
+            x.write.format("parquet").option("compression", self.CODEC).bucketBy(buckets, key).sortBy(key)
             .option("path", os.path.join(path, "lines")).saveAsTable(_catalog_name(path))))
         return path
 
@@ -281,18 +291,19 @@ class Warehouse:
         path = read_pointer(self.spark, pointer)
         if path is None:
             path = os.path.join(self.root, f"{name}-{uuid.uuid4().hex[:12]}")
-            df = compute()
             if name in self.BY_INVOICE:
-                path = self._write_buckets(name, df, path, max(8, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
+                path = self._write_buckets(name, path)
                 write_pointer(self.spark, pointer, path)
                 return self._read_buckets(name, path)
+            df = compute()
             if name in self.BY_MONTH:
                 # one folder a month, so a date range opens the months it touches; the
                 # rebalance keeps files even where a month is large
                 df = df.withColumn(self.MONTH_COL, F.trunc(F.col(self.BY_MONTH[name]).cast("date"), "month"))
                 df = df.hint("rebalance", self.MONTH_COL).sortWithinPartitions(self.MONTH_COL, self.BY_MONTH[name])
             folders = fixture_map.RAW_PERIOD_COL if name == "landing" else self.MONTH_COL if name in self.BY_MONTH else None
-            self._write_observed(name, df, path, lambda x: (x.write.partitionBy(folders) if folders else x.write).parquet(path))
+            self._write_observed(name, df, path, lambda x: (
+                x.write.partitionBy(folders) if folders else x.write).option("compression", self.CODEC).parquet(path))
             write_pointer(self.spark, pointer, path)
         if name in self.BY_INVOICE:
             return self._read_buckets(name, path)

@@ -120,6 +120,16 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+#: Rows that one task sorts: about 100 MB of the widest lines.
+ROWS_A_TASK = 250_000
+
+
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Number of tasks for a shuffle of ``rows`` rows whose tasks keep one size as the
+    table grows; at least the session's number of shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
+
+
 def materialize(df):
     """Cut the lineage of ``df``: a reliable checkpoint in the shared checkpoint
     folder (never a local checkpoint).  Used before a frame is read several

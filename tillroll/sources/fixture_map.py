@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
+from tillroll.session import task_count
 
 # Fixed values of the mapping (shared with the DuckDB oracle).
 ORDER_OFFSET = 500000
@@ -44,8 +45,11 @@ def mapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = o.join(cust, o.o_custkey == cust.c_custkey)
     # lineitem and orders are both fact-sized: a shuffle (sort-merge) join on the
     # order key, never a broadcast of either; part may broadcast if Spark's
-    # size estimate allows.
-    joined = (l.join(orders.hint("merge"), l.l_orderkey == orders.o_orderkey)
+    # size estimate allows.  The tasks also sort the wide lines for their folders, so
+    # their number grows with the lines (a count that reads file footers only).
+    tasks = task_count(spark, l.count())
+    joined = (l.repartition(tasks, "l_orderkey")
+               .join(orders.repartition(tasks, "o_orderkey").hint("merge"), l.l_orderkey == orders.o_orderkey)
                .join(p, l.l_partkey == p.p_partkey))
 
     z = ((F.col("l_orderkey") + F.col("l_linenumber")) % 83) == 0
