@@ -132,3 +132,13 @@ def test_counts_are_sent_as_bytes_and_chunks_agree(spark, monkeypatch):
     parts = R.repeat_filter(df, ["x"])
     assert isinstance(whole.cells.value, bytes) and parts.cells.value == whole.cells.value
     assert df.where(parts.suspect()).select("x").distinct().count() >= 1000
+
+
+def test_order_values_follow_from_fewer_sums(wh_check):
+    lines = wh_check.table("fact_order_lines")
+    orders = layers.fact_orders(lines)
+    assert "sum(net_product_sales_value" not in orders._jdf.queryExecution().optimizedPlan().toString()
+    plain = lines.groupBy("Invoice").agg(F.sum("net_product_sales_value").cast("decimal(38,4)"), F.bool_or("is_product_sale"), F.bool_or("is_product_cancellation"))
+    got = orders.select("Invoice", "net_product_sales_value", "has_product_sale", "has_product_cancellation")
+    assert [f.dataType for f in got.schema] == [f.dataType for f in plain.schema]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, plain.collect())))

@@ -94,7 +94,9 @@ def fact_orders(lines: DataFrame) -> DataFrame:
 
     Spark cannot hash-aggregate a maximum of strings, so the lines are first reduced by
     (invoice, code, country, period) with numeric aggregates only; the strings are
-    compared on the reduced rows."""
+    compared on the reduced rows.  A sale has a positive quantity and a cancellation a
+    negative one, so the sums of quantities tell whether there was any, and the net value
+    is the sum of both values: none of these is summed line by line again."""
     sale, cancel = F.col("is_product_sale"), F.col("is_product_cancellation")
     quantity = F.col(S.QUANTITY)
     reduced = lines.groupBy(S.INVOICE, S.STOCK_CODE, S.COUNTRY, S.PERIOD).agg(
@@ -108,10 +110,7 @@ def fact_orders(lines: DataFrame) -> DataFrame:
         F.sum(F.when(cancel, quantity).otherwise(0)).alias("taken_back"),
         F.sum("gross_product_sales_value").alias("gross"),
         F.sum("product_cancellation_value").alias("cancelled"),
-        F.sum("net_product_sales_value").alias("net"),
         F.bool_or("is_cancellation").alias("is_c"),
-        F.bool_or(sale).alias("has_sale"),
-        F.bool_or(cancel).alias("has_cancel"),
     )
     return reduced.groupBy(S.INVOICE).agg(
         F.min("first").alias("order_datetime"),
@@ -127,10 +126,10 @@ def fact_orders(lines: DataFrame) -> DataFrame:
         F.sum("taken_back").alias("product_cancellation_quantity"),
         F.sum("gross").cast("decimal(38,4)").alias("gross_product_sales_value"),
         F.sum("cancelled").cast("decimal(38,4)").alias("product_cancellation_value"),
-        F.sum("net").cast("decimal(38,4)").alias("net_product_sales_value"),
+        (F.sum("gross").cast("decimal(38,4)") + F.sum("cancelled").cast("decimal(38,4)")).cast("decimal(38,4)").alias("net_product_sales_value"),
         F.bool_or("is_c").alias("is_cancellation"),
-        F.bool_or("has_sale").alias("has_product_sale"),
-        F.bool_or("has_cancel").alias("has_product_cancellation"),
+        (F.sum("sold") > 0).alias("has_product_sale"),
+        (F.sum("taken_back") < 0).alias("has_product_cancellation"),
     )
 
 
