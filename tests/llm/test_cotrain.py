@@ -93,3 +93,9 @@ def test_every_unlabelled_document_counts(spark):
         assert got[y][0] == sure.sum() > 50
         assert np.allclose(got[y][1], (x * (q * (1 - q))[:, None]).T @ x, rtol=1e-5) and np.allclose(got[y][2], x.T @ (y - q), rtol=1e-5, atol=1e-6)
     assert m._pseudo_sums(m._compact(m.standard(docs.limit(0)), lexicon), 3, ("c", teacher), "m", w, 0.97) == {}
+
+
+def test_a_view_that_tells_nothing_gives_the_rate_alone():
+    held, y = np.array([[1.0, x] for x in (3, 2, 4, 3, -2)]), np.array([0.0, 1, 0, 1, 1])
+    view = m.View.calibrated(np.array([0.5, 2.0]), held, y)
+    assert np.allclose(view.logit(held), np.log(0.6 / 0.4))

@@ -114,7 +114,9 @@ class View:
     def calibrated(cls, w: np.ndarray, held: np.ndarray, y_held: np.ndarray) -> View:
         raw = held @ w
         scale = _logistic(np.column_stack([np.ones(len(raw)), raw]), y_held, 0.1) if len(set(y_held)) == 2 else np.array([0.0, 1.0])
-        return cls(w, np.array([scale[0], max(scale[1], 0.0)]))
+        if scale[1] <= 0:  # a view that tells nothing says the rate alone
+            scale = np.array([np.log(y_held.mean() / (1 - y_held.mean())), 0.0])
+        return cls(w, scale)
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.scale[0] + self.scale[1] * (x @ self.weights)
