@@ -270,3 +270,41 @@ def test_chains_on_one_line_equal_those_of_the_tree():
         # a match far off the line, which joins none, sends them through the tree
         slow = [x.tolist() for x in m.chains(np.append(p, 10**6), np.append(q, -10**6), odd) if n not in x.tolist()]
         assert sorted(fast) == sorted(slow)
+
+
+def test_first_places_are_found_by_spark_alone(spark):
+    rnd = random.Random(12)
+    rows = [(rnd.randint(-9, 9), rnd.randint(-4, 9), rnd.randint(0, 2), rnd.randint(0, 30)) for _ in range(400)] + [(77, 1, 0, 5)] * 3
+    met = m._met(spark.createDataFrame(rows, "seed long, doc_id long, row int, at int"))
+    first = {s: min(r[1:] for r in rows if r[0] == s) for s, *_ in rows}
+    want = [r + first[r[0]] for r in rows if len({x[1] for x in rows if x[0] == r[0]}) > 1]
+    assert met.columns == ["seed", "doc_id", "row", "at", "d0", "r0", "at0"]
+    assert sorted(tuple(r) for r in met.collect()) == sorted(want)
+    assert "MapInArrow" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_of_many_documents_stay_in_their_own():
+    rnd = random.Random(13)
+    docs = []
+    for _ in range(60):
+        p = np.unique([rnd.randint(0, 120) for _ in range(rnd.randint(1, 60))])
+        docs.append((p, np.array([rnd.randint(0, 3) for _ in p], np.uint64)))
+    far = S.least_words + S.window
+    shift = np.cumsum([0] + [p[-1] + far for p, _ in docs[:-1]])
+    flat, hashes = (np.concatenate(x) for x in ([p + k for (p, _), k in zip(docs, shift)], [h for _, h in docs]))
+    for least in (S.between, S.least_words):
+        i, key, span = m.runs_of(flat, hashes, least, S)
+        got = sorted(zip((flat[i] - np.repeat(shift, [len(p) for p, _ in docs])[i]).tolist(), key.tolist(), span.tolist()))
+        want = []
+        for p, h in docs:
+            k, own, far_off = m.runs_of(p, h, least, S)
+            want += zip(p[k].tolist(), own.tolist(), far_off.tolist())
+        assert got == sorted(want)
+
+
+def test_matches_of_several_groups_are_thinned_apart():
+    rnd = random.Random(14)
+    group = np.sort([rnd.randint(0, 5) for _ in range(200)])
+    p, q = (np.array([rnd.randint(0, 40) for _ in group]) for _ in range(2))
+    parts = [np.flatnonzero(group == g) for g in np.unique(group)]
+    assert m.thinned(p, q, 8, group).tolist() == [i for x in parts for i in x[m.thinned(p[x], q[x], 8)].tolist()]

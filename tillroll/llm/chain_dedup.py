@@ -8,7 +8,7 @@ place there - a star, linear in the seed's frequency.  Runs of neighbouring seed
 first stand elsewhere, in several documents, meets the first one that holds it.  The seeds that a document shares with an earlier one
 are chained in order of place on both sides; a Fenwick tree over places in the earlier
 document gives the best predecessor under a linear gap cost.  Matches of
-one diagonal are thinned first.  Chains are extended and aligned on word hashes: a chain
+one diagonal are thinned first.  Chains are extended and aligned word by word: a chain
 meets the blocks of words of its source around it, and the whole source only if it grows beyond
 them.  Aligned passages that are long and alike enough are reported with their place in
 both documents."""
@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.shingles import mix, windows, word_hashes, words
+from tillroll.llm.shingles import mix, windows, word_hashes_of, words
 from tillroll.llm.store import drop_stored, fresh_name, if_few, rewritten, stored, tidy
 
 
@@ -80,7 +80,9 @@ def seeds_of_many(texts: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.
         at.append(best[left[:n] >= s.window - 1])
     for k in np.flatnonzero((sizes >= s.k) & (sizes - s.k + 1 <= s.window)):  # texts of one window at most
         at.append(starts[k:k + 1] + order[starts[k]:starts[k] + sizes[k] - s.k + 1].argmin())
-    at = np.unique(np.concatenate(at))
+    kept = np.zeros(len(h), bool)
+    kept[np.concatenate(at)] = True
+    at = np.flatnonzero(kept)
     return text[at], at - starts[text[at]], h[at]
 
 
@@ -143,18 +145,16 @@ def _by_tree(p: list[int], q: list[int], ranks: list[int], s: Settings) -> tuple
     return score, back
 
 
-def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
-    """Collinear chains of matches (place ``p`` here, ``q`` there), each as indices in
-    order.  Best chains first; every match is in one chain at most."""
-    order = np.lexsort((q, p))
-    p, q = p[order], q[order]
+def _in_order(p: list[int], q: list[int], straight: bool, s: Settings) -> list[list[int]]:
+    """``chains`` of matches in order of place; ``straight``: all lie on one diagonal."""
     n = len(p)
     if n == 1:
-        return [order]
-    if n == 2 or (q[1:] - p[1:] == q[:-1] - p[:-1]).all():
-        score, back = _one_line(p.tolist(), q.tolist(), s)
+        return [[0]]
+    if n == 2 or straight:
+        score, back = _one_line(p, q, s)
     else:
-        score, back = _by_tree(p.tolist(), q.tolist(), (np.unique(q, return_inverse=True)[1] + 1).tolist(), s)
+        rank = {x: k for k, x in enumerate(sorted(set(q)), 1)}
+        score, back = _by_tree(p, q, [rank[x] for x in q], s)
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda x: (-score[x], x)):
         chain = []
@@ -163,10 +163,18 @@ def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
             chain.append(i)
             i = back[i]
         if chain:
-            out.append(order[chain[::-1]])
+            out.append(chain[::-1])
     return out
 
 
+def chains(p: np.ndarray, q: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """Collinear chains of matches (place ``p`` here, ``q`` there), each as indices in
+    order.  Best chains first; every match is in one chain at most."""
+    order = np.lexsort((q, p))
+    p, q = p[order], q[order]
+    return [order[c] for c in _in_order(p.tolist(), q.tolist(), bool((q - p == q[:1] - p[:1]).all()), s)]
+
+
 def _extend(a: list, b: list, i: int, j: int, step: int, s: Settings, ends: set | None = None) -> int:
     """Words by which a passage grows from a[i], b[j] on in direction ``step``: +1 a
     word that agrees, -2 one that doesn't, up to the best sum.  ``ends`` gets the direction
@@ -204,7 +212,7 @@ def _seeds(docs: DataFrame, s: Settings) -> DataFrame:
             for begin in range(0, batch.num_rows, 256):
                 b = batch.slice(begin, 256)
                 doc, row = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
-                text, at, h = seeds_of_many([word_hashes(x) for x in b.column(1).to_pylist()], s)
+                text, at, h = seeds_of_many(word_hashes_of(b.column(1).to_pylist()), s)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[text].astype(np.int64)),
                                                   pa.array(row[text].astype(np.int32)), pa.array(at.astype(np.int32))], _PLACE)
 
@@ -212,56 +220,31 @@ def _seeds(docs: DataFrame, s: Settings) -> DataFrame:
 
 
 _PLACE = ["seed", "doc_id", "row", "at"]
-_SMALL = ("row", "at", "span", "r0", "at0")   # columns of 32 bits
 
 
 def _met(places: DataFrame) -> DataFrame:
     """Those places of seeds (or of runs) that several documents hold, each with the
-    first place of the smallest document (d0, r0, at0).  Sorted places pass by; only those
-    of a seed's first document are held until a second one comes."""
-    names = places.columns
-    types = [f"{c} {'int' if c in _SMALL else 'long'}" for c in (*names, "d0", "r0", "at0")]
-
-    def run(batches):
-        held = [np.empty(0, np.int64)] * len(names)  # the last seed's places, while it has one document
-        last = None                                  # (seed, d0, r0, at0) of a seed that has more
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [np.concatenate([x, batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64)]) for k, x in enumerate(held)]
-            seed, doc = cols[0], cols[1]
-            start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
-            group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(seed))))
-            first = [cols[k][start] for k in (1, 2, 3)]
-            many = np.maximum.reduceat(doc, start) > first[0]
-            if last is not None and last[0] == seed[0]:
-                many[0] = True
-                for x, v in zip(first, last[1:]):
-                    x[0] = v
-            end = len(seed) if many[-1] else start[-1]
-            last = (seed[-1], *(x[-1] for x in first)) if many[-1] else None
-            held = [x[end:] for x in cols]
-            keep = np.flatnonzero(many[group[:end]])
-            out = [x[keep] for x in cols] + [x[group[keep]] for x in first]
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if c in _SMALL else x) for c, x in zip((*names, "d0", "r0", "at0"), out)],
-                                             [*names, "d0", "r0", "at0"])
-
-    return (places.repartition("seed").sortWithinPartitions("seed", "doc_id", "row", "at").mapInArrow(run, ", ".join(types)))
+    first place of the smallest document (d0, r0, at0)."""
+    held = Window.partitionBy("seed").orderBy("doc_id", "row", "at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = {"d0": "doc_id", "r0": "row", "at0": "at"}
+    return (places.select("*", *[F.first(x).over(held).alias(name) for name, x in firsts.items()], F.last("doc_id").over(held).alias("top"))
+            .where("top > d0").drop("top"))
 
 
 def _runs(places: DataFrame, s: Settings) -> DataFrame:
     """Runs of the seeds in ``places`` (_met), as places themselves.  A run that several
     documents hold has no seed that stands in one alone."""
+    far = s.least_words + s.window  # between the places of two documents, so no run leaves one
+
     def made(cols: list[np.ndarray]) -> pa.RecordBatch:
-        doc, row, at, seed = cols
-        new = np.flatnonzero((np.diff(doc, prepend=doc[:1]) != 0) | (np.diff(row, prepend=row[:1]) != 0))
-        parts = []
-        for a, b in zip([0, *new.tolist()], [*new.tolist(), len(doc)]):
-            p, k = np.unique(at[a:b], return_index=True)  # equal rows have equal places
-            h = seed[a:b][k].view(np.uint64)
-            for least in (s.between, s.least_words):
-                i, key, far = runs_of(p, h, least, s)
-                parts.append((key.view(np.int64), np.full(len(i), doc[a]), np.full(len(i), row[a]), p[i], far))
+        doc, row, at, seed = (x[_changes(*cols[:3])] for x in cols)  # equal rows have equal places
+        new = _changes(doc, row)
+        last = np.concatenate([[0], at[:-1]])
+        p = at + np.cumsum(np.where(new, last + far, 0))
+        h, parts = seed.view(np.uint64), []
+        for least in (s.between, s.least_words):
+            i, key, span = runs_of(p, h, least, s)
+            parts.append((key.view(np.int64), doc[i], row[i], at[i], span))
         flat = [np.concatenate(x) for x in zip(*parts)]
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if k > 1 else x) for k, x in enumerate(flat)], [*_PLACE, "span"])
 
@@ -283,54 +266,76 @@ def _runs(places: DataFrame, s: Settings) -> DataFrame:
             .mapInArrow(run, "seed long, doc_id long, row int, at int, span int"))
 
 
-def thinned(p: np.ndarray, q: np.ndarray, step: int) -> np.ndarray:
-    """Indices of the matches that stand for all: of matches on one diagonal that follow each
-    other by ``step`` words at most, the first, the last and one every ``step`` words."""
-    order = np.lexsort((p, q - p))
-    a, line = p[order], (q - p)[order]
-    new = np.r_[True, (np.diff(line) != 0) | (np.diff(a) > step)]
+def thinned(p: np.ndarray, q: np.ndarray, step: int, group: np.ndarray | None = None) -> np.ndarray:
+    """Indices of the matches that stand for all: of matches on one diagonal (of one
+    ``group``) that follow each other by ``step`` words at most, the first, the last and one
+    every ``step`` words."""
+    group = np.zeros(len(p), np.int64) if group is None else group
+    order = np.lexsort((p, q - p, group))
+    a, line, group = p[order], (q - p)[order], group[order]
+    new = np.r_[True, (np.diff(line) != 0) | (np.diff(group) != 0) | (np.diff(a) > step)]
     first = np.flatnonzero(new)
     begin = a[first][np.cumsum(new) - 1]
     keep = new | np.r_[new[1:], True] | np.r_[True, np.diff((a - begin) // step) != 0]
     return np.sort(order[keep])
 
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether each row differs from the one before it; the first does."""
+    return np.concatenate([np.ones(min(1, len(columns[0])), bool), np.any([x[1:] != x[:-1] for x in columns], axis=0)])
+
+
 def _chained(shared: DataFrame, s: Settings) -> DataFrame:
     """(doc_id, row, matches) → (doc_id, row, d0, r0, found): chains per earlier
     document, best first, each as its seeds' places here and there."""
     # a step of so many words between matches on one diagonal costs half of what a seed gains
     step = max(s.k, int(s.k / (4 * s.gap_cost)))
 
+    def matches_of(b: pa.RecordBatch) -> list[np.ndarray]:
+        """(row of ``b``, d0, r0, at, at0) of all its matches, in this order, each once."""
+        lists = b.column(2)
+        sizes = np.diff(lists.offsets.to_numpy())
+        flat = lists.flatten()
+        d0, r0, at, at0, span = (flat.field(x).to_numpy().astype(np.int64) for x in ("d0", "r0", "at", "at0", "span"))
+        k = np.repeat(np.arange(b.num_rows), sizes)
+        run = span > 0  # its first and its last seed
+        cols = [np.concatenate([x, x[run]]) for x in (k, d0, r0)] + [np.concatenate([x, x[run] + span[run]]) for x in (at, at0)]
+        order = np.lexsort(cols[::-1])
+        cols = [x[order] for x in cols]
+        once = _changes(*cols)
+        return [x[once] for x in cols]
+
+    def made(b: pa.RecordBatch) -> pa.RecordBatch:
+        docs, at_row = (b.column(x).to_numpy() for x in (0, 1))
+        cols = matches_of(b)
+        rows = []
+        if len(cols[0]):
+            source = np.cumsum(_changes(*cols[:3])) - 1
+            some = (np.bincount(source) >= s.least_seeds)[source]
+            cols, source = [x[some] for x in cols], source[some]
+        if len(cols[0]):
+            keep = thinned(*cols[3:], step, source)
+            k, d0, r0, at, at0 = (x[keep] for x in cols)
+            starts = np.flatnonzero(_changes(source[keep]))
+            ends = np.r_[starts[1:], len(keep)]
+            bent = np.concatenate([[0], np.cumsum(np.diff(at0 - at) != 0)])
+            straight = bent[ends - 1] == bent[starts]
+            firsts = (x[starts].tolist() for x in (docs[k], at_row[k], d0, r0))
+            at, at0 = at.tolist(), at0.tolist()
+            for x, y, line, *names in zip(starts.tolist(), ends.tolist(), straight.tolist(), *firsts):
+                p, q = at[x:y], at0[x:y]
+                found = [{"at": [p[i] for i in c], "at0": [q[i] for i in c]} for c in _in_order(p, q, line, s) if len(c) >= s.least_seeds]
+                if found:
+                    rows.append((*names, found))
+        made = list(zip(*rows)) or [()] * 5
+        chain = pa.list_(pa.struct([("at", pa.list_(pa.int32())), ("at0", pa.list_(pa.int32()))]))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(made, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), chain))],
+                                          ["doc_id", "row", "d0", "r0", "found"])
+
     def run(batches):
         for batch in batches:
-            rows = []
-            for k in range(batch.num_rows):
-                doc, row = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                m = batch.column(2)[k].values
-                d0, r0, at, at0, span = (m.field(x).to_numpy().astype(np.int64) for x in ("d0", "r0", "at", "at0", "span"))
-                run = span > 0  # its first and its last seed
-                d0, r0 = (np.concatenate([x, x[run]]) for x in (d0, r0))
-                at, at0 = (np.concatenate([x, x[run] + span[run]]) for x in (at, at0))
-                order = np.lexsort((at0, at, r0, d0))
-                d0, r0, at, at0 = (x[order] for x in (d0, r0, at, at0))
-                source = np.r_[True, (np.diff(d0) != 0) | (np.diff(r0) != 0)]
-                once = source | np.r_[True, (np.diff(at) != 0) | (np.diff(at0) != 0)]
-                d0, r0, at, at0, source = (x[once] for x in (d0, r0, at, at0, source))
-                starts = np.flatnonzero(source)
-                ends = np.r_[starts[1:], len(source)]
-                some = ends - starts >= s.least_seeds
-                for a, b in zip(starts[some].tolist(), ends[some].tolist()):
-                    p, q = at[a:b], at0[a:b]
-                    if b - a > 2:
-                        keep = thinned(p, q, step)
-                        p, q = p[keep], q[keep]
-                    found = [{"at": p[c].tolist(), "at0": q[c].tolist()} for c in chains(p, q, s) if len(c) >= s.least_seeds]
-                    if found:
-                        rows.append((doc, row, int(d0[a]), int(r0[a]), found))
-            cols = list(zip(*rows)) or [()] * 5
-            chain = pa.list_(pa.struct([("at", pa.list_(pa.int32())), ("at0", pa.list_(pa.int32()))]))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), chain))],
-                                             ["doc_id", "row", "d0", "r0", "found"])
+            for begin in range(0, batch.num_rows, 256):
+                yield made(batch.slice(begin, 256))
 
     return shared.mapInArrow(run, "doc_id long, row int, d0 long, r0 int, "
                                   "found array<struct<at:array<int>,at0:array<int>>>")
@@ -393,10 +398,7 @@ def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
     on, so more of it is needed."""
     kind = pa.struct([(x.split()[0], pa.int32()) for x in _FOUND.split(", ")])
 
-    def hashed(raw: bytes) -> list[int]:
-        return word_hashes(raw.decode("utf-8", "surrogatepass")).view(np.int64).tolist()
-
-    def aligned_with(here: list, found: list[dict], blocks: dict[int, bytes], size: int) -> tuple[list, bool]:
+    def aligned_with(here: list[bytes], found: list[dict], blocks: dict[int, bytes], size: int) -> tuple[list, bool]:
         rows, done, cut, ready = [], [], False, {}
         for x in found:
             if any(a <= x["at"][0] and x["at"][-1] + s.k <= b for a, b in done):
@@ -407,7 +409,7 @@ def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
             while last + 1 in blocks:
                 last += 1
             if (first, last) not in ready:
-                ready = {(first, last): [w for k in range(first, last + 1) for w in hashed(blocks[k])]}
+                ready = {(first, last): b" ".join([blocks[k] for k in range(first, last + 1)]).split()}
             there = ready[first, last]
             offset, ends = first * BLOCK_WORDS, set()
             for a, b, c, d, same in passages_of(here, there, x["at"], [y - offset for y in x["at0"]], s, ends):
@@ -421,7 +423,7 @@ def _passages(pairs: DataFrame, s: Settings) -> DataFrame:
             for begin in range(0, batch.num_rows, 32):
                 part, rows = batch.slice(begin, 32), []
                 for doc, row, text, sources, parts in zip(*(part.column(j).to_pylist() for j in range(5))):
-                    here = word_hashes(text).view(np.int64).tolist()
+                    here = words(text)
                     blocks: dict = {}
                     for x in parts:
                         blocks.setdefault((x["d0"], x["r0"]), ({}, x["all"]))[0][x["block"]] = x["words"]
