@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+import weakref
+
 import public_tokenizers
 
-from tillroll.llm import bpe_codec, shingles, worker_memory
+from tillroll.llm import bpe_codec, cotrain, shingles, worker_memory
 
 
 def test_another_owner_drops_the_memory_of_the_last(monkeypatch):
@@ -27,3 +30,26 @@ def test_coders_and_word_hashes_take_turns():
     assert not bpe_codec._CODERS and shingles._WORDS
     assert bpe_codec.coder(path).ids(text) == ids and not shingles._WORDS
     assert (shingles.word_hashes(text) == hashes).all()
+
+
+def test_a_coder_is_freed_when_another_operator_begins():
+    class Sign:
+        pass
+
+    gc.collect()
+    gc.disable()  # as between the collections of a busy task
+    try:
+        bpe_codec.coder(public_tokenizers.path("word_bpe_49k.json")).sign = sign = Sign()
+        alive = weakref.ref(sign)
+        del sign
+        shingles.word_hashes_of(["a few words"])
+        assert alive() is None
+    finally:
+        gc.enable()
+
+
+def test_operators_without_a_memory_end_the_last_one():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    bpe_codec.coder(path)
+    cotrain.content_features("some words", {})
+    assert not bpe_codec._CODERS

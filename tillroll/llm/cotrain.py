@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.store import if_few, ship, stored
+from tillroll.llm.worker_memory import claim
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,7 @@ def word_set(text: str | None) -> set[str]:
 
 def content_features(text: str | None, lexicon: dict[str, int]) -> np.ndarray:
     """Style of the whole text, then one figure per lexicon word that stands in it."""
+    claim("features")
     out = np.zeros(_STYLE + len(lexicon), np.float32)
     words = (text or "").split()
     if not words:

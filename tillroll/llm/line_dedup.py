@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.store import fresh_name, if_few, rewritten, stored
+from tillroll.llm.worker_memory import claim
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -97,6 +98,7 @@ def _signed(values: list[int]) -> pa.Array:
 def _occurrences(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, line_no, row, h1, h2) of every line of at least ``least`` characters."""
     def run(batches):
+        claim("lines")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
@@ -122,6 +124,7 @@ def _keys(docs: DataFrame, threshold: int, least: int) -> DataFrame:
     of the substrings it probes, once per line and task, and the parities of its
     characters' counts in 32 classes: an edit changes two of them at most."""
     def run(batches):
+        claim("lines")
         plan, seen = _Plan(threshold, least), set()
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:

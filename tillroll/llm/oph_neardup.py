@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.shingles import mix, shingle_set
+from tillroll.llm.shingles import mix, shingle_sets_of
 from tillroll.llm.store import stored
 
 BANDS, ROWS = 42, 6  # a pair of similarity 0.8 misses all bands with 3e-6
@@ -73,9 +73,8 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                texts, n, digest, bands = b.column(1), [], [], []
-                for k in range(b.num_rows):
-                    s = shingle_set(texts[k].as_py(), words)
+                n, digest, bands = [], [], []
+                for s in shingle_sets_of(b.column(1).to_pylist(), words):
                     n.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     bands.append(band_keys(s) if len(s) else np.empty(0, np.int64))
@@ -92,9 +91,8 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 b = batch.slice(at, 128)
-                texts = b.column(1)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), _lists([shingle_set(texts[k].as_py(), words) for k in range(b.num_rows)])],
+                    [b.column(0), _lists(shingle_sets_of(b.column(1).to_pylist(), words))],
                     ["doc_id", "shingles"])
 
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
